@@ -1 +1,9 @@
+"""Runs composed of operators, and the named queries over the driver's tables."""
 
+
+def load_queries() -> dict:
+    """All registered queries by name."""
+    from scorefold.plans import applicant_queries  # noqa: F401
+    from scorefold.plans.registry import REGISTRY
+
+    return dict(REGISTRY)
