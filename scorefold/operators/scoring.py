@@ -10,7 +10,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import cached_property, reduce
 from typing import Any
 
 import numpy as np
@@ -22,7 +22,7 @@ from scorefold.functions import kernels as K
 from scorefold.functions import rules
 from scorefold.operators.features import add_funding_features
 from scorefold.operators.impute import loan_columns
-from scorefold.operators.projection import add_approval_names, require_columns
+from scorefold.operators.projection import add_approval_names, control_rows, require_columns
 
 # Beyond this many nodes nested CASE expressions cost more than a batch UDF.
 MAX_COLUMN_NODES = 256
@@ -291,7 +291,7 @@ MODEL_SCHEMA = "name string, version int, stage string, spec string"
 
 @dataclass(frozen=True)
 class ModelTable:
-    """Rows of (name, version, stage, spec)."""
+    """Rows of (name, version, stage, spec); control data that is read once."""
 
     table: DataFrame
 
@@ -307,22 +307,24 @@ class ModelTable:
     def write(self, path: str) -> None:
         self.table.write.mode("overwrite").parquet(path)
 
+    @cached_property
+    def _rows(self) -> list:
+        return control_rows(self.table)
+
     def latest_version(self, name: str) -> int:
         """Highest version of a model; 1 if none is recorded."""
-        found = self.table.filter(F.col("name") == name).agg(F.max("version").alias("v")).first()
-        return found["v"] or 1
+        return max((r["version"] for r in self._rows if r["name"] == name), default=1)
 
     def resolve(self, reference: str):
         """Model for ``models:/name/version`` or ``models:/name/stage``; a bare name is the latest."""
-        parts = reference.removeprefix("models:/").split("/")
-        rows = self.table.filter(F.col("name") == parts[0])
-        if len(parts) > 1:
-            wanted = parts[1]
-            rows = rows.filter(F.col("version") == int(wanted) if wanted.isdigit() else F.col("stage") == wanted)
-        found = rows.agg(F.max_by("spec", "version").alias("spec")).first()
-        if found["spec"] is None:
+        name, _, wanted = reference.removeprefix("models:/").partition("/")
+        rows = [
+            r for r in self._rows
+            if r["name"] == name and (not wanted or wanted in (str(r["version"]), r["stage"]))
+        ]
+        if not rows:
             raise LookupError(f"no model for {reference}")
-        return model_from_json(found["spec"])
+        return model_from_json(max(rows, key=lambda r: r["version"])["spec"])
 
     def promote(self, name: str, version: int, stage: str) -> ModelTable:
         """Give one version a stage; the version that held it is archived."""

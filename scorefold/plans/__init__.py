@@ -3,7 +3,13 @@
 
 def load_queries() -> dict:
     """All registered queries by name."""
-    from scorefold.plans import applicant_queries  # noqa: F401
+    from scorefold.plans import (  # noqa: F401
+        applicant_queries,
+        reconcile_queries,
+        scoring_queries,
+        table_queries,
+        trip_queries,
+    )
     from scorefold.plans.registry import REGISTRY
 
     return dict(REGISTRY)

@@ -58,7 +58,6 @@ def _limits_sql() -> str:
     return ", ".join(parts)
 
 
-_NDI_STAND_IN = "CAST(c_acctbal AS DOUBLE)"
 _LIMIT_RAW = [c.removesuffix("_Imputed") for c, _, _ in rules.POLICY_LIMITS if c != "NDI"]
 _LIMIT_RULES = [t for t in rules.POLICY_IMPUTATION if t[0] in _LIMIT_RAW]
 
@@ -126,9 +125,9 @@ def rate_scrub(spark, sf_dir):
     return with_rounded(out.drop("W49_ATTR07", "W49_ATTR08"))
 
 
-def _apr_sql(pay: str, bal: str, name: str) -> str:
+def _apr_sql(pay: str, bal: str, name: str, digits: int = 4) -> str:
     x = f"({pay} / nullif({bal}, 0) * 12 - 0.12)"
-    return rnd(f"CASE WHEN {x} IS NULL OR {x} > 1 OR {x} < 0 THEN 0 WHEN {x} > 0.25 THEN 0.25 ELSE {x} END", name)
+    return rnd(f"CASE WHEN {x} IS NULL OR {x} > 1 OR {x} < 0 THEN 0 WHEN {x} > 0.25 THEN 0.25 ELSE {x} END", name, digits)
 
 
 @query(
@@ -515,18 +514,21 @@ def _processed(c: str, high: float | None) -> str:
     return base if high is None else f"CASE WHEN {c} > {num(high)} THEN {num(high)} ELSE {base} END"
 
 
-_FUNDING_SQL = ", ".join(
-    [rnd(_processed(c, h), f"{c}_Processed") for c, h in rules.FUNDING_PROCESSED]
-    + [
-        _apr_sql("W49_ATTR08", "W49_ATTR07", "CCAprEst"),
-        _apr_sql("V71_REAP01", "V71_RE101S", "CCAprEst_revolving"),
+
+def funding_sql(digits: int = 4) -> str:
+    columns = [rnd(_processed(c, h), f"{c}_Processed", digits) for c, h in rules.FUNDING_PROCESSED]
+    columns += [
+        _apr_sql("W49_ATTR08", "W49_ATTR07", "CCAprEst", digits),
+        _apr_sql("V71_REAP01", "V71_RE101S", "CCAprEst_revolving", digits),
         rnd("CASE WHEN MeanIncome > 500000 THEN 500000 WHEN MeanIncome < 1000 THEN 1000 ELSE MeanIncome END", "MeanIncome_Processed"),
         "CASE WHEN V71_ST02S = -1 THEN 1 ELSE 0 END AS no_student_trades",
-        rnd(imputed("W55_PAYMNT08", rules.MINIMUM_PAYMENT_DEFAULT, rules.MINIMUM_PAYMENT_CODES), "W55_PAYMNT08_FRM"),
+        rnd(imputed("W55_PAYMNT08", rules.MINIMUM_PAYMENT_DEFAULT, rules.MINIMUM_PAYMENT_CODES), "W55_PAYMNT08_FRM", max(digits, 5)),
         "CASE WHEN months_since_last_onsite_application = 999 THEN 'NaN'::DOUBLE "
         "ELSE CAST(months_since_last_onsite_application AS DOUBLE) END AS \"MONTHS_SINCE_LAST_APPLICATION_ONSITE\"",
     ]
-)
+    return ", ".join(columns)
+
+
 _FUNDING_OUT = [f"{c}_Processed" for c, _ in rules.FUNDING_PROCESSED] + [
     "CCAprEst", "CCAprEst_revolving", "MeanIncome_Processed", "no_student_trades", "W55_PAYMNT08_FRM",
     "MONTHS_SINCE_LAST_APPLICATION_ONSITE",
@@ -535,11 +537,11 @@ _FUNDING_OUT = [f"{c}_Processed" for c, _ in rules.FUNDING_PROCESSED] + [
 
 @query(
     "DM-15 IMP-12 IMP-09",
-    f"SELECT {ID}, {_FUNDING_SQL} FROM ({recency_sql(applicants_sql([ID, *_DATES, *_FUNDING_RAW]))})",
+    f"SELECT {ID}, {funding_sql(5)} FROM ({recency_sql(applicants_sql([ID, *_DATES, *_FUNDING_RAW]))})",
 )
 def funding_features(spark, sf_dir):
     df = features.add_application_recency(applicants(spark, sf_dir, [ID, *_DATES, *_FUNDING_RAW]))
-    return with_rounded(features.add_funding_features(df).select(ID, *_FUNDING_OUT))
+    return with_rounded(features.add_funding_features(df).select(ID, *_FUNDING_OUT), 5)
 
 
 def _label_sql(groups, name: str) -> str:
@@ -562,14 +564,14 @@ def state_label(spark, sf_dir):
 
 @query(
     "DM-19",
-    f"SELECT {ID}, {', '.join(_MONTHS)}, {', '.join(_counter(n) for n in (5, 4, 3, 1))}, {_FUNDING_SQL}, "
+    f"SELECT {ID}, {', '.join(_MONTHS)}, {', '.join(_counter(n) for n in (5, 4, 3, 1))}, {funding_sql(5)}, "
     f"{_label_sql(rules.STATE_LABEL_GROUPS, 'state_label_5_FR')} "
     f"FROM ({recency_sql(applicants_sql([ID, 'NCOA_ADDR_State', *_DATES, *_TAGS, *_FUNDING_RAW]))})",
 )
 def reusable_features(spark, sf_dir):
     df = applicants(spark, sf_dir, [ID, "NCOA_ADDR_State", *_DATES, *_TAGS, *_FUNDING_RAW])
     df = features.add_reusable_features(df)
-    return with_rounded(df.select(ID, *_MONTHS, *_COUNTERS, *_FUNDING_OUT, "state_label_5_FR"))
+    return with_rounded(df.select(ID, *_MONTHS, *_COUNTERS, *_FUNDING_OUT, "state_label_5_FR"), 5)
 
 
 # ------------------------------------------------- renames, projections, joins

@@ -55,15 +55,19 @@ def load_legacy(
 
 
 def read_selected_files(
-    spark: SparkSession, folder: str, schema: Schema, containing: Sequence[str] = (), without: Sequence[str] = ()
+    spark: SparkSession, path: str, schema: Schema, containing: Sequence[str] = (), without: Sequence[str] = (),
+    part: str = "file_path",
 ) -> DataFrame:
-    """CSV files of a folder chosen by parts of their names; Spark skips the others."""
-    df = spark.read.schema(schema).option("header", True).csv(folder)
-    name = F.col("_metadata.file_name")
-    for part in containing:
-        df = df.filter(name.contains(part))
-    for part in without:
-        df = df.filter(~name.contains(part))
+    """CSV files below ``path`` chosen by words in their path; Spark does not open the others.
+
+    ``part`` is "file_path" or "file_name", the piece of the path that is tested.
+    """
+    df = spark.read.schema(schema).option("header", True).csv(path)
+    where = F.col(f"_metadata.{part}")
+    for word in containing:
+        df = df.filter(where.contains(word))
+    for word in without:
+        df = df.filter(~where.contains(word))
     return df
 
 
