@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scorefold.functions import kernels as K
-
 
 def _unfold(df: DataFrame, rows: list[Column]) -> DataFrame:
     """One row per struct of a one-row aggregate."""
@@ -35,9 +33,9 @@ def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
         gone = F.col(c).isNull()
         return gone | F.isnan(c) if kinds[c] in ("double", "float") else gone
 
-    one = df.agg(*[F.sum(K.flag(missing(c))).alias(f"n_{i}") for i, c in enumerate(columns)])
+    one = df.agg(*[F.count_if(missing(c)).alias(f"n_{i}") for i, c in enumerate(columns)])
     return _unfold(one, [
-        F.struct(F.lit(c).alias("column"), F.coalesce(F.col(f"n_{i}"), F.lit(0)).cast("bigint").alias("nulls"))
+        F.struct(F.lit(c).alias("column"), F.col(f"n_{i}").alias("nulls"))
         for i, c in enumerate(columns)
     ])
 
@@ -82,7 +80,7 @@ def key_report(df: DataFrame, key: str) -> DataFrame:
     present = F.col(key).isNotNull()
     return per_key.agg(
         F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("rows"),
-        F.sum(K.flag(present)).cast("bigint").alias("distinct_keys"),
+        F.count_if(present).alias("distinct_keys"),
         F.coalesce(F.sum(F.when(~present, F.col("n"))), F.lit(0)).cast("bigint").alias("null_keys"),
         F.max(F.when(present, F.col("n"))).alias("most_per_key"),
     )

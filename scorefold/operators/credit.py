@@ -2,78 +2,74 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from scorefold.functions import kernels as K
 from scorefold.functions import rules
 from scorefold.operators.tax import monthly_income
 
 
-def attribute_aliases(**sources: str) -> dict[str, Column]:
+def attribute_aliases(**sources: str) -> dict[str, str]:
     """Attribute columns; keyword arguments replace a source column."""
     unknown = set(sources) - set(rules.ATTRIBUTE_SOURCES)
     if unknown:
         raise ValueError(f"unknown attributes: {', '.join(sorted(unknown))}")
-    return {name: F.col(source) for name, source in (rules.ATTRIBUTE_SOURCES | sources).items()}
+    return rules.ATTRIBUTE_SOURCES | sources
+
+
+def tradeline_layers(income: str, housing: str) -> list[dict[str, str]]:
+    """Disposable income from payments as reported: only NULL becomes 0, negative codes stay."""
+    payments = [K.null_to("V71_REAP01", 0.0), K.null_to("V71_INAP01", 0.0), housing]
+    return [
+        {"MonthlyIncome": monthly_income(income)},
+        {"Tradeline_NDI": " - ".join(["MonthlyIncome", *payments])},
+        {"CPg_NDI": "Tradeline_NDI"},
+    ]
 
 
 def add_tradeline_ndi(df: DataFrame, income: str, housing: str = "HPE_Housing_Payment_Estimation") -> DataFrame:
-    """Disposable income from reported payments.
-
-    Payments are taken as reported: only NULL becomes 0, negative codes stay.
-    """
-    ndi = (
-        F.col("MonthlyIncome")
-        - K.null_to("V71_REAP01", 0.0)
-        - K.null_to("V71_INAP01", 0.0)
-        - F.col(housing)
-    )
-    return (
-        df.withColumn("MonthlyIncome", monthly_income(income))
-        .withColumn("Tradeline_NDI", ndi)
-        .withColumn("CPg_NDI", F.col("Tradeline_NDI"))
-    )
-
-
-def cleaned_inputs() -> dict[str, Column]:
+    return K.with_layers(df, tradeline_layers(income, housing))
+
+
+def cleaned_inputs(aliases: dict[str, str]) -> dict[str, str]:
     """Inputs of the derived attributes without their negative codes."""
     return {
-        "CPv5_5_SNC_RevolvingBalance": K.floor_at("CPg_RevolvingBalance", 0.0),
-        "CPv5_5_SNC_UILBalance": K.floor_at("CPg_UILBalance", 0.0),
-        "CPv5_5_SNC_NonMortgageMonthlyPayment": K.floor_at("CPg_NonMortgageMonthlyPayment", 0.0),
+        "CPv5_5_SNC_RevolvingBalance": K.floor_at(aliases["CPg_RevolvingBalance"], 0.0),
+        "CPv5_5_SNC_UILBalance": K.floor_at(aliases["CPg_UILBalance"], 0.0),
+        "CPv5_5_SNC_NonMortgageMonthlyPayment": K.floor_at(aliases["CPg_NonMortgageMonthlyPayment"], 0.0),
         "CPv5_5_SNC_V71_BC03S": K.not_above("V71_BC03S", 0, -1.0),
         "CPv5_5_SNC_V71_BC25S": K.not_above("V71_BC25S", 0, -1.0),
         "CPv5_5_SNC_W55_TRV01": K.not_above("W55_TRV01", 1, 1.0),
-        "CPv5_5_SNC_W55_TRV02": K.cap(K.not_above("W55_TRV02", -1, 0.0), 12.0),
+        "CPv5_5_SNC_W55_TRV02": K.case(
+            [("W55_TRV02 <= -1", "0D"), ("W55_TRV02 > 12", "12D")], "W55_TRV02"
+        ),
     }
 
 
-def derived_attributes() -> list[dict[str, Column]]:
+def derived_layers() -> list[dict[str, str]]:
     """Ratios of balances, payments, income and the requested loan, in dependency order."""
-    loan, balance, income = F.col("CPg_RequestedLoanAmount"), F.col("CPg_UnsecuredSummaryBalance"), F.col("CPg_Income")
-    ratio, extra = F.col("CPg_LieDetectorRatio"), K.positive_part("CPg_LieDetectorDiff")
-    new_cards = 1 - F.try_divide(F.col("CPv5_5_SNC_V71_BC25S"), F.col("CPv5_5_SNC_V71_BC03S"))
+    loan, balance, income = "CPg_RequestedLoanAmount", "CPg_UnsecuredSummaryBalance", "CPg_Income"
+    extra = K.positive_part("CPg_LieDetectorDiff")
+    dti = K.ratio("(CPv5_5_SNC_NonMortgageMonthlyPayment + CPg_HousingPayment)", income)
+    new_cards = f"(1 - {K.ratio('CPv5_5_SNC_V71_BC25S', 'CPv5_5_SNC_V71_BC03S')})"
     return [
-        {"CPg_UnsecuredSummaryBalance": F.col("CPv5_5_SNC_RevolvingBalance") + F.col("CPv5_5_SNC_UILBalance")},
         {
-            # No balance, or an unknown one, makes the ratio infinite.
-            "CPg_LieDetectorRatio": F.when(balance != 0, F.try_divide(loan, balance)).otherwise(F.lit(K.INF)),
-            "CPg_LieDetectorDiff": loan - balance,
-            "CPg_Bti": F.try_divide(balance, income),
-            "CPg_MonthlyDti": F.try_divide(
-                F.col("CPv5_5_SNC_NonMortgageMonthlyPayment") + F.col("CPg_HousingPayment"), income
-            ) * 12,
+            balance: "CPv5_5_SNC_RevolvingBalance + CPv5_5_SNC_UILBalance",
+            "CPg_MonthlyDti": f"{dti} * 12",
             "CPg_PctNewBCTradesInPast12mo": K.cap(new_cards, 1.0),
-            "CPg_OverlimitTrend": F.try_divide(F.col("CPv5_5_SNC_W55_TRV02"), F.col("CPv5_5_SNC_W55_TRV01")),
-            "CPg_W55_AGG910_UNF": K.flag(F.col("W55_AGG910") < 0),
+            "CPg_OverlimitTrend": K.ratio("CPv5_5_SNC_W55_TRV02", "CPv5_5_SNC_W55_TRV01"),
+            "CPg_W55_AGG910_UNF": K.flag("W55_AGG910 < 0"),
+        },
+        {
+            # No balance, or an unknown one, makes the ratio infinite.
+            "CPg_LieDetectorRatio": K.case([(f"{balance} != 0", K.ratio(loan, balance))], K.INF),
+            "CPg_LieDetectorDiff": f"{loan} - {balance}",
+            "CPg_Bti": K.ratio(balance, income),
         },
         {
-            "CPg_LieDetectorHigh": F.when(
-                ratio.isNotNull() & (ratio >= 1), 1 - F.try_divide(balance, loan)
-            ).otherwise(F.lit(0.0)),
-            "CPg_NdiWithLieDetector": F.col("CPg_NDI") - extra * rules.LIE_DETECTOR_PAYMENT_FACTOR,
-            "CPg_BtiWithLieDetector": F.col("CPg_Bti") + F.try_divide(extra, income),
+            "CPg_LieDetectorHigh": K.case([("CPg_LieDetectorRatio >= 1", f"1 - {K.ratio(balance, loan)}")], "0D"),
+            "CPg_NdiWithLieDetector": f"CPg_NDI - {extra} * {K.literal(rules.LIE_DETECTOR_PAYMENT_FACTOR)}",
+            "CPg_BtiWithLieDetector": f"CPg_Bti + {K.ratio(extra, income)}",
         },
     ]
 
@@ -85,13 +81,13 @@ def add_credit_attributes(
     **sources: str,
 ) -> DataFrame:
     """Aliases, tradeline disposable income, derived attributes and short names."""
-    sources = {"CPg_Income": income, "CPg_HousingPayment": housing} | sources
-    df = df.withColumns(attribute_aliases(**sources)).transform(add_tradeline_ndi, income, housing)
-    for layer in [cleaned_inputs(), *derived_attributes()]:
-        df = df.withColumns(layer)
-    return df.withColumns({short: F.col(name) for short, name in rules.ATTRIBUTE_SHORT_NAMES.items()})
+    aliases = attribute_aliases(**({"CPg_Income": income, "CPg_HousingPayment": housing} | sources))
+    monthly, *tradeline = tradeline_layers(income, housing)
+    return K.with_layers(df, [
+        aliases | cleaned_inputs(aliases) | monthly, *tradeline, *derived_layers(), rules.ATTRIBUTE_SHORT_NAMES
+    ])
 
 
 def apply_tier(df: DataFrame, score: str = "CM_Credit_Model_Score", output: str = "PricingTier_v6") -> DataFrame:
     """Price tier 1 (best) to 6; a missing score is tier 6."""
-    return df.withColumn(output, K.tier(score, rules.TIER_UPPER_BOUNDS))
+    return K.with_sql(df, {output: K.tier(score, rules.TIER_UPPER_BOUNDS)})

@@ -56,12 +56,12 @@ def pickup_features(
         )
     else:
         counted = df.groupBy(zip_column, window).agg(F.mean(fare).alias("mean_fare"), F.count("*").alias("trips"))
-    return counted.select(
-        F.col(zip_column).alias("zip"),
-        K.epoch_seconds("window.end").alias("ts"),
-        K.month_partition("window.end").alias("yyyy_mm"),
-        F.col("mean_fare").cast("float").alias(PICKUP_COLUMNS[0]),
-        F.col("trips").cast("int").alias(PICKUP_COLUMNS[1]),
+    return counted.selectExpr(
+        f"{zip_column} AS zip",
+        f"{K.epoch_seconds('window.end')} AS ts",
+        f"{K.month_partition('window.end')} AS yyyy_mm",
+        f"CAST(mean_fare AS FLOAT) AS {PICKUP_COLUMNS[0]}",
+        f"CAST(trips AS INT) AS {PICKUP_COLUMNS[1]}",
     )
 
 
@@ -71,12 +71,12 @@ def dropoff_features(
     """Trip count per ZIP over 30-minute windows, and whether the window ends on a weekend."""
     df = _with_times(between_times(df, ts, start, end), ts)
     counted = df.groupBy(zip_column, F.window(ts, "30 minutes")).agg(F.count("*").alias("trips"))
-    return counted.select(
-        F.col(zip_column).alias("zip"),
-        K.epoch_seconds("window.end").alias("ts"),
-        K.month_partition("window.end").alias("yyyy_mm"),
-        F.col("trips").cast("int").alias(DROPOFF_COLUMNS[0]),
-        K.is_weekend("window.end").alias(DROPOFF_COLUMNS[1]),
+    return counted.selectExpr(
+        f"{zip_column} AS zip",
+        f"{K.epoch_seconds('window.end')} AS ts",
+        f"{K.month_partition('window.end')} AS yyyy_mm",
+        f"CAST(trips AS INT) AS {DROPOFF_COLUMNS[0]}",
+        f"{K.is_weekend('window.end')} AS {DROPOFF_COLUMNS[1]}",
     )
 
 
@@ -92,13 +92,12 @@ def rounded_trips(
     The window that ends at the next quarter hour usually contains the trip
     itself.  ``strict`` takes the last window that had closed before the trip.
     """
-    def window_end(column: str, minutes: int):
+    def window_end(column: str, minutes: int) -> str:
         end = K.ceil_to_minutes(column, minutes)
-        if not strict:
-            return end
-        return F.when(end == K.epoch_seconds(column), end).otherwise(end - minutes * 60)
+        exact = f"unix_micros(CAST({column} AS TIMESTAMP)) = {end} * 1000000L"
+        return K.case([(exact, end)], f"{end} - {minutes * 60}") if strict else end
 
-    out = df.withColumns({
+    out = K.with_sql(df, {
         "rounded_pickup_datetime": window_end(pickup, 15),
         "rounded_dropoff_datetime": window_end(dropoff, 30),
     }).drop(pickup, dropoff)

@@ -2,28 +2,42 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from scorefold.functions import kernels as K
 from scorefold.functions import rules
+from scorefold.operators.joins import join_dimension
 
 
-def _as_date(df: DataFrame, column: str, pattern: str) -> Column:
+def _as_date(kinds: dict[str, str], column: str, pattern: str) -> str:
     """A column that already is a date passes, so the step can be applied twice."""
-    is_date = isinstance(df.schema[_actual(df, column)].dataType, T.DateType)
-    return F.col(column) if is_date else K.parse_date(column, pattern)
+    return column if kinds[column.lower()] == "date" else K.parse_date(column, pattern)
 
 
-def _actual(df: DataFrame, column: str) -> str:
-    return next(c for c in df.columns if c.lower() == column.lower())
-
-
-def _months_since(as_of: Column, applied: Column) -> Column:
+def _months_since(as_of: str, applied: str) -> str:
     """A date equal to the stand-in for "never" counts as never."""
-    never = applied == F.lit(rules.NEVER_APPLIED_DATE).cast("date")
-    return F.when(never, F.lit(rules.NEVER_APPLIED_MONTHS)).otherwise(K.whole_months_between(as_of, applied))
+    never = f"{applied} = DATE '{rules.NEVER_APPLIED_DATE}'"
+    return K.case([(never, K.literal(rules.NEVER_APPLIED_MONTHS))], K.whole_months_between(as_of, applied))
+
+
+def recency_layers(df: DataFrame) -> list[dict[str, str]]:
+    kinds = {name.lower(): kind for name, kind in df.dtypes}
+    never = f"DATE '{rules.NEVER_APPLIED_DATE}'"
+    onsite, partner = "months_since_last_onsite_application", "months_since_last_partner_application"
+    return [
+        {
+            "CREDITASOFDATE": _as_date(kinds, "creditAsOfDate", "yyyyMMdd"),
+            "LAST_ONSITE_APPLIED_DATE": f"coalesce({_as_date(kinds, 'last_applied_date', 'yyyy-MM-dd')}, {never})",
+            "LAST_PARTNER_APPLIED_DATE":
+                f"coalesce({_as_date(kinds, 'last_partner_applied_date', 'yyyy-MM-dd')}, {never})",
+        },
+        {
+            onsite: _months_since("CREDITASOFDATE", "LAST_ONSITE_APPLIED_DATE"),
+            partner: _months_since("CREDITASOFDATE", "LAST_PARTNER_APPLIED_DATE"),
+        },
+        {"months_since_last_application": K.case([(f"{partner} > {onsite}", onsite)], partner)},
+    ]
 
 
 def add_application_recency(df: DataFrame) -> DataFrame:
@@ -32,43 +46,30 @@ def add_application_recency(df: DataFrame) -> DataFrame:
     ``CREDITASOFDATE`` and ``LAST_PARTNER_APPLIED_DATE`` replace the raw
     columns of the same name, because column names ignore case.
     """
-    never = F.lit(rules.NEVER_APPLIED_DATE).cast("date")
-    onsite, partner = F.col("months_since_last_onsite_application"), F.col("months_since_last_partner_application")
-    return (
-        df.withColumns({
-            "CREDITASOFDATE": _as_date(df, "creditAsOfDate", "yyyyMMdd"),
-            "LAST_ONSITE_APPLIED_DATE": F.coalesce(_as_date(df, "last_applied_date", "yyyy-MM-dd"), never),
-            "LAST_PARTNER_APPLIED_DATE": F.coalesce(_as_date(df, "last_partner_applied_date", "yyyy-MM-dd"), never),
-        })
-        .withColumns({
-            "months_since_last_onsite_application":
-                _months_since(F.col("CREDITASOFDATE"), F.col("LAST_ONSITE_APPLIED_DATE")),
-            "months_since_last_partner_application":
-                _months_since(F.col("CREDITASOFDATE"), F.col("LAST_PARTNER_APPLIED_DATE")),
-        })
-        .withColumn("months_since_last_application", F.when(partner > onsite, onsite).otherwise(partner))
-    )
+    return K.with_layers(df, recency_layers(df))
+
+
+def counter_columns() -> dict[str, str]:
+    tags = [f"previous6Tag{i}" for i in range(1, 6)]
+    return {f"PREVIOUS_COUNTER_{n}": K.value_to_nan(K.count_equal(tags[:n], "Y"), 0) for n in (5, 4, 3, 1)}
 
 
 def add_selection_counters(df: DataFrame) -> DataFrame:
     """How often the consumer was selected in the last 5, 4, 3 and 1 campaigns; 0 becomes NaN."""
-    tags = [f"previous6Tag{i}" for i in range(1, 6)]
-    return df.withColumns({
-        f"PREVIOUS_COUNTER_{n}": K.value_to_nan(K.count_equal(tags[:n], "Y"), 0) for n in (5, 4, 3, 1)
-    })
+    return K.with_sql(df, counter_columns())
 
 
-def add_funding_features(df: DataFrame) -> DataFrame:
-    """Cleaned and capped inputs of the funding model.  Needs the recency columns."""
+def funding_columns() -> dict[str, str]:
+    """Cleaned and capped inputs of the funding model."""
     columns = {}
     for name, high in rules.FUNDING_PROCESSED:
-        clean = K.impute(name, 0.0)
-        columns[f"{name}_Processed"] = clean if high is None else K.cap(clean, high)
-    columns |= {
+        top = [] if high is None else [(f"{name} > {K.literal(high)}", K.literal(high))]
+        columns[f"{name}_Processed"] = K.case([*top, (f"{name} IS NULL OR {name} < 0", "0D")], name)
+    return columns | {
         "CCAprEst": K.clip_apr(K.annual_rate("W49_ATTR08", "W49_ATTR07")),
         "CCAprEst_revolving": K.clip_apr(K.annual_rate("V71_REAP01", "V71_RE101S")),
         "MeanIncome_Processed": K.clip("MeanIncome", *rules.MEAN_INCOME_RANGE),
-        "no_student_trades": K.flag(F.col("V71_ST02S") == -1),
+        "no_student_trades": K.flag("V71_ST02S = -1"),
         "W55_PAYMNT08_FRM": K.impute(
             "W55_PAYMNT08", rules.MINIMUM_PAYMENT_DEFAULT, rules.MINIMUM_PAYMENT_CODES
         ),
@@ -76,18 +77,22 @@ def add_funding_features(df: DataFrame) -> DataFrame:
             "months_since_last_onsite_application", rules.NEVER_APPLIED_MONTHS
         ),
     }
-    return df.withColumns(columns)
+
+
+def add_funding_features(df: DataFrame) -> DataFrame:
+    """Inputs of the funding model.  Needs the recency columns."""
+    return K.with_sql(df, funding_columns())
 
 
 def add_state_label(
     df: DataFrame, state: str = "NCOA_ADDR_State", output: str = "state_label_5_FR", groups=rules.STATE_LABEL_GROUPS
 ) -> DataFrame:
     """Group number of the state; NaN for states in no group."""
-    return df.withColumn(output, K.label_by_group(state, groups))
+    return K.with_sql(df, {output: K.label_by_group(state, groups)})
 
 
 def add_legacy_state_labels(df: DataFrame, state: str = "NCOA_ADDR_State") -> DataFrame:
-    return df.withColumns({
+    return K.with_sql(df, {
         "state_label_5": K.label_by_group(state, rules.LEGACY_STATE_LABEL_GROUPS),
         "state_label_5_FR_v6": K.label_by_group(state, rules.STATE_LABEL_GROUPS),
     })
@@ -95,12 +100,9 @@ def add_legacy_state_labels(df: DataFrame, state: str = "NCOA_ADDR_State") -> Da
 
 def add_reusable_features(df: DataFrame) -> DataFrame:
     """Recency, counters, funding inputs and state label in one chain."""
-    return (
-        df.transform(add_application_recency)
-        .transform(add_selection_counters)
-        .transform(add_funding_features)
-        .transform(add_state_label)
-    )
+    label = {"state_label_5_FR": K.label_by_group("NCOA_ADDR_State", rules.STATE_LABEL_GROUPS)}
+    *dates, combined = recency_layers(df)
+    return K.with_layers(df, [*dates, combined | counter_columns() | funding_columns() | label])
 
 
 # ---------------------------------------------------- encodings of income v4
@@ -108,8 +110,6 @@ def add_reusable_features(df: DataFrame) -> DataFrame:
 
 def target_encode(df: DataFrame, column: str, means: DataFrame, output: str | None = None) -> DataFrame:
     """Replace a value by its mean from a (value, mean) table; unknown values stay NULL."""
-    from scorefold.operators.joins import join_dimension
-
     output = output or f"te_{column}"
     side = means.select(F.col("value").alias(column), F.col("mean").alias(output))
     return join_dimension(df, side, column, "left")
@@ -123,12 +123,12 @@ def one_hot(
     With ``drop_first`` the smallest category has no column.  Every name in
     ``required`` exists afterwards; one without a category is constantly 0.
     """
-    columns: dict[str, Column] = {}
+    columns: dict[str, str] = {}
     for name, values in categories.items():
         for value in sorted(values)[1 if drop_first else 0:]:
-            columns[f"{name}_{value}"] = K.flag(F.col(name) == value)
-    columns |= {c: F.lit(0) for c in required if c not in columns}
-    return df.withColumns(columns).drop(*categories)
+            columns[f"{name}_{value}"] = K.flag(f"{K.quoted(name)} = {K.literal(value)}")
+    columns |= {c: "0" for c in required if c not in columns}
+    return K.with_sql(df, columns).drop(*categories)
 
 
 def learn_categories(df: DataFrame, columns: list[str], max_categories: int = 1000) -> dict[str, list]:

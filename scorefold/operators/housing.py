@@ -2,28 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from scorefold.functions import kernels as K
 from scorefold.functions import rules
 
 
-def rent_estimate(income: str, median_rental: str) -> Column:
-    exponent = F.col(income) * rules.RENT_INCOME_COEFFICIENT
+def rent_estimate(income: str, median_rental: str) -> str:
+    terms = [f"{income} * {K.literal(rules.RENT_INCOME_COEFFICIENT)}"]
     for name, weight in rules.RENT_COEFFICIENTS:
-        x = F.col(name)
-        if name == "V71_G208S":
-            x = K.null_to(x, rules.RENT_G208S_MISSING)
-        exponent = exponent + x * weight
-    return F.col(median_rental) * F.exp(exponent + rules.RENT_INTERCEPT)
+        x = K.null_to(name, rules.RENT_G208S_MISSING) if name == "V71_G208S" else name
+        terms.append(f"{x} * {K.literal(weight)}")
+    return f"{median_rental} * exp({' + '.join(terms)} + {K.literal(rules.RENT_INTERCEPT)})"
 
 
-def mortgage_estimate(income: str) -> Column:
-    total = F.col(income) * rules.MORTGAGE_INCOME_COEFFICIENT
-    for name, weight in rules.MORTGAGE_COEFFICIENTS:
-        total = total + K.null_to(name, 0.0) * weight
-    return total + rules.MORTGAGE_INTERCEPT
+def mortgage_estimate(income: str) -> str:
+    terms = [f"{income} * {K.literal(rules.MORTGAGE_INCOME_COEFFICIENT)}"]
+    terms += [f"{K.null_to(name, 0.0)} * {K.literal(weight)}" for name, weight in rules.MORTGAGE_COEFFICIENTS]
+    return f"{' + '.join(terms)} + {K.literal(rules.MORTGAGE_INTERCEPT)}"
 
 
 def estimate_housing(
@@ -43,17 +39,12 @@ def estimate_housing(
         raise ValueError("missing must be 'maximum' or 'skip'")
     low, high = rules.HOUSING_RANGE
 
-    def held(c: Column) -> Column:
-        c = K.clip(c, low, high)
-        return K.null_to(c, high) if missing == "maximum" else c
-
-    return (
-        df.withColumns({
-            "_rent": held(rent_estimate(income, median_rental)),
-            "_mortgage": held(mortgage_estimate(income)),
-        })
-        .withColumn(
-            output, F.when(F.col("_rent") > F.col("_mortgage"), F.col("_rent")).otherwise(F.col("_mortgage"))
-        )
-        .drop("_rent", "_mortgage")
-    )
+    def held(x: str) -> str:
+        x = K.clip(x, low, high)
+        return K.null_to(x, high) if missing == "maximum" else x
+
+    return K.with_layers(df, [
+        {"_rent": rent_estimate(income, median_rental), "_mortgage": mortgage_estimate(income)},
+        {"_rent": held("_rent"), "_mortgage": held("_mortgage")},
+        {output: K.case([("_rent > _mortgage", "_rent")], "_mortgage")},
+    ]).drop("_rent", "_mortgage")

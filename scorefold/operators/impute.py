@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -9,56 +10,55 @@ from pyspark.sql import functions as F
 
 from scorefold.functions import kernels as K
 from scorefold.functions import rules
+from scorefold.operators.projection import add_long_names
 
 # ---------------------------------------------------------------- rule tables
 
 
+def imputed_columns(table=rules.NDI_IMPUTATION, suffix: str = "_Imputed") -> dict[str, str]:
+    """Expressions of a (column, default, codes) table."""
+    return {c + suffix: K.impute(c, default, codes) for c, default, codes in table}
+
+
 def impute_by_rules(df: DataFrame, table=rules.NDI_IMPUTATION, suffix: str = "_Imputed") -> DataFrame:
-    """Apply a (column, default, codes) table in one projection."""
-    return df.withColumns({c + suffix: K.impute(c, default, codes) for c, default, codes in table})
+    """Apply a rule table in one projection."""
+    return K.with_sql(df, imputed_columns(table, suffix))
 
 
 def impute_policy(df: DataFrame) -> DataFrame:
     """Credit-policy imputation and the high-utilisation proxy."""
-    out = impute_by_rules(df, rules.POLICY_IMPUTATION)
-    proxy = F.col("V71_IN06S_Imputed") - F.col("V71_ST06S_Imputed") - F.col("V71_AU06S_Imputed")
-    return out.withColumn("high_util_proxy", proxy)
+    proxy = "V71_IN06S_Imputed - V71_ST06S_Imputed - V71_AU06S_Imputed"
+    return K.with_layers(df, [imputed_columns(rules.POLICY_IMPUTATION), {"high_util_proxy": proxy}])
 
 
 def limit_policy(df: DataFrame, table=rules.POLICY_LIMITS) -> DataFrame:
     """Credit-policy caps, floors and flags."""
-    apply = {
-        "flag_above": lambda c, edge: K.flag(c > edge),
-        "flag_from": lambda c, edge: K.flag(c < edge, 0, 1),
+    kinds = {
+        "flag_above": lambda c, edge: K.flag(f"{c} > {edge}"),
+        "flag_from": lambda c, edge: K.flag(f"{c} < {edge}", 0, 1),
         "cap": K.cap,
         "clip": K.clip,
     }
-    return df.withColumns({c: apply[kind](F.col(c), *args) for c, kind, args in table})
-
-
-def impute_credit_model(df: DataFrame) -> DataFrame:
-    """Inputs of the credit model: codes to 999, loan columns, long names."""
-    return (
-        df.withColumns({c: K.replace_sentinels(c, 999.0) for c in rules.CREDIT_MODEL_999})
-        .withColumns(loan_columns())
-        .withColumns({n: F.col("_".join(n.split("_")[:2])) for n in rules.CREDIT_MODEL_LONG_NAMES})
-    )
+    return K.with_sql(df, {c: kinds[kind](c, *args) for c, kind, args in table})
 
 
-def loan_columns() -> dict:
+def loan_columns() -> dict[str, str]:
     """Unsecured-loan columns under the names the credit model knows."""
     return {
-        new: K.replace_sentinels(source, value)
-        for new, source, value in rules.CREDIT_MODEL_LOAN_COLUMNS
+        new: K.replace_sentinels(source, value) for new, source, value in rules.CREDIT_MODEL_LOAN_COLUMNS
     }
 
 
+def impute_credit_model(df: DataFrame) -> DataFrame:
+    """Inputs of the credit model: codes to 999, loan columns, long names."""
+    cleaned = {c: K.replace_sentinels(c, 999.0) for c in rules.CREDIT_MODEL_999}
+    return K.with_sql(df, cleaned | loan_columns()).transform(add_long_names)
+
+
 def income_v3_inputs(df: DataFrame, model_columns: Sequence[str]) -> DataFrame:
     """Card interest estimate, then negative codes of the model's columns to NULL."""
-    rate = K.scrub_rate(F.try_divide(12 * F.col("W49_ATTR08"), F.col("W49_ATTR07")) - 0.12)
-    return df.withColumn("CCIntEst", rate).withColumns(
-        {c: K.negative_to_null(c) for c in model_columns}
-    )
+    rate = K.scrub_rate(K.annual_rate("W49_ATTR08", "W49_ATTR07"))
+    return K.with_layers(df, [{"CCIntEst": rate}, {c: K.negative_to_null(c) for c in model_columns}])
 
 
 def fill_missing(df: DataFrame, value: float = 0) -> DataFrame:
@@ -96,7 +96,7 @@ def column_medians(
     totals = {c: first[f"n{i}"] for i, c in enumerate(columns) if first[f"n{i}"]}
     wide = [c for i, c in enumerate(columns) if first[f"d{i}"] > max_values]
     # name -> (low, high, rows below low, rows inside)
-    ranges = {c: (-K.INF, K.INF, 0, n) for c, n in totals.items()}
+    ranges = {c: (-math.inf, math.inf, 0, n) for c, n in totals.items()}
     while wide:
         ranges_before = dict(ranges)
         inside = [F.when(F.col(c).between(*ranges[c][:2]), F.col(c)) for c in wide]
@@ -180,10 +180,11 @@ def _pick_medians(values: DataFrame, totals: Mapping[str, int], ranges: Mapping[
 
 def fill_with(df: DataFrame, values: Mapping[str, float]) -> DataFrame:
     """NULL and NaN become the column's given value."""
-    return df.withColumns({
-        c: F.when(F.col(c).isNull() | F.isnan(F.col(c).cast("double")), F.lit(v)).otherwise(F.col(c).cast("double"))
-        for c, v in values.items()
-    })
+    def filled(name: str, value: float) -> str:
+        x = f"CAST({K.quoted(name)} AS DOUBLE)"
+        return K.case([(f"{x} IS NULL OR isnan({x})", K.literal(float(value)))], x)
+
+    return K.with_sql(df, {c: filled(c, v) for c, v in values.items()})
 
 
 def fill_mode_median(df: DataFrame, mode_columns: Sequence[str], median_columns: Sequence[str]) -> DataFrame:

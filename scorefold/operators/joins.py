@@ -135,8 +135,8 @@ def standard_zip_tables(
 
 def append_by_clean_zip(df: DataFrame, side: DataFrame, zip_column: str, side_zip: str) -> DataFrame:
     """Left join on five-digit ZIP text; both sides are cleaned, ``df`` keeps its column."""
-    keyed = side.withColumn("zip_join_key", K.clean_zip(side_zip)).drop(side_zip)
-    cleaned = df.withColumn("zip_join_key", K.clean_zip(zip_column))
+    keyed = K.with_sql(side, {"zip_join_key": K.clean_zip(side_zip)}).drop(side_zip)
+    cleaned = K.with_sql(df, {"zip_join_key": K.clean_zip(zip_column)})
     return join_dimension(cleaned, keyed, "zip_join_key").drop("zip_join_key")
 
 

@@ -9,6 +9,7 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from scorefold.functions import kernels as K
 from scorefold.functions import rules
 
 
@@ -72,16 +73,16 @@ def bureau_code(long_name: str) -> str:
 
 def add_long_names(df: DataFrame, long_names: Sequence[str] = rules.CREDIT_MODEL_LONG_NAMES) -> DataFrame:
     """Alias bureau codes under their long names in one projection."""
-    return df.withColumns({name: F.col(bureau_code(name)) for name in long_names})
+    return K.with_sql(df, {name: bureau_code(name) for name in long_names})
 
 
 def add_approval_names(df: DataFrame) -> DataFrame:
     """Aliases the older approval model expects."""
-    return df.withColumns({"N05_S0_Y2": F.col("N05_S0Y2"), "W49_ATTR24": F.col("epay01attr24")})
+    return K.with_sql(df, {"N05_S0_Y2": "N05_S0Y2", "W49_ATTR24": "epay01attr24"})
 
 
 def add_null_doubles(df: DataFrame, columns: Sequence[str] = rules.NULL_DOUBLE_COLUMNS) -> DataFrame:
-    return df.withColumns({c: F.lit(None).cast("double") for c in columns})
+    return K.with_sql(df, {c: "CAST(NULL AS DOUBLE)" for c in columns})
 
 
 # --------------------------------------------------------------- projections
@@ -115,7 +116,7 @@ def credit_model_inputs(df: DataFrame, long_names: Sequence[str] = rules.CREDIT_
 
 
 def rounded(df: DataFrame, columns: Sequence[str], digits: int = 2) -> DataFrame:
-    return df.withColumns({c: F.round(c, digits) for c in columns})
+    return K.with_sql(df, {c: f"round({K.quoted(c)}, {digits})" for c in columns})
 
 
 # ------------------------------------------------------------- new variables
@@ -127,22 +128,17 @@ def create_new_variables(df: DataFrame) -> DataFrame:
     The published name ``UnsecuredSummayBalanceBlend`` is spelt that way in
     existing output files.
     """
-    by_trade = (
-        F.col("V71_RE101S") + F.col("V71_IN101S")
-        - F.col("V71_HR101S") - F.col("V71_AU101S") - F.col("V71_ST101S")
-    )
-    by_lender = F.col("epay01attr25") + F.col("epay01attr19")
-    return (
-        df.withColumnRenamed("RECENT_TAG", "eligible_last_month")
-        .withColumns({
-            "RECENT_TAG": F.col("previous6Tag1"),
-            "UnsecuredSummaryBalanceTUVars1": by_trade,
-            "UnsecuredSummaryBalanceCustomVars": by_lender,
-            "UnsecuredSummaryBalanceTUVars2": F.col("V71_US101S") + F.col("V71_BC101S"),
-            "UnsecuredSummayBalanceBlend": F.greatest(by_trade, by_lender),
-        })
-        .transform(add_null_doubles)
-    )
+    by_trade = "V71_RE101S + V71_IN101S - V71_HR101S - V71_AU101S - V71_ST101S"
+    by_lender = "epay01attr25 + epay01attr19"
+    columns = {
+        "RECENT_TAG": "previous6Tag1",
+        "UnsecuredSummaryBalanceTUVars1": by_trade,
+        "UnsecuredSummaryBalanceCustomVars": by_lender,
+        "UnsecuredSummaryBalanceTUVars2": "V71_US101S + V71_BC101S",
+        "UnsecuredSummayBalanceBlend": f"greatest({by_trade}, {by_lender})",
+    }
+    placeholders = {c: "CAST(NULL AS DOUBLE)" for c in rules.NULL_DOUBLE_COLUMNS}
+    return K.with_sql(df.withColumnRenamed("RECENT_TAG", "eligible_last_month"), columns | placeholders)
 
 
 # ------------------------------------------------------------- row selection

@@ -11,13 +11,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scorefold.functions import kernels as K
 from scorefold.operators.aggregates import describe
 
 Pairs = Sequence[tuple[str, str]]
 TOLERANCE = 1e-8
 
 
+def _column(c: str | Column) -> Column:
+    return F.col(c) if isinstance(c, str) else c
+
+
 def missing(c: Column) -> Column:
     return c.isNull() | F.isnan(c)
 
@@ -28,7 +31,7 @@ def close(a: str | Column, b: str | Column, tolerance: float = TOLERANCE, equal_
     A missing value on either side is a mismatch, unless ``equal_nan`` accepts
     two of them; equal infinities match.
     """
-    a, b = K.as_column(a).cast("double"), K.as_column(b).cast("double")
+    a, b = _column(a).cast("double"), _column(b).cast("double")
     same = (F.abs(a - b) <= tolerance) | ((a == b) & ~F.isnan(a))
     same = F.coalesce(same, F.lit(False))
     return same | (missing(a) & missing(b)) if equal_nan else same
@@ -77,13 +80,13 @@ def verdicts(joined: DataFrame, pairs: Pairs, tolerance: float = TOLERANCE, equa
     same = [close(a, b, tolerance, equal_nan) for a, b in pairs]
     one = joined.agg(
         *[F.every(s).alias(f"all_{i}") for i, s in enumerate(same)],
-        *[F.sum(K.flag(~s)).alias(f"n_{i}") for i, s in enumerate(same)],
+        *[F.count_if(~s).alias(f"n_{i}") for i, s in enumerate(same)],
     )
     return one.select(F.inline(F.array(*[
         F.struct(
             F.lit(current).alias("score"),
             F.coalesce(F.col(f"all_{i}"), F.lit(True)).alias("all_close"),
-            F.coalesce(F.col(f"n_{i}"), F.lit(0)).cast("bigint").alias("mismatches"),
+            F.col(f"n_{i}").alias("mismatches"),
         )
         for i, (current, _) in enumerate(pairs)
     ])))
@@ -109,7 +112,7 @@ def absolute_differences(joined: DataFrame, pairs: Pairs, missing_as: float | No
     """Columns |current - legacy| named ``<legacy>_diff``."""
     def value(name: str) -> Column:
         c = F.col(name).cast("double")
-        return c if missing_as is None else F.nanvl(K.null_to(c, missing_as), F.lit(missing_as))
+        return c if missing_as is None else F.nanvl(F.coalesce(c, F.lit(missing_as)), F.lit(missing_as))
 
     return joined.select(*[
         F.abs(value(a) - value(b)).alias(b.removesuffix("_R") + "_diff") for a, b in pairs
@@ -149,7 +152,7 @@ def bin_of(c: str | Column, low: float, high: float, bins: int = 100) -> Column:
     The division only proposes a bin; comparing with the bin's own edges
     settles values that fall on or next to an edge.
     """
-    x = K.as_column(c).cast("double")
+    x = _column(c).cast("double")
     step = (high - low) / bins
     guess = F.floor((x - low) / step)
     settled = (

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
+from scorefold.functions import kernels as K
 from scorefold.functions import rules
 from scorefold.operators.projection import apply_steps
 
@@ -18,7 +18,7 @@ def add_best_case_income(
     output: str = rules.BEST_CASE_INCOME,
 ) -> DataFrame:
     """The larger of estimated and reported income; a missing one is skipped."""
-    return df.withColumn(output, F.greatest(estimate, reported))
+    return K.with_sql(df, {output: f"greatest({estimate}, {reported})"})
 
 
 def add_scenario(
@@ -26,18 +26,17 @@ def add_scenario(
     steps: Iterable[Callable[[DataFrame], DataFrame]],
     outputs: Sequence[str],
     prefix: str,
-    where: Column,
+    where: str,
 ) -> DataFrame:
     """Run ``steps`` on ``df`` and keep only ``prefix + output`` columns of the result.
 
     Both scenarios are computed from one scan: rows outside ``where`` get NULL,
     as a left join with a separate run over the filtered rows would give.
     """
-    own = df.columns
-    result = apply_steps(df.withColumn("_in_scenario", F.coalesce(where, F.lit(False))), steps)
-    return result.select(
-        *own, *[F.when(F.col("_in_scenario"), F.col(c)).alias(prefix + c) for c in outputs]
-    )
+    own = [K.quoted(c) for c in df.columns]
+    result = apply_steps(K.with_sql(df, {"_in_scenario": f"coalesce({where}, FALSE)"}), steps)
+    kept = [f"{K.case([('_in_scenario', K.quoted(c))])} AS {K.quoted(prefix + c)}" for c in outputs]
+    return result.selectExpr(*own, *kept)
 
 
 def join_scenario(df: DataFrame, scenario: DataFrame, key: str = "PPPCL_CONSUMER_ID") -> DataFrame:

@@ -28,13 +28,8 @@ from scorefold.operators.projection import add_approval_names, control_rows, req
 MAX_COLUMN_NODES = 256
 
 
-def quoted(name: str) -> Column:
-    """Column by exact name, also for names that contain a dot."""
-    return F.col(f"`{name}`")
-
-
-def _with_link(c: Column, link: str) -> Column:
-    return 1 / (1 + F.exp(-c)) if link == "logistic" else c
+def _with_link(x: str, link: str) -> str:
+    return f"1 / (1 + exp(-({x})))" if link == "logistic" else x
 
 
 def _link_array(x: np.ndarray, link: str) -> np.ndarray:
@@ -58,12 +53,13 @@ class LinearModel:
     def as_column(self) -> bool:
         return True
 
-    def column(self) -> Column:
-        total = F.lit(self.intercept)
+    def sql(self) -> str:
+        gap = K.literal(float(self.missing))
+        terms = [K.literal(float(self.intercept))]
         for name, weight in self.weights.items():
-            x = F.nanvl(quoted(name).cast("double"), F.lit(self.missing))
-            total = total + K.null_to(x, self.missing) * weight
-        return _with_link(total, self.link)
+            x = f"CAST({K.quoted(name)} AS DOUBLE)"
+            terms.append(f"coalesce(nanvl({x}, {gap}), {gap}) * {K.literal(float(weight))}")
+        return _with_link(" + ".join(terms), self.link)
 
     def load(self) -> Callable[[pd.DataFrame], np.ndarray]:
         weights = np.array(list(self.weights.values()))
@@ -114,18 +110,17 @@ class TreeModel:
 
         return sum(size(t) for t in self.trees) <= MAX_COLUMN_NODES
 
-    def column(self) -> Column:
-        def branch(node: dict) -> Column:
+    def sql(self) -> str:
+        def branch(node: dict) -> str:
             if "leaf" in node:
-                return F.lit(float(node["leaf"]))
-            x = quoted(node["feature"]).cast("double")
-            gone = x.isNull() | F.isnan(x)
-            test = x < node["below"]
-            test = (gone | test) if node["missing"] == "yes" else (~gone & test)
-            return F.when(test, branch(node["yes"])).otherwise(branch(node["no"]))
+                return K.literal(float(node["leaf"]))
+            x = f"CAST({K.quoted(node['feature'])} AS DOUBLE)"
+            gone = f"({x} IS NULL OR isnan({x}))"
+            test = f"{x} < {K.literal(float(node['below']))}"
+            test = f"({gone} OR {test})" if node["missing"] == "yes" else f"(NOT {gone} AND {test})"
+            return K.case([(test, branch(node["yes"]))], branch(node["no"]))
 
-        total = reduce(lambda a, b: a + b, [branch(t) for t in self.trees], F.lit(self.base))
-        return _with_link(total, self.link)
+        return _with_link(" + ".join([K.literal(float(self.base)), *map(branch, self.trees)]), self.link)
 
     def load(self) -> Callable[[pd.DataFrame], np.ndarray]:
         def predict(batch: pd.DataFrame) -> np.ndarray:
@@ -214,33 +209,30 @@ def arrow_scorer(model) -> Callable[..., Column]:
 
 
 def score(
-    df: DataFrame, model, output: str, where: Column | None = None, engine: str = "auto"
+    df: DataFrame, model, output: str, where: str | None = None, engine: str = "auto"
 ) -> DataFrame:
-    """Add ``output`` with the model's score; rows outside ``where`` get NULL.
+    """Add ``output`` with the model's score; rows outside the condition ``where`` get NULL.
 
     Only the model's own features reach the model, so unused columns are
     pruned at the scan.  ``engine`` is "column", "arrow" or "auto".
     """
     if engine not in ("auto", "column", "arrow"):
         raise ValueError("engine must be 'auto', 'column' or 'arrow'")
-    require_columns(df, model.features)
     if engine == "column" or (engine == "auto" and model.as_column):
-        result = model.column()
-        return df.withColumn(output, result if where is None else F.when(where, result))
-    run = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
-    inputs = F.struct(*[quoted(c).alias(c) for c in model.features], run.alias(_RUN))
-    return df.withColumn(output, arrow_scorer(model)(inputs))
+        return K.with_sql(df, {output: model.sql() if where is None else K.case([(where, model.sql())])})
+    require_columns(df, model.features)
+    run = "TRUE" if where is None else f"coalesce({where}, FALSE)"
+    fields = [f"'{c}', {K.quoted(c)}" for c in model.features] + [f"'{_RUN}', {run}"]
+    return df.withColumn(output, arrow_scorer(model)(F.expr(f"named_struct({', '.join(fields)})")))
 
 
 def cast_loan_inputs(df: DataFrame) -> DataFrame:
     """Integer inputs of the loan-amount model; text that is no number gives NULL."""
-    return df.withColumns({
-        c: F.col(c).try_cast("int") for c in ("W49_AUC1002", "lastreportedhousingpayment")
-    })
+    return K.with_sql(df, {c: f"TRY_CAST({c} AS INT)" for c in ("W49_AUC1002", "lastreportedhousingpayment")})
 
 
 def cast_legacy_loan_inputs(df: DataFrame) -> DataFrame:
-    return cast_loan_inputs(df).withColumn("PIE_v4", F.col("PIE_v4").try_cast("float"))
+    return K.with_sql(cast_loan_inputs(df), {"PIE_v4": "TRY_CAST(PIE_v4 AS FLOAT)"})
 
 
 @dataclass(frozen=True)
@@ -251,7 +243,7 @@ class ScoreStep:
     model: str
     prepare: Callable[[DataFrame], DataFrame] = field(default=lambda df: df)
 
-    def apply(self, df: DataFrame, models: ModelTable, where: Column | None = None) -> DataFrame:
+    def apply(self, df: DataFrame, models: ModelTable, where: str | None = None) -> DataFrame:
         return score(self.prepare(df), models.resolve(self.model), self.output, where)
 
 
@@ -262,7 +254,7 @@ CURRENT_SCORES = {
         "LAE_Loan_Amount_Estimation", "models:/loan_amount/Production", cast_loan_inputs
     ),
     "CM_Credit_Model_Score": ScoreStep(
-        "CM_Credit_Model_Score", "models:/credit/1", lambda df: df.withColumns(loan_columns())
+        "CM_Credit_Model_Score", "models:/credit/1", lambda df: K.with_sql(df, loan_columns())
     ),
     "RR_ResponseProb_v9": ScoreStep("RR_ResponseProb_v9", "models:/response/9"),
     "RR_ResponseProb": ScoreStep("RR_ResponseProb", "models:/response/Production"),

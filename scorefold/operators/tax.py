@@ -2,92 +2,95 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scorefold.functions import kernels as K
 from scorefold.functions import rules
-from scorefold.operators.impute import impute_by_rules
+from scorefold.operators.impute import imputed_columns
 from scorefold.operators.joins import join_dimension
 
-MAX_STATES = 10_000
+MAX_BRACKET_ROWS = 20_000
 MAX_BRACKETS_PER_STATE = 64
 
 
 # ------------------------------------------------------------ mortgage, federal
 
 
-def mortgage_columns() -> list[dict[str, Column]]:
+def mortgage_layers() -> list[dict[str, str]]:
     """Remaining payments and the yearly share of the interest still to pay."""
     rate = rules.MORTGAGE_MONTHLY_RATE
-    left = F.col("W49_ATTR10_Imputed") - F.col("V71_MT21S_Imputed")
-    growth = F.pow(F.lit(1 + rate), F.col("NumMortPayRemaing"))
-    paid = F.try_divide(rate * F.col("NumMortPayRemaing") * growth, growth - 1)
-    yearly = F.try_divide(12 * F.col("TotalMortInterest"), F.col("NumMortPayRemaing"))
+    left = "(W49_ATTR10_Imputed - V71_MT21S_Imputed)"
+    growth = f"pow({K.literal(1 + rate)}, NumMortPayRemaing)"
+    paid = K.ratio(f"{K.literal(rate)} * NumMortPayRemaing * {growth}", f"({growth} - 1)")
+    yearly = K.null_to(K.ratio("12 * TotalMortInterest", "NumMortPayRemaing"), 0.0)
     return [
         {
-            "MortAmnt": F.col("V71_MT101S_Imputed"),
-            "NumMortPayRemaing": F.when(left < 0, F.lit(float(rules.MORTGAGE_DEFAULT_MONTHS))).otherwise(left),
+            "MortAmnt": "V71_MT101S_Imputed",
+            "NumMortPayRemaing": K.case([(f"{left} < 0", K.literal(float(rules.MORTGAGE_DEFAULT_MONTHS)))], left),
         },
-        {"TotalMortInterest": F.col("MortAmnt") * (paid - 1)},
-        {"YearAvgMortInterest": K.floor_at(K.null_to(yearly, 0.0), 0.0)},
+        {"TotalMortInterest": f"MortAmnt * ({paid} - 1)"},
+        {"YearAvgMortInterest": K.floor_at(yearly, 0.0)},
     ]
 
 
-def taxable_income(income: str) -> Column:
-    x = F.col(income)
-    reduced = F.when(x < rules.PERSONAL_EXEMPTION_BELOW, x - rules.PERSONAL_EXEMPTION).otherwise(x)
-    return reduced - rules.STANDARD_DEDUCTION - F.col("YearAvgMortInterest")
+def taxable_income(income: str) -> str:
+    reduced = K.case(
+        [(f"{income} < {rules.PERSONAL_EXEMPTION_BELOW}", f"{income} - {rules.PERSONAL_EXEMPTION}")], income
+    )
+    return f"{reduced} - {rules.STANDARD_DEDUCTION} - YearAvgMortInterest"
 
 
-def federal_bracket_taxes(taxable: Column) -> dict[str, Column]:
+def federal_bracket_taxes(taxable: str) -> dict[str, str]:
     """Tax due inside each federal bracket.
 
     The first bracket is not floored at zero, so negative taxable income gives
     a negative amount that the floor on the total removes.
     """
-    edges = [low for low, _ in rules.FEDERAL_BRACKETS]
+    edges = [low for low, _ in rules.FEDERAL_BRACKETS] + [None]
     taxes = {}
     for i, (low, rate) in enumerate(rules.FEDERAL_BRACKETS):
-        part = taxable - low if low else taxable
-        if i + 1 < len(edges):
-            part = F.when(taxable > edges[i + 1], F.lit(float(edges[i + 1] - low))).otherwise(part)
-        part = part * rate
-        taxes[f"federal_tax_brackets_{i + 1}"] = (
-            F.when(taxable < low, F.lit(0.0)).otherwise(part) if low else part
-        )
+        high = edges[i + 1]
+        part = f"({taxable} - {low})" if low else taxable
+        if high is not None:
+            part = K.case([(f"{taxable} > {high}", K.literal(float(high - low)))], part)
+        part = f"{part} * {K.literal(rate)}"
+        taxes[f"federal_tax_brackets_{i + 1}"] = K.case([(f"{taxable} < {low}", "0D")], part) if low else part
     return taxes
 
 
-def federal_tax(brackets: dict[str, Column]) -> Column:
-    total = reduce(lambda a, b: a + b, [F.col(name) for name in brackets])
-    return K.floor_at(total, 0.0)
+def federal_layers(income: str) -> list[dict[str, str]]:
+    """Everything from mortgage interest to FederalTax, in dependency order."""
+    brackets = federal_bracket_taxes("TaxableIncome")
+    total = f"({' + '.join(brackets)})"
+    return [
+        *mortgage_layers(),
+        {"TaxableIncome": taxable_income(income)},
+        brackets,
+        {"FederalTax": K.floor_at(total, 0.0)},
+    ]
 
 
 def add_federal_tax(df: DataFrame, income: str) -> DataFrame:
-    for layer in mortgage_columns():
-        df = df.withColumns(layer)
-    brackets = federal_bracket_taxes(F.col("TaxableIncome"))
-    return (
-        df.withColumn("TaxableIncome", taxable_income(income))
-        .withColumns(brackets)
-        .withColumn("FederalTax", federal_tax(brackets))
-    )
+    return K.with_layers(df, federal_layers(income))
 
 
 # ------------------------------------------------------------------ state taxes
 
+_FIELDS = {"DollarsPreviousTaxed": "prev", "MaximumTaxableDollars": "max", "Rates": "rate"}
+_DEDUCTION_FIELDS = {"Standard_Deduction": "std", "Personal_Exemption": "exempt"}
+
 
 @dataclass(frozen=True)
 class StateBrackets:
     """A state tax table turned into one row per state.
 
     ``table`` has one group of columns per bracket position, so that the tax is
-    a plain column expression after a one-to-one join, and the applicant table
-    is neither multiplied nor grouped.
+    a plain expression after a one-to-one join, and the applicant table is
+    neither multiplied nor grouped.
     """
 
     table: DataFrame
@@ -96,58 +99,58 @@ class StateBrackets:
 
     @staticmethod
     def load(rows: DataFrame, deductions: bool = False) -> StateBrackets | None:
-        """None if the table is too large to be a bracket table."""
-        size = rows.groupBy("State").count().agg(F.count("*").alias("states"), F.max("count").alias("most")).first()
-        slots = size["most"] or 0
-        if size["states"] > MAX_STATES or slots > MAX_BRACKETS_PER_STATE:
+        """Read the control table once; None if it is too large to be one."""
+        fields = _FIELDS | (_DEDUCTION_FIELDS if deductions else {})
+        listed = rows.select("State", *fields).limit(MAX_BRACKET_ROWS + 1).collect()
+        states = defaultdict(list)
+        for r in listed:
+            if r["State"] is not None:
+                states[r["State"]].append(tuple(r)[1:])
+        slots = max(map(len, states.values()), default=0)
+        if len(listed) > MAX_BRACKET_ROWS or slots > MAX_BRACKETS_PER_STATE:
             return None
-        fields = ["DollarsPreviousTaxed", "MaximumTaxableDollars", "Rates"]
-        if deductions:
-            fields += ["Standard_Deduction", "Personal_Exemption"]
-        packed = rows.groupBy("State").agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("b"))
-        short = dict(zip(fields, ("prev", "max", "rate", "std", "exempt")))
-        columns = [
-            F.get("b", F.lit(i)).getField(f).alias(f"_{short[f]}{i}") for i in range(slots) for f in fields
-        ]
-        return StateBrackets(packed.select(F.col("State").alias("_state"), *columns), slots, deductions)
+        empty = (None,) * len(fields)
+        names = [f"_{short}{i}" for i in range(slots) for short in fields.values()]
+        wide = []
+        for state, brackets in states.items():
+            brackets.sort(key=lambda b: tuple((x is None, x or 0.0) for x in b))
+            filled = brackets + [empty] * (slots - len(brackets))
+            wide.append((state, *[None if x is None else float(x) for b in filled for x in b]))
+        schema = ", ".join(["_state string", *[f"{n} double" for n in names]])
+        return StateBrackets(rows.sparkSession.createDataFrame(wide, schema), slots, deductions)
 
 
-def bracket_money(base: Column, previous: Column, maximum: Column) -> Column:
-    """Income inside a bracket: held to [0, maximum]; NULL if either bound is unknown."""
-    return K.floor_at(K.cap(base - previous, maximum), 0.0)
+def bracket_money(base: str, previous: str, maximum: str) -> str:
+    """Income inside a bracket: held to [0, maximum]; NULL if income or start is unknown."""
+    over = f"({base} - {previous})"
+    return K.case([(f"{over} > {maximum}", K.floor_at(maximum, 0.0))], K.floor_at(over, 0.0))
 
 
-def _sum_present(parts: list[Column]) -> Column:
+def _sum_present(parts: list[str]) -> str:
     """Sum that skips NULL and is NULL if nothing is left, as the aggregate does."""
     if not parts:
-        return F.lit(None).cast("double")
-    total = reduce(lambda a, b: a + b, [K.null_to(p, 0.0) for p in parts])
-    return F.when(F.coalesce(*parts).isNotNull(), total)
+        return "CAST(NULL AS DOUBLE)"
+    return K.case([(f"coalesce({', '.join(parts)}) IS NOT NULL", " + ".join(K.null_to(p, 0.0) for p in parts))])
 
 
 def _state_sums_by_slot(df: DataFrame, brackets: StateBrackets, income: str, state: str) -> DataFrame:
     slots = range(brackets.slots)
+    # At most MAX_BRACKET_ROWS states, checked when the table was read.
     joined = df.join(F.broadcast(brackets.table), F.col(state) == F.col("_state"), "left")
-
-    def after_deduction(i: int) -> Column:
-        if not brackets.deductions:
-            return F.col(income)
-        return F.col(income) - F.col(f"_std{i}") - F.col(f"_exempt{i}")
-
-    money = {f"_money{i}": bracket_money(after_deduction(i), F.col(f"_prev{i}"), F.col(f"_max{i}")) for i in slots}
-    bases = [after_deduction(i) for i in slots]
-    if not brackets.deductions or not bases:
-        base = F.col(income) if not brackets.deductions else F.lit(None).cast("double")
+    if brackets.deductions:
+        bases = [f"({income} - _std{i} - _exempt{i})" for i in slots]
+        base = f"array_max(array({', '.join(bases)}))" if bases else "CAST(NULL AS DOUBLE)"
     else:
-        base = bases[0] if len(bases) == 1 else F.greatest(*bases)
-    return (
-        joined.withColumns(money | {"AfterDeduction_max": base})
-        .withColumns({
-            "StateTax_sum": _sum_present([F.col(f"_money{i}") * F.col(f"_rate{i}") for i in slots]),
-            "Money_sum": _sum_present([F.col(f"_money{i}") for i in slots]),
-        })
-        .drop(*money, *brackets.table.columns)
-    )
+        bases, base = [income for _ in slots], income
+    money = {f"_money{i}": bracket_money(bases[i], f"_prev{i}", f"_max{i}") for i in slots}
+    return K.with_layers(joined, [
+        money,
+        {
+            "AfterDeduction_max": base,
+            "StateTax_sum": _sum_present([f"_money{i} * _rate{i}" for i in slots]),
+            "Money_sum": _sum_present(list(money)),
+        },
+    ]).drop(*money, *brackets.table.columns)
 
 
 def _state_sums_by_rejoin(
@@ -158,14 +161,13 @@ def _state_sums_by_rejoin(
     Repeated ids add up and NULL ids disappear in this form; it is the way for
     bracket tables beyond the size bound and the yardstick in the tests.
     """
-    base = F.col("_income")
-    if deductions:
-        base = base - F.col("Standard_Deduction") - F.col("Personal_Exemption")
+    base = "_income - Standard_Deduction - Personal_Exemption" if deductions else "_income"
     slim = df.select(key, F.col(income).alias("_income"), F.col(state).alias("State"))
     joined = join_dimension(slim, rows, "State", how) if how == "left" else slim.join(rows, "State", how)
     sums = (
-        joined.withColumn("_base", base)
-        .withColumn("_money", bracket_money(F.col("_base"), F.col("DollarsPreviousTaxed"), F.col("MaximumTaxableDollars")))
+        K.with_layers(joined, [
+            {"_base": base}, {"_money": bracket_money("_base", "DollarsPreviousTaxed", "MaximumTaxableDollars")}
+        ])
         .groupBy(key)
         .agg(
             F.max("_base").alias("AfterDeduction_max"),
@@ -176,6 +178,31 @@ def _state_sums_by_rejoin(
     return df.join(sums, key, "inner")
 
 
+def payroll_layers() -> list[dict[str, str]]:
+    """Social security on income up to a ceiling, medicare on the money taxed."""
+    ceiling, rate = rules.SOCIAL_SECURITY_CEILING, K.literal(rules.SOCIAL_SECURITY_RATE)
+    full = K.literal(ceiling * rules.SOCIAL_SECURITY_RATE)
+    return [
+        {
+            "SSamt": K.case([(f"AfterDeduction_max > {ceiling}", full)], f"AfterDeduction_max * {rate}"),
+            "Medamt": f"Money_sum * {K.literal(rules.MEDICARE_RATE)}",
+        },
+        {"StateTax": "StateTax_sum + SSamt + Medamt"},
+    ]
+
+
+def add_state_sums(
+    df: DataFrame, state_table: DataFrame | StateBrackets, income: str, state: str, deductions: bool, method: str,
+    how: str, key: str,
+) -> DataFrame:
+    prepared = state_table if isinstance(state_table, StateBrackets) else None
+    if method == "slots" and prepared is None:
+        prepared = StateBrackets.load(state_table, deductions)
+    if prepared is not None:
+        return _state_sums_by_slot(df, prepared, income, state)
+    return _state_sums_by_rejoin(df, state_table, income, state, deductions, how, key)
+
+
 def add_state_tax(
     df: DataFrame,
     state_table: DataFrame | StateBrackets,
@@ -191,30 +218,15 @@ def add_state_tax(
     ``method="slots"`` needs no shuffle.  ``method="rejoin"`` is the join and
     aggregate form; with ``how="full"`` it matches the older library.
     """
-    prepared = None
-    if method == "slots":
-        prepared = (
-            state_table if isinstance(state_table, StateBrackets) else StateBrackets.load(state_table, deductions)
-        )
-    if prepared is not None:
-        df = _state_sums_by_slot(df, prepared, income, state)
-    else:
-        df = _state_sums_by_rejoin(df, state_table, income, state, deductions, how, key)
-    ceiling = rules.SOCIAL_SECURITY_CEILING
-    base = F.col("AfterDeduction_max")
-    return df.withColumns({
-        "SSamt": F.when(base > ceiling, F.lit(ceiling * rules.SOCIAL_SECURITY_RATE)).otherwise(
-            base * rules.SOCIAL_SECURITY_RATE
-        ),
-        "Medamt": F.col("Money_sum") * rules.MEDICARE_RATE,
-    }).withColumn("StateTax", F.col("StateTax_sum") + F.col("SSamt") + F.col("Medamt"))
+    df = add_state_sums(df, state_table, income, state, deductions, method, how, key)
+    return K.with_layers(df, payroll_layers())
 
 
 # ------------------------------------------------------------ disposable income
 
 
-def monthly_income(income: str) -> Column:
-    return (F.col(income) - F.col("FederalTax") - F.col("StateTax")) / 12
+def monthly_income(income: str) -> str:
+    return f"({income} - FederalTax - StateTax) / 12"
 
 
 def calculate_ndi(
@@ -234,22 +246,19 @@ def calculate_ndi(
     Consumer ids are expected to be unique; the default method does not depend
     on them at all.
     """
-    df = df.withColumns({key: F.col(key).cast("string"), state: F.col(state).cast("string")})
+    first = {key: f"CAST({key} AS STRING)", state: f"CAST({state} AS STRING)", "Income": income}
     if preprocess:
-        df = impute_by_rules(df, rules.NDI_IMPUTATION)
+        first |= imputed_columns(rules.NDI_IMPUTATION)
     else:
-        df = df.withColumns({
-            c: K.null_to(c, 0.0) for c in ("V71_MT101S_Imputed", "V71_MT21S_Imputed", "W49_ATTR10_Imputed")
-        })
-    df = df.withColumn("Income", F.col(income)).transform(add_federal_tax, "Income")
-    df = add_state_tax(df, state_table, income, state, deductions, method, how, key)
-    return df.withColumn("MonthlyIncome", monthly_income(income)).withColumn(
-        "NDI",
-        F.col("MonthlyIncome")
-        - K.null_to("W49_ATTR06_Imputed", 0.0)
-        - K.null_to("W49_AUP1003_Imputed", 0.0)
-        - F.col("V71_INAP01_Imputed")
-        - F.col("V71_HIAP01_Imputed")
-        - F.col("V71_REAP01_Imputed")
-        - F.col(housing),
-    )
+        first |= {c: K.null_to(c, 0.0) for c in ("V71_MT101S_Imputed", "V71_MT21S_Imputed", "W49_ATTR10_Imputed")}
+    df = K.with_layers(df, [first, *federal_layers("Income")])
+    df = add_state_sums(df, state_table, income, state, deductions, method, how, key)
+    payments = [
+        K.null_to("W49_ATTR06_Imputed", 0.0), K.null_to("W49_AUP1003_Imputed", 0.0), "V71_INAP01_Imputed",
+        "V71_HIAP01_Imputed", "V71_REAP01_Imputed", housing,
+    ]
+    return K.with_layers(df, [
+        *payroll_layers(),
+        {"MonthlyIncome": monthly_income(income)},
+        {"NDI": " - ".join(["MonthlyIncome", *payments])},
+    ])

@@ -84,7 +84,7 @@ _CODES = "(-6, -5, -4, -3, -2, -1)"
 )
 def sentinel_999(spark, sf_dir):
     df = applicants(spark, sf_dir, [ID, *rules.CREDIT_MODEL_999])
-    return df.withColumns({c: K.replace_sentinels(c, 999.0) for c in rules.CREDIT_MODEL_999})
+    return K.with_sql(df, {c: K.replace_sentinels(c, 999.0) for c in rules.CREDIT_MODEL_999})
 
 
 _LOAN_RAW = [s for _, s, _ in rules.CREDIT_MODEL_LOAN_COLUMNS]
@@ -138,10 +138,10 @@ def _apr_sql(pay: str, bal: str, name: str, digits: int = 4) -> str:
 )
 def apr_clip(spark, sf_dir):
     df = applicants(spark, sf_dir, [ID, "W49_ATTR07", "W49_ATTR08", "V71_REAP01", "V71_RE101S"])
-    return with_rounded(df.select(
+    return with_rounded(df.selectExpr(
         ID,
-        K.clip_apr(K.annual_rate("W49_ATTR08", "W49_ATTR07")).alias("CCAprEst"),
-        K.clip_apr(K.annual_rate("V71_REAP01", "V71_RE101S")).alias("CCAprEst_revolving"),
+        f"{K.clip_apr(K.annual_rate('W49_ATTR08', 'W49_ATTR07'))} AS CCAprEst",
+        f"{K.clip_apr(K.annual_rate('V71_REAP01', 'V71_RE101S'))} AS CCAprEst_revolving",
     ))
 
 
@@ -696,6 +696,8 @@ def id_anti(spark, sf_dir):
 
 # ---------------------------------------------------------- income v4 encodings
 
+_AS_OF = "DATE '2022-10-01'"
+
 
 @query(
     "FN-15 FN-20",
@@ -704,7 +706,7 @@ def id_anti(spark, sf_dir):
 )
 def age_years(spark, sf_dir):
     df = applicants(spark, sf_dir, [ID, "N05_S0Y2"])
-    return df.select(ID, K.age_in_years("N05_S0Y2", F.lit("2022-10-01").cast("date")).alias("age"))
+    return df.selectExpr(ID, f"{K.age_in_years('N05_S0Y2', _AS_OF)} AS age")
 
 
 _MODE_SQL = "(SELECT {c} FROM src WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1)"
@@ -752,9 +754,8 @@ _V4_MEDIAN = ["V71_MT101S", "V71_REAP01", "W55_TRV14"]
 @query("DM-22 IMP-13 FN-15 FN-22 FN-23 JN-10")
 def income_v4_inputs(spark, sf_dir):
     raw = [ID, "N05_S0Y2", "NCOA_ADDR_ZipCode", *rules.TARGET_ENCODED, *rules.ONE_HOT_COLUMNS, *_V4_MEDIAN]
-    df = applicants(spark, sf_dir, raw).withColumn(
-        "age", K.age_in_years("N05_S0Y2", F.lit("2022-10-01").cast("date"))
-    ).drop("N05_S0Y2")
+    df = applicants(spark, sf_dir, raw)
+    df = K.with_sql(df, {"age": K.age_in_years("N05_S0Y2", _AS_OF)}).drop("N05_S0Y2")
     side = D.zip_tables(spark, sf_dir)["home_values"]
     df = append_by_clean_zip(df, side, "NCOA_ADDR_ZipCode", "zipcode").drop("NCOA_ADDR_ZipCode")
     df = impute.fill_mode_median(df, rules.TARGET_ENCODED, [*_V4_MEDIAN, "median_home", *rules.ONE_HOT_COLUMNS])

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from scorefold.functions import kernels as K
 from scorefold.functions import rules
 from scorefold.operators.credit import add_credit_attributes, apply_tier
 from scorefold.operators.features import add_reusable_features
@@ -32,7 +33,7 @@ def eligibility_steps(inputs: CampaignInputs, state_table, income: str, only_sce
     """Disposable income through price tier for one definition of income."""
     def scored(output: str):
         def step(df: DataFrame) -> DataFrame:
-            where = F.col("_in_scenario") if only_scenario else None
+            where = "_in_scenario" if only_scenario else None
             return CURRENT_SCORES[output].apply(df, inputs.models, where)
 
         return step
@@ -80,10 +81,9 @@ def score_campaign(
         eligibility_steps(inputs, state_table, rules.BEST_CASE_INCOME, only_scenario=True),
         rules.BEST_CASE_OUTPUTS,
         "bestcase_",
-        F.col("lastreportedincome").isNotNull(),
-    ).withColumn(
-        rules.BEST_CASE_INCOME, F.when(F.col("lastreportedincome").isNotNull(), F.col(rules.BEST_CASE_INCOME))
+        "lastreportedincome IS NOT NULL",
     )
+    df = K.with_sql(df, {rules.BEST_CASE_INCOME: K.case([("lastreportedincome IS NOT NULL", rules.BEST_CASE_INCOME)])})
     df = base_run(df, inputs, state_table)
     return df if columns is None else select_columns(df, columns)
 

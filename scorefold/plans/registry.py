@@ -6,9 +6,9 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from scorefold.functions.kernels import quoted, with_sql
 from scorefold.session import configure
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -43,7 +43,7 @@ def with_rounded(df: DataFrame, digits: int = 4, skip: Sequence[str] = ()) -> Da
         f.name for f in df.schema.fields
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)) and f.name not in skip
     ]
-    return df.withColumns({c: F.round(F.col(f"`{c}`").cast("double"), digits) for c in floats})
+    return with_sql(df, {c: f"round(CAST({quoted(c)} AS DOUBLE), {digits})" for c in floats})
 
 
 # ------------------------------------------------------------------ check SQL

@@ -93,7 +93,7 @@ def score_trees(spark, sf_dir):
 )
 def score_arrow(spark, sf_dir):
     df = applicants(spark, sf_dir, _MODEL_RAW)
-    scored = score(df, TREES, "score", where=F.col("W55_TRV01") >= 0, engine="arrow")
+    scored = score(df, TREES, "score", where="W55_TRV01 >= 0", engine="arrow")
     return with_rounded(scored.select(ID, "score"), 6)
 
 
@@ -259,7 +259,7 @@ def bestcase_scenario(spark, sf_dir):
         [lambda x: calculate_ndi(x, brackets, income=_BEST), lambda x: add_credit_attributes(x, income=_BEST)],
         [_BEST, "MonthlyDti", "Bti", "Tradeline_NDI"],
         "bestcase_",
-        F.col("lastreportedincome").isNotNull(),
+        "lastreportedincome IS NOT NULL",
     )
     kept = out.select(
         ID, F.col(f"bestcase_{_BEST}").alias(_BEST), "bestcase_MonthlyDti", "bestcase_Bti", "bestcase_Tradeline_NDI"

@@ -101,7 +101,7 @@ def rounded_trips(spark, sf_dir):
 )
 def weekend_and_month(spark, sf_dir):
     events = D.table(spark, sf_dir, "events")
-    return events.select("event_id", K.is_weekend("ts").alias("weekend"), K.month_partition("ts").alias("yyyy_mm"))
+    return events.selectExpr("event_id", f"{K.is_weekend('ts')} AS weekend", f"{K.month_partition('ts')} AS yyyy_mm")
 
 
 # --------------------------------------------------------------- feature tables

@@ -73,7 +73,7 @@ def read_selected_files(
 
 def read_zip_table(spark: SparkSession, path: str, schema: Schema, zip_column: str = "zipcode") -> DataFrame:
     """ZIP-level CSV whose key is kept as five-digit text."""
-    return read_csv(spark, path, schema).withColumn(zip_column, K.clean_zip(zip_column))
+    return K.with_sql(read_csv(spark, path, schema), {zip_column: K.clean_zip(zip_column)})
 
 
 def read_feature_list(spark: SparkSession, path: str) -> list[str]:
