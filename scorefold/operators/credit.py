@@ -17,18 +17,14 @@ def attribute_aliases(**sources: str) -> dict[str, str]:
     return rules.ATTRIBUTE_SOURCES | sources
 
 
-def tradeline_layers(income: str, housing: str) -> list[dict[str, str]]:
+def tradeline_ndi(income: str, housing: str) -> str:
     """Disposable income from payments as reported: only NULL becomes 0, negative codes stay."""
-    payments = [K.null_to("V71_REAP01", 0.0), K.null_to("V71_INAP01", 0.0), housing]
-    return [
-        {"MonthlyIncome": monthly_income(income)},
-        {"Tradeline_NDI": " - ".join(["MonthlyIncome", *payments])},
-        {"CPg_NDI": "Tradeline_NDI"},
-    ]
+    return " - ".join([monthly_income(income), K.null_to("V71_REAP01", 0.0), K.null_to("V71_INAP01", 0.0), housing])
 
 
 def add_tradeline_ndi(df: DataFrame, income: str, housing: str = "HPE_Housing_Payment_Estimation") -> DataFrame:
-    return K.with_layers(df, tradeline_layers(income, housing))
+    ndi = tradeline_ndi(income, housing)
+    return K.with_sql(df, {"MonthlyIncome": monthly_income(income), "Tradeline_NDI": ndi, "CPg_NDI": ndi})
 
 
 def cleaned_inputs(aliases: dict[str, str]) -> dict[str, str]:
@@ -46,32 +42,27 @@ def cleaned_inputs(aliases: dict[str, str]) -> dict[str, str]:
     }
 
 
-def derived_layers() -> list[dict[str, str]]:
-    """Ratios of balances, payments, income and the requested loan, in dependency order."""
+def derived_columns() -> dict[str, str]:
+    """Ratios of balances, payments, income and the requested loan."""
     loan, balance, income = "CPg_RequestedLoanAmount", "CPg_UnsecuredSummaryBalance", "CPg_Income"
-    extra = K.positive_part("CPg_LieDetectorDiff")
+    extra = K.positive_part(f"({loan} - {balance})")
+    bti = K.ratio(balance, income)
     dti = K.ratio("(CPv5_5_SNC_NonMortgageMonthlyPayment + CPg_HousingPayment)", income)
     new_cards = f"(1 - {K.ratio('CPv5_5_SNC_V71_BC25S', 'CPv5_5_SNC_V71_BC03S')})"
-    return [
-        {
-            balance: "CPv5_5_SNC_RevolvingBalance + CPv5_5_SNC_UILBalance",
-            "CPg_MonthlyDti": f"{dti} * 12",
-            "CPg_PctNewBCTradesInPast12mo": K.cap(new_cards, 1.0),
-            "CPg_OverlimitTrend": K.ratio("CPv5_5_SNC_W55_TRV02", "CPv5_5_SNC_W55_TRV01"),
-            "CPg_W55_AGG910_UNF": K.flag("W55_AGG910 < 0"),
-        },
-        {
-            # No balance, or an unknown one, makes the ratio infinite.
-            "CPg_LieDetectorRatio": K.case([(f"{balance} != 0", K.ratio(loan, balance))], K.INF),
-            "CPg_LieDetectorDiff": f"{loan} - {balance}",
-            "CPg_Bti": K.ratio(balance, income),
-        },
-        {
-            "CPg_LieDetectorHigh": K.case([("CPg_LieDetectorRatio >= 1", f"1 - {K.ratio(balance, loan)}")], "0D"),
-            "CPg_NdiWithLieDetector": f"CPg_NDI - {extra} * {K.literal(rules.LIE_DETECTOR_PAYMENT_FACTOR)}",
-            "CPg_BtiWithLieDetector": f"CPg_Bti + {K.ratio(extra, income)}",
-        },
-    ]
+    # No balance, or an unknown one, makes the ratio infinite.
+    ratio = K.case([(f"{balance} != 0", K.ratio(loan, balance))], K.INF)
+    return {
+        "CPg_LieDetectorRatio": ratio,
+        "CPg_LieDetectorDiff": f"{loan} - {balance}",
+        "CPg_LieDetectorHigh": K.case([(f"{ratio} >= 1", f"1 - {K.ratio(balance, loan)}")], "0D"),
+        "CPg_NdiWithLieDetector": f"CPg_NDI - {extra} * {K.literal(rules.LIE_DETECTOR_PAYMENT_FACTOR)}",
+        "CPg_MonthlyDti": f"{dti} * 12",
+        "CPg_Bti": bti,
+        "CPg_BtiWithLieDetector": f"{bti} + {K.ratio(extra, income)}",
+        "CPg_PctNewBCTradesInPast12mo": K.cap(new_cards, 1.0),
+        "CPg_OverlimitTrend": K.ratio("CPv5_5_SNC_W55_TRV02", "CPv5_5_SNC_W55_TRV01"),
+        "CPg_W55_AGG910_UNF": K.flag("W55_AGG910 < 0"),
+    }
 
 
 def add_credit_attributes(
@@ -82,10 +73,14 @@ def add_credit_attributes(
 ) -> DataFrame:
     """Aliases, tradeline disposable income, derived attributes and short names."""
     aliases = attribute_aliases(**({"CPg_Income": income, "CPg_HousingPayment": housing} | sources))
-    monthly, *tradeline = tradeline_layers(income, housing)
-    return K.with_layers(df, [
-        aliases | cleaned_inputs(aliases) | monthly, *tradeline, *derived_layers(), rules.ATTRIBUTE_SHORT_NAMES
-    ])
+    cleaned = cleaned_inputs(aliases)
+    balance = f"{cleaned['CPv5_5_SNC_RevolvingBalance']} + {cleaned['CPv5_5_SNC_UILBalance']}"
+    ndi = tradeline_ndi(income, housing)
+    first = aliases | cleaned | {
+        "MonthlyIncome": monthly_income(income), "Tradeline_NDI": ndi, "CPg_NDI": ndi,
+        "CPg_UnsecuredSummaryBalance": balance,
+    }
+    return K.with_layers(df, [first, derived_columns(), rules.ATTRIBUTE_SHORT_NAMES])
 
 
 def apply_tier(df: DataFrame, score: str = "CM_Credit_Model_Score", output: str = "PricingTier_v6") -> DataFrame:

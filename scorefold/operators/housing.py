@@ -45,6 +45,5 @@ def estimate_housing(
 
     return K.with_layers(df, [
         {"_rent": rent_estimate(income, median_rental), "_mortgage": mortgage_estimate(income)},
-        {"_rent": held("_rent"), "_mortgage": held("_mortgage")},
-        {output: K.case([("_rent > _mortgage", "_rent")], "_mortgage")},
+        {output: K.case([(f"{held('_rent')} > {held('_mortgage')}", held("_rent"))], held("_mortgage"))},
     ]).drop("_rent", "_mortgage")

@@ -146,34 +146,38 @@ def bin_ranges(legacy: DataFrame, columns: Sequence[str], margin: float = 1e-4)
     }
 
 
-def bin_of(c: str | Column, low: float, high: float, bins: int = 100) -> Column:
-    """Equal-width bin 0 ... bins-1; -1 below the range, ``bins`` above it, NULL if missing.
+def _with_bin(df: DataFrame, bins: int) -> DataFrame:
+    """Replace (value, low, high) by an equal-width ``bin``.
 
-    The division only proposes a bin; comparing with the bin's own edges
-    settles values that fall on or next to an edge.
+    0 ... bins-1 inside the range, -1 below it, ``bins`` above it, NULL if the
+    value is missing.  The division only proposes a bin; comparing with the
+    bin's own edges settles values on or next to an edge.  The steps are
+    separate projections, so that each is evaluated once per row.
     """
-    x = _column(c).cast("double")
-    step = (high - low) / bins
-    guess = F.floor((x - low) / step)
-    settled = (
-        F.when(x < guess * step + low, guess - 1)
-        .when(x >= (guess + 1) * step + low, guess + 1)
-        .otherwise(guess)
-    )
-    settled = F.when(settled >= bins, F.lit(bins - 1)).when(settled < 0, F.lit(0)).otherwise(settled)
+    x, guess = F.col("value"), F.col("guess")
+    inside = F.least(F.greatest(F.col("bin"), F.lit(0)), F.lit(bins - 1))
     return (
-        F.when(missing(x), F.lit(None))
-        .when(x < low, F.lit(-1))
-        .when(x > high, F.lit(bins))
-        .otherwise(settled)
-        .cast("int")
+        df.withColumn("step", (F.col("high") - F.col("low")) / bins)
+        .withColumn("guess", F.floor((x - F.col("low")) / F.col("step")))
+        .withColumn("bin", guess
+                    - F.when(x < guess * F.col("step") + F.col("low"), 1).otherwise(0)
+                    + F.when(x >= (guess + 1) * F.col("step") + F.col("low"), 1).otherwise(0))
+        .withColumn("bin", F.when(x < F.col("low"), -1).when(x > F.col("high"), bins)
+                    .when(~missing(x), inside).cast("int"))
+        .drop("value", "low", "high", "step", "guess")
     )
 
 
-def _binned(df: DataFrame, columns: dict[str, str], ranges: dict[str, tuple[float, float]], side: str, bins: int) -> DataFrame:
-    """(side, score, bin) rows; ``columns`` maps score name to this side's column."""
-    slim = df.select(*[bin_of(c, *ranges[score], bins).alias(score) for score, c in columns.items()])
-    return slim.unpivot([], list(columns), "score", "bin").withColumn("side", F.lit(side))
+def _binned(df: DataFrame, columns: dict[str, str], ranges: dict[str, tuple[float, float]], side: str) -> DataFrame:
+    """(score, value, low, high, side) rows; ``columns`` maps score name to this side's column."""
+    rows = F.array(*[
+        F.struct(
+            F.lit(score).alias("score"), F.col(c).cast("double").alias("value"),
+            F.lit(ranges[score][0]).alias("low"), F.lit(ranges[score][1]).alias("high"),
+        )
+        for score, c in columns.items()
+    ])
+    return df.select(F.inline(rows), F.lit(side).alias("side")).filter(~missing(F.col("value")))
 
 
 def bin_differences(current: DataFrame, legacy: DataFrame, pairs: Pairs, bins: int = 100, margin: float = 1e-4) -> DataFrame:
@@ -184,10 +188,10 @@ def bin_differences(current: DataFrame, legacy: DataFrame, pairs: Pairs, bins: i
     """
     by_legacy = bin_ranges(legacy, [b for _, b in pairs], margin)
     ranges = {a: by_legacy[b] for a, b in pairs if b in by_legacy}
-    stacked = _binned(current, {a: a for a in ranges}, ranges, "current", bins).unionAll(
-        _binned(legacy, {a: b for a, b in pairs if a in ranges}, ranges, "legacy", bins)
+    stacked = _binned(current, {a: a for a in ranges}, ranges, "current").unionAll(
+        _binned(legacy, {a: b for a, b in pairs if a in ranges}, ranges, "legacy")
     )
-    counted = stacked.filter(F.col("bin").isNotNull()).groupBy("score", "bin").agg(
+    counted = _with_bin(stacked, bins).groupBy("score", "bin").agg(
         F.count(F.when(F.col("side") == "current", 1)).alias("n"),
         F.count(F.when(F.col("side") == "legacy", 1)).alias("legacy_count"),
     )
@@ -217,6 +221,7 @@ def moved_share(differences: DataFrame, total: int) -> DataFrame:
 
 def distribution(df: DataFrame, column: str, low: float, high: float, bins: int = 100) -> DataFrame:
     """Row count per bin of one score, in bin order."""
-    return df.select(bin_of(column, low, high, bins).alias("bin")).groupBy("bin").count().orderBy("bin")
+    values = df.select(F.col(column).cast("double").alias("value"), F.lit(low).alias("low"), F.lit(high).alias("high"))
+    return _with_bin(values, bins).groupBy("bin").count().orderBy("bin")
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections import defaultdict
 from dataclasses import dataclass
 
@@ -20,36 +21,34 @@ MAX_BRACKETS_PER_STATE = 64
 # ------------------------------------------------------------ mortgage, federal
 
 
-def mortgage_layers() -> list[dict[str, str]]:
-    """Remaining payments and the yearly share of the interest still to pay."""
+def mortgage_columns(paid: str, term: str, amount: str) -> dict[str, str]:
+    """Remaining payments of a mortgage from payments made, its term and amount."""
+    left = f"({paid} - {term})"
+    months = K.case([(f"{left} < 0", K.literal(float(rules.MORTGAGE_DEFAULT_MONTHS)))], left)
+    return {"MortAmnt": amount, "NumMortPayRemaing": months}
+
+
+def yearly_interest() -> str:
+    """Yearly share of the interest still to pay; 0 if unknown or negative.
+
+    With monthly rate r and n payments left, the payments on one dollar are
+    n * r / (1 - (1 + r) ** -n), so a year's interest is 12 * (that - 1) / n.
+    """
     rate = rules.MORTGAGE_MONTHLY_RATE
-    left = "(W49_ATTR10_Imputed - V71_MT21S_Imputed)"
-    growth = f"pow({K.literal(1 + rate)}, NumMortPayRemaing)"
-    paid = K.ratio(f"{K.literal(rate)} * NumMortPayRemaing * {growth}", f"({growth} - 1)")
-    yearly = K.null_to(K.ratio("12 * TotalMortInterest", "NumMortPayRemaing"), 0.0)
-    return [
-        {
-            "MortAmnt": "V71_MT101S_Imputed",
-            "NumMortPayRemaing": K.case([(f"{left} < 0", K.literal(float(rules.MORTGAGE_DEFAULT_MONTHS)))], left),
-        },
-        {"TotalMortInterest": f"MortAmnt * ({paid} - 1)"},
-        {"YearAvgMortInterest": K.floor_at(yearly, 0.0)},
-    ]
+    payment = K.ratio(K.literal(rate), f"(1 - pow({K.literal(1 + rate)}, -NumMortPayRemaing))")
+    share = f"12 * MortAmnt * ({payment} - {K.ratio('1D', 'NumMortPayRemaing')})"
+    return f"greatest({K.null_to(share, 0.0)}, 0D)"
 
 
 def taxable_income(income: str) -> str:
     reduced = K.case(
         [(f"{income} < {rules.PERSONAL_EXEMPTION_BELOW}", f"{income} - {rules.PERSONAL_EXEMPTION}")], income
     )
-    return f"{reduced} - {rules.STANDARD_DEDUCTION} - YearAvgMortInterest"
-
+    return f"{reduced} - {rules.STANDARD_DEDUCTION} - {yearly_interest()}"
 
-def federal_bracket_taxes(taxable: str) -> dict[str, str]:
-    """Tax due inside each federal bracket.
 
-    The first bracket is not floored at zero, so negative taxable income gives
-    a negative amount that the floor on the total removes.
-    """
+def federal_bracket_taxes(taxable: str = "TaxableIncome") -> dict[str, str]:
+    """Tax due inside each federal bracket."""
     edges = [low for low, _ in rules.FEDERAL_BRACKETS] + [None]
     taxes = {}
     for i, (low, rate) in enumerate(rules.FEDERAL_BRACKETS):
@@ -62,62 +61,69 @@ def federal_bracket_taxes(taxable: str) -> dict[str, str]:
     return taxes
 
 
-def federal_layers(income: str) -> list[dict[str, str]]:
-    """Everything from mortgage interest to FederalTax, in dependency order."""
-    brackets = federal_bracket_taxes("TaxableIncome")
-    total = f"({' + '.join(brackets)})"
-    return [
-        *mortgage_layers(),
-        {"TaxableIncome": taxable_income(income)},
-        brackets,
-        {"FederalTax": K.floor_at(total, 0.0)},
-    ]
+def federal_columns() -> dict[str, str]:
+    """FederalTax and its parts; only the first part can be negative, and then the tax is 0."""
+    parts = federal_bracket_taxes()
+    return parts | {"FederalTax": K.case([("TaxableIncome < 0", "0D")], " + ".join(parts.values()))}
 
 
 def add_federal_tax(df: DataFrame, income: str) -> DataFrame:
-    return K.with_layers(df, federal_layers(income))
+    """Mortgage interest, taxable income and federal tax from imputed columns."""
+    return K.with_layers(df, [
+        mortgage_columns("W49_ATTR10_Imputed", "V71_MT21S_Imputed", "V71_MT101S_Imputed"),
+        {"YearAvgMortInterest": yearly_interest(), "TaxableIncome": taxable_income(income)},
+        federal_columns(),
+    ])
 
 
 # ------------------------------------------------------------------ state taxes
 
-_FIELDS = {"DollarsPreviousTaxed": "prev", "MaximumTaxableDollars": "max", "Rates": "rate"}
-_DEDUCTION_FIELDS = {"Standard_Deduction": "std", "Personal_Exemption": "exempt"}
-
 
 @dataclass(frozen=True)
 class StateBrackets:
     """A state tax table turned into one row per state.
 
-    ``table`` has one group of columns per bracket position, so that the tax is
-    a plain expression after a one-to-one join, and the applicant table is
-    neither multiplied nor grouped.
+    ``table`` has the columns ``_prev``, ``_max`` and ``_rate`` of every bracket
+    position, so that the tax is a plain expression after a one-to-one join,
+    and the applicant table is neither multiplied nor grouped.  Unused
+    positions start at infinity and hold no money.
     """
 
     table: DataFrame
     slots: int
-    deductions: bool
 
     @staticmethod
     def load(rows: DataFrame, deductions: bool = False) -> StateBrackets | None:
         """Read the control table once; None if it is too large to be one."""
-        fields = _FIELDS | (_DEDUCTION_FIELDS if deductions else {})
-        listed = rows.select("State", *fields).limit(MAX_BRACKET_ROWS + 1).collect()
+        money = ["DollarsPreviousTaxed", "MaximumTaxableDollars", "Rates"]
+        less = ["Standard_Deduction", "Personal_Exemption"] if deductions else []
+        listed = rows.select("State", *money, *less).limit(MAX_BRACKET_ROWS + 1).collect()
         states = defaultdict(list)
         for r in listed:
             if r["State"] is not None:
-                states[r["State"]].append(tuple(r)[1:])
+                deducted = sum(r[c] for c in less) if all(r[c] is not None for c in less) else None
+                states[r["State"]].append((deducted, *(r[c] for c in money)))
         slots = max(map(len, states.values()), default=0)
         if len(listed) > MAX_BRACKET_ROWS or slots > MAX_BRACKETS_PER_STATE:
             return None
-        empty = (None,) * len(fields)
-        names = [f"_{short}{i}" for i in range(slots) for short in fields.values()]
-        wide = []
-        for state, brackets in states.items():
-            brackets.sort(key=lambda b: tuple((x is None, x or 0.0) for x in b))
-            filled = brackets + [empty] * (slots - len(brackets))
-            wide.append((state, *[None if x is None else float(x) for b in filled for x in b]))
-        schema = ", ".join(["_state string", *[f"{n} double" for n in names]])
-        return StateBrackets(rows.sparkSession.createDataFrame(wide, schema), slots, deductions)
+        wide = [_state_row(state, found, slots) for state, found in states.items()]
+        names = [f"_{part}{i}" for i in range(slots) for part in ("less", "prev", "max", "rate")]
+        schema = ", ".join(["_state string", "_deduction double", "_taxed boolean", *[f"{n} double" for n in names]])
+        return StateBrackets(rows.sparkSession.createDataFrame(wide, schema), slots)
+
+
+def _state_row(state: str, found: list[tuple], slots: int) -> tuple:
+    """One state's brackets side by side; a bracket without deduction or start holds no money."""
+    usable = sorted(
+        (float(less), float(prev), math.inf if top is None else float(top), rate)
+        for less, prev, top, rate in found if less is not None and prev is not None
+    )
+    deductions = [less for less, *_ in found if less is not None]
+    taxed = any(rate is not None for *_, rate in usable)
+    cells = [(less, prev, top, 0.0 if rate is None else float(rate)) for less, prev, top, rate in usable]
+    none = (None, None, None, None) if not usable else (0.0, math.inf, 0.0, 0.0)
+    cells += [none] * (slots - len(cells))
+    return (state, float(min(deductions)) if deductions else None, taxed, *[x for c in cells for x in c])
 
 
 def bracket_money(base: str, previous: str, maximum: str) -> str:
@@ -126,31 +132,20 @@ def bracket_money(base: str, previous: str, maximum: str) -> str:
     return K.case([(f"{over} > {maximum}", K.floor_at(maximum, 0.0))], K.floor_at(over, 0.0))
 
 
-def _sum_present(parts: list[str]) -> str:
-    """Sum that skips NULL and is NULL if nothing is left, as the aggregate does."""
-    if not parts:
-        return "CAST(NULL AS DOUBLE)"
-    return K.case([(f"coalesce({', '.join(parts)}) IS NOT NULL", " + ".join(K.null_to(p, 0.0) for p in parts))])
+def _join_brackets(df: DataFrame, brackets: StateBrackets, state: str) -> DataFrame:
+    # At most MAX_BRACKET_ROWS states, checked when the table was read.
+    return df.join(F.broadcast(brackets.table), F.col(state) == F.col("_state"), "left")
 
 
-def _state_sums_by_slot(df: DataFrame, brackets: StateBrackets, income: str, state: str) -> DataFrame:
+def _slot_layers(brackets: StateBrackets, income: str) -> tuple[dict[str, str], dict[str, str]]:
     slots = range(brackets.slots)
-    # At most MAX_BRACKET_ROWS states, checked when the table was read.
-    joined = df.join(F.broadcast(brackets.table), F.col(state) == F.col("_state"), "left")
-    if brackets.deductions:
-        bases = [f"({income} - _std{i} - _exempt{i})" for i in slots]
-        base = f"array_max(array({', '.join(bases)}))" if bases else "CAST(NULL AS DOUBLE)"
-    else:
-        bases, base = [income for _ in slots], income
-    money = {f"_money{i}": bracket_money(bases[i], f"_prev{i}", f"_max{i}") for i in slots}
-    return K.with_layers(joined, [
-        money,
-        {
-            "AfterDeduction_max": base,
-            "StateTax_sum": _sum_present([f"_money{i} * _rate{i}" for i in slots]),
-            "Money_sum": _sum_present(list(money)),
-        },
-    ]).drop(*money, *brackets.table.columns)
+    money = {f"_money{i}": bracket_money(f"({income} - _less{i})", f"_prev{i}", f"_max{i}") for i in slots}
+    none = "CAST(NULL AS DOUBLE)"
+    tax = " + ".join(f"_money{i} * _rate{i}" for i in slots) or none
+    return money, {
+        "StateTax_sum": K.case([("_taxed", tax)]),
+        "Money_sum": " + ".join(money) or none,
+    }
 
 
 def _state_sums_by_rejoin(
@@ -178,29 +173,35 @@ def _state_sums_by_rejoin(
     return df.join(sums, key, "inner")
 
 
-def payroll_layers() -> list[dict[str, str]]:
+def payroll_columns(base: str) -> dict[str, str]:
     """Social security on income up to a ceiling, medicare on the money taxed."""
     ceiling, rate = rules.SOCIAL_SECURITY_CEILING, K.literal(rules.SOCIAL_SECURITY_RATE)
     full = K.literal(ceiling * rules.SOCIAL_SECURITY_RATE)
-    return [
-        {
-            "SSamt": K.case([(f"AfterDeduction_max > {ceiling}", full)], f"AfterDeduction_max * {rate}"),
-            "Medamt": f"Money_sum * {K.literal(rules.MEDICARE_RATE)}",
-        },
-        {"StateTax": "StateTax_sum + SSamt + Medamt"},
-    ]
+    return {
+        "SSamt": K.case([(f"{base} > {ceiling}", full)], f"{base} * {rate}"),
+        "Medamt": f"Money_sum * {K.literal(rules.MEDICARE_RATE)}",
+    }
+
+
+def state_tax_total(base: str) -> str:
+    return " + ".join(["StateTax_sum", *payroll_columns(base).values()])
 
 
 def add_state_sums(
     df: DataFrame, state_table: DataFrame | StateBrackets, income: str, state: str, deductions: bool, method: str,
-    how: str, key: str,
+    how: str, key: str, alongside: dict[str, str] | None = None,
 ) -> DataFrame:
+    """State sums; ``alongside`` are further columns for the same projection."""
     prepared = state_table if isinstance(state_table, StateBrackets) else None
     if method == "slots" and prepared is None:
         prepared = StateBrackets.load(state_table, deductions)
-    if prepared is not None:
-        return _state_sums_by_slot(df, prepared, income, state)
-    return _state_sums_by_rejoin(df, state_table, income, state, deductions, how, key)
+    if prepared is None:
+        df = _state_sums_by_rejoin(df, state_table, income, state, deductions, how, key)
+        return K.with_sql(df, alongside or {})
+    money, sums = _slot_layers(prepared, income)
+    base = {"AfterDeduction_max": f"{income} - _deduction" if deductions else income}
+    df = K.with_layers(_join_brackets(df, prepared, state), [money | base | (alongside or {}), sums])
+    return df.drop(*money, *prepared.table.columns)
 
 
 def add_state_tax(
@@ -219,14 +220,15 @@ def add_state_tax(
     aggregate form; with ``how="full"`` it matches the older library.
     """
     df = add_state_sums(df, state_table, income, state, deductions, method, how, key)
-    return K.with_layers(df, payroll_layers())
+    base = "AfterDeduction_max"
+    return K.with_sql(df, payroll_columns(base) | {"StateTax": state_tax_total(base)})
 
 
 # ------------------------------------------------------------ disposable income
 
 
-def monthly_income(income: str) -> str:
-    return f"({income} - FederalTax - StateTax) / 12"
+def monthly_income(income: str, state_tax: str = "StateTax") -> str:
+    return f"({income} - FederalTax - ({state_tax})) / 12"
 
 
 def calculate_ndi(
@@ -246,19 +248,29 @@ def calculate_ndi(
     Consumer ids are expected to be unique; the default method does not depend
     on them at all.
     """
-    first = {key: f"CAST({key} AS STRING)", state: f"CAST({state} AS STRING)", "Income": income}
-    if preprocess:
-        first |= imputed_columns(rules.NDI_IMPUTATION)
-    else:
-        first |= {c: K.null_to(c, 0.0) for c in ("V71_MT101S_Imputed", "V71_MT21S_Imputed", "W49_ATTR10_Imputed")}
-    df = K.with_layers(df, [first, *federal_layers("Income")])
-    df = add_state_sums(df, state_table, income, state, deductions, method, how, key)
+    raw = imputed_columns(rules.NDI_IMPUTATION)
+    imputed = raw if preprocess else {c: K.quoted(c) for c in raw}
+    paid, term, amount = (
+        imputed[c] if preprocess else K.null_to(c, 0.0)
+        for c in ("W49_ATTR10_Imputed", "V71_MT21S_Imputed", "V71_MT101S_Imputed")
+    )
+    df = K.with_layers(df, [
+        {key: f"CAST({key} AS STRING)", state: f"CAST({state} AS STRING)", "Income": income}
+        | (imputed if preprocess else {})
+        | mortgage_columns(paid, term, amount),
+        {"YearAvgMortInterest": yearly_interest(), "TaxableIncome": taxable_income(income)},
+    ])
+    df = add_state_sums(
+        df, state_table, income, state, deductions, method, how, key, alongside=federal_columns()
+    )
     payments = [
         K.null_to("W49_ATTR06_Imputed", 0.0), K.null_to("W49_AUP1003_Imputed", 0.0), "V71_INAP01_Imputed",
         "V71_HIAP01_Imputed", "V71_REAP01_Imputed", housing,
     ]
-    return K.with_layers(df, [
-        *payroll_layers(),
-        {"MonthlyIncome": monthly_income(income)},
-        {"NDI": " - ".join(["MonthlyIncome", *payments])},
-    ])
+    base = "AfterDeduction_max"
+    monthly = monthly_income(income, state_tax_total(base))
+    return K.with_sql(df, payroll_columns(base) | {
+        "StateTax": state_tax_total(base),
+        "MonthlyIncome": monthly,
+        "NDI": " - ".join([monthly, *payments]),
+    })

@@ -37,13 +37,16 @@ def query(covers: str, sql: str | None = None) -> Callable[[Run], Run]:
     return register
 
 
-def with_rounded(df: DataFrame, digits: int = 4, skip: Sequence[str] = ()) -> DataFrame:
-    """Floating-point columns rounded, so that two engines agree on the last digits."""
+def with_rounded(df: DataFrame, digits: int = 4, skip: Sequence[str] = (), finer: Sequence[str] = ()) -> DataFrame:
+    """Floating-point columns rounded, so that two engines agree on the last digits.
+
+    Columns in ``finer`` keep six digits.
+    """
     floats = [
         f.name for f in df.schema.fields
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)) and f.name not in skip
     ]
-    return with_sql(df, {c: f"round(CAST({quoted(c)} AS DOUBLE), {digits})" for c in floats})
+    return with_sql(df, {c: f"round(CAST({quoted(c)} AS DOUBLE), {6 if c in finer else digits})" for c in floats})
 
 
 # ------------------------------------------------------------------ check SQL
