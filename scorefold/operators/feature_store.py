@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from scorefold.functions import kernels as K
 from scorefold.operators.joins import lookup
 from scorefold.operators.projection import between_times, rounded
-from scorefold.session import cut_lineage
+from scorefold.session import staged
 
 PICKUP_COLUMNS = ["mean_fare_window_1h_pickup_zip", "count_trips_window_1h_pickup_zip"]
 DROPOFF_COLUMNS = ["count_trips_window_30m_dropoff_zip", "dropoff_is_weekend"]
@@ -32,16 +32,17 @@ def pickup_features(
     ts: str = "tpep_pickup_datetime",
     zip_column: str = "pickup_zip",
     fare: str = "fare_amount",
-    panes: bool = True,
+    panes: bool = False,
 ) -> DataFrame:
     """Mean fare and trip count per ZIP over one-hour windows every 15 minutes.
 
     A window is known by its end.  The range filter runs before windowing, so
     windows at the ends of the range are partial, and ``end`` is exclusive.
 
-    With ``panes`` trips are first summed per 15-minute pane and only the pane
-    totals are copied into the four windows they belong to; without it every
-    trip is copied four times.  Streams use the second form.
+    Trips are counted per window before the shuffle, so a busy ZIP moves as few
+    rows as a quiet one.  With ``panes`` they are first summed per 15-minute
+    pane and only pane totals are copied into the four windows they belong to:
+    a quarter of the row expansion for a second, small shuffle.
     """
     df = _with_times(between_times(df, ts, start, end), ts)
     window = F.window(ts, "1 hour", "15 minutes")
@@ -195,28 +196,33 @@ class FeatureStore:
 
     def _merge(self, name: str, batch: DataFrame, order_by: str | None) -> None:
         properties = self._properties(name)
-        keys, parts = properties["primary_keys"], properties["partition_columns"]
         columns = self.spark.table(name).columns
         if order_by:
-            batch = latest_per_key(batch, keys, order_by).select(*columns)
-        # Computed once: the batch is read for its partitions, its keys and its rows.
-        batch = cut_lineage(batch)
-        if self._bad_keys(batch, keys):
-            raise DuplicateKeyError(f"batch for {name}: {keys} is not a key")
-        current = self.spark.table(name)
-        touched = batch.select(*parts).distinct()
-        if not properties["partition_from_key"]:
-            held = current.join(batch.select(*keys), keys, "left_semi").select(*parts)
+            batch = latest_per_key(batch, properties["primary_keys"], order_by).select(*columns)
+        # The batch is read for its partitions, its keys and its rows.
+        with staged(batch) as computed:
+            self._merge_staged(name, computed, columns, **properties)
+        self.spark.catalog.refreshTable(name)
+
+    def _merge_staged(
+        self, name: str, batch: DataFrame, columns: Sequence[str], primary_keys: Sequence[str],
+        partition_columns: Sequence[str], partition_from_key: bool,
+    ) -> None:
+        if self._bad_keys(batch, primary_keys):
+            raise DuplicateKeyError(f"batch for {name}: {primary_keys} is not a key")
+        current, keys = self.spark.table(name), batch.select(*primary_keys)
+        touched = batch.select(*partition_columns).distinct()
+        if not partition_from_key:
+            held = current.join(keys, primary_keys, "left_semi").select(*partition_columns)
             touched = touched.unionByName(held).distinct()
-        touched_rows = touched.collect()
-        if not touched_rows:
+        rows = touched.collect()  # one row per partition of the table at most
+        if not rows:
             return
-        kept = current.filter(_any_partition(touched_rows, parts)).join(batch.select(*keys), keys, "left_anti")
-        merged = kept.unionByName(batch).select(*columns).hint("rebalance", *parts)
+        kept = current.filter(_any_partition(rows, partition_columns)).join(keys, primary_keys, "left_anti")
+        merged = kept.unionByName(batch).select(*columns).hint("rebalance", *partition_columns)
         # Spark writes touched partitions aside and swaps them in at job commit.
         with _dynamic_overwrite(self.spark):
             merged.write.insertInto(name, overwrite=True)
-        self.spark.catalog.refreshTable(name)
 
     def table(self, name: str) -> DataFrame:
         return self.spark.table(name)
@@ -240,13 +246,13 @@ class FeatureStore:
 
 def _any_partition(rows: Sequence, parts: Sequence[str]):
     """Predicate on partition columns; it prunes directories."""
-    if len(parts) == 1:
+    if len(parts) == 1 and all(r[0] is not None for r in rows):
         return F.col(parts[0]).isin([r[0] for r in rows])
     found = F.lit(False)
     for r in rows:
         this = F.lit(True)
-        for p in parts:
-            this = this & (F.col(p) == F.lit(r[p]))
+        for part, value in zip(parts, r):
+            this = this & F.col(part).eqNullSafe(F.lit(value))
         found = found | this
     return found
 

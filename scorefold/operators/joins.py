@@ -21,19 +21,20 @@ _TYPE_BYTES = {
 _OTHER_BYTES = 64
 
 
-def row_bound(df: DataFrame, budget: int = BROADCAST_BYTES) -> int:
+def row_bound(df: DataFrame, budget: int | None = None) -> int:
     """How many rows of this width fit the broadcast budget."""
+    budget = BROADCAST_BYTES if budget is None else budget
     width = sum(_TYPE_BYTES.get(f.dataType.simpleString(), _OTHER_BYTES) for f in df.schema.fields)
     return budget // max(width, 1)
 
 
-def fits_broadcast(df: DataFrame, budget: int = BROADCAST_BYTES) -> bool:
+def fits_broadcast(df: DataFrame, budget: int | None = None) -> bool:
     bound = row_bound(df, budget)
     return df.limit(bound + 1).count() <= bound
 
 
 def join_dimension(
-    df: DataFrame, dim: DataFrame, on, how: str = "left", budget: int = BROADCAST_BYTES
+    df: DataFrame, dim: DataFrame, on, how: str = "left", budget: int | None = None
 ) -> DataFrame:
     """Equi join with a side table: broadcast if it fits, else shuffled.
 

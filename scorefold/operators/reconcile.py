@@ -162,8 +162,8 @@ def _with_bin(df: DataFrame, bins: int) -> DataFrame:
         .withColumn("bin", guess
                     - F.when(x < guess * F.col("step") + F.col("low"), 1).otherwise(0)
                     + F.when(x >= (guess + 1) * F.col("step") + F.col("low"), 1).otherwise(0))
-        .withColumn("bin", F.when(x < F.col("low"), -1).when(x > F.col("high"), bins)
-                    .when(~missing(x), inside).cast("int"))
+        .withColumn("bin", F.when(missing(x), None).when(x < F.col("low"), -1).when(x > F.col("high"), bins)
+                    .otherwise(inside).cast("int"))
         .drop("value", "low", "high", "step", "guess")
     )
 

@@ -227,8 +227,8 @@ def score(
 
 
 def cast_loan_inputs(df: DataFrame) -> DataFrame:
-    """Integer inputs of the loan-amount model; text that is no number gives NULL."""
-    return K.with_sql(df, {c: f"TRY_CAST({c} AS INT)" for c in ("W49_AUC1002", "lastreportedhousingpayment")})
+    """Integer inputs of the loan-amount model, truncated; text that is no number gives NULL."""
+    return K.with_sql(df, {c: f"TRY_CAST(TRY_CAST({c} AS DOUBLE) AS INT)" for c in ("W49_AUC1002", "lastreportedhousingpayment")})
 
 
 def cast_legacy_loan_inputs(df: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scorefold.operators.feature_store import FeatureLookup, FeatureStore, add_features
+from scorefold.session import ensure_checkpoint_dir
 
 
 def split_rows(df: DataFrame, key: Sequence[str], test_share: float = 0.25, seed: int = 123) -> tuple[DataFrame, DataFrame]:
@@ -49,6 +50,7 @@ def train_boosted_trees(
 
     Rows with a missing feature are kept and sent through as NaN.
     """
+    ensure_checkpoint_dir(train.sparkSession)
     assembler = VectorAssembler(inputCols=list(features), outputCol="_features", handleInvalid="keep")
     trees = GBTRegressor(
         featuresCol="_features", labelCol=label, maxIter=rounds, maxDepth=max_depth, seed=seed,

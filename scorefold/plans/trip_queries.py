@@ -67,8 +67,8 @@ def pickup_features_range(spark, sf_dir):
 
 
 @query("FS-01 AG-02", pickup_sql())
-def pickup_features_direct(spark, sf_dir):
-    return _plain(fs.pickup_features(D.trips(spark, sf_dir), panes=False))
+def pickup_features_panes(spark, sf_dir):
+    return _plain(fs.pickup_features(D.trips(spark, sf_dir), panes=True))
 
 
 @query("FS-02 AG-03 FN-12 UDF-01", dropoff_sql())

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+STAGING = "scorefold_staging"
 
 RUNTIME_CONF = {
     # Event times, window ends and month partitions are defined in UTC.
@@ -56,9 +59,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and read it back from the shared folder."""
-    spark = df.sparkSession
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Let iterative jobs checkpoint into the shared folder."""
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_root(spark))
-    return df.checkpoint(eager=True)
+
+
+@contextmanager
+def staged(df: DataFrame) -> Iterator[DataFrame]:
+    """``df`` computed once, as a table in the shared folder that is dropped afterwards.
+
+    Later steps read only the columns they need from it, and a lost executor
+    costs no recomputation.
+    """
+    spark = df.sparkSession
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {STAGING} LOCATION '{shared_root(spark)}/{STAGING}'")
+    name = f"{STAGING}.batch_{uuid.uuid4().hex}"
+    df.write.format("parquet").saveAsTable(name)
+    try:
+        yield spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")

@@ -16,7 +16,7 @@ def with_event_time(df: DataFrame, ts: str, lateness: str = "1 hour") -> DataFra
 
 def pickup_feature_stream(df: DataFrame, ts: str = "tpep_pickup_datetime", lateness: str = "1 hour", **columns) -> DataFrame:
     """One-hour windows every 15 minutes per pick-up ZIP over a stream of trips."""
-    return pickup_features(with_event_time(df, ts, lateness), ts=ts, panes=False, **columns)
+    return pickup_features(with_event_time(df, ts, lateness), ts=ts, **columns)
 
 
 def dropoff_feature_stream(df: DataFrame, ts: str = "tpep_dropoff_datetime", lateness: str = "1 hour", **columns) -> DataFrame:
