@@ -160,13 +160,21 @@ def between_times(
 
 
 def keep_ids(df: DataFrame, ids: DataFrame, key: str | Sequence[str]) -> DataFrame:
-    """Rows whose key is in ``ids``: a semi join instead of a literal list."""
-    return df.join(ids, key, "left_semi")
+    """Rows whose key is in ``ids``: a semi join instead of a literal list.
+
+    Ids are reduced before the join, so an id that is listed very often costs
+    one row; the join reuses the same shuffle.
+    """
+    return df.join(_distinct_keys(ids, key), key, "left_semi")
 
 
 def drop_ids(df: DataFrame, ids: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Rows whose key is not in ``ids``."""
-    return df.join(ids, key, "left_anti")
+    return df.join(_distinct_keys(ids, key), key, "left_anti")
+
+
+def _distinct_keys(ids: DataFrame, key: str | Sequence[str]) -> DataFrame:
+    return ids.select(*([key] if isinstance(key, str) else key)).distinct()
 
 
 def has_value(df: DataFrame, column: str) -> DataFrame:

@@ -17,7 +17,9 @@ RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # A key that holds a large share of the rows is split, even at the price of a shuffle.
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # The JVM never compiles methods above 8000 bytes of bytecode.  Wide rule-driven
     # projections exceed that as one generated stage, so they run as several.
     "spark.sql.codegen.hugeMethodLimit": "8000",
