@@ -700,7 +700,7 @@ _AS_OF = "DATE '2022-10-01'"
 
 
 @query(
-    "FN-15 FN-20",
+    "FN-15 FN-20 UDF-04",
     f"SELECT {ID}, round(date_diff('day', strptime(coalesce(substr(N05_S0Y2, 1, 6), '196008') || '01', '%Y%m%d')::DATE, "
     f"DATE '2022-10-01') / 365e0) AS age FROM ({applicants_sql([ID, 'N05_S0Y2'])})",
 )

@@ -312,11 +312,14 @@ def _legacy_sql() -> str:
     return f"SELECT {ID}, {', '.join(rnd(parts[c], c, 3) for c in _LEGACY_OUT)} FROM ({first})"
 
 
-@query("ML-10 ML-09 ML-11 ML-12 DM-23 PRJ-07", _legacy_sql())
+@query("ML-10 ML-09 ML-11 ML-12 ML-13 DM-23 PRJ-07", _legacy_sql())
 def score_legacy_models(spark, sf_dir):
     models = ModelTable.from_models(
         spark, [(name, version, "Production", m) for (name, version), m in _LEGACY_MODELS.items()]
     )
+    listed = scoring.check_features(rules.FUNDING_V4_FEATURES, models.resolve("models:/funding/4").features)
+    if not listed.same_order:
+        raise ValueError(f"the model does not fit its feature list: {listed}")
     df = applicants(spark, sf_dir, _LEGACY_RAW)
     df = features.add_selection_counters(features.add_application_recency(df)).withColumn("Model_v3_Score", F.lit(0.25))
     third = LEGACY_SCORES["PIE_v3"]

@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from scorefold.operators.projection import read_name_map
 from scorefold.plans.registry import query, with_rounded
 from scorefold.session import scratch_path
 from scorefold.sources import driver_tables as D
@@ -26,9 +27,13 @@ def _csv_folder(spark, sf_dir, parts: int = 20) -> str:
     return path
 
 
-@query("SRC-01 SNK-01 PRJ-01", _RENAMED)
+@query("SRC-01 SRC-08 SRC-09 SNK-01 PRJ-01", _RENAMED)
 def csv_campaign(spark, sf_dir):
-    return readers.load_campaign(spark, _csv_folder(spark, sf_dir), _CUSTOMER, _NAMES)
+    """Part files under standard names; the name map is a control file of its own."""
+    control = scratch_path(spark, "names")
+    writers.write_csv(readers.rows_to_frame(spark, list(_NAMES.items()), "raw_lower STRING, final STRING"), control)
+    names = read_name_map(readers.read_csv(spark, control, "raw_lower STRING, final STRING"))
+    return readers.load_campaign(spark, _csv_folder(spark, sf_dir), _CUSTOMER, names)
 
 
 @query(

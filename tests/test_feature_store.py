@@ -128,6 +128,33 @@ def test_lookup_keeps_unmatched_trips(spark):
     assert sorted((tuple(r) for r in out.collect()), key=str) == sorted([(1, 1, 1.0), (1, 2, None), (None, 1, None)], key=str)
 
 
+def test_lookup_splits_a_hot_key(spark):
+    """A third of the trips share one window; adaptive execution spreads them over tasks."""
+    s, name = make(spark, [(z, 1, "a", float(z)) for z in range(200)])
+    df = spark.range(60_000).repartition(8).selectExpr(
+        "CAST(IF(id % 3 = 0, 7, id % 200) AS INT) AS z", "1 AS t", "repeat(uuid(), 20) AS payload"
+    )
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200KB", "spark.sql.shuffle.partitions": "20",
+    }
+    before = {k: spark.conf.get(k) for k in conf if k != "spark.sql.adaptive.autoBroadcastJoinThreshold"}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        out = fs.add_features(s, df, [fs.FeatureLookup(name, ["v"], ["z", "t"])])
+        out.write.format("noop").mode("overwrite").save()
+        assert out.filter("v = z").count() == 60_000
+        out.collect()
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_stream_over_many_files_equals_batch(spark, sf_dir):
     """Files arrive in time order, one per micro-batch; windows are updated across batches."""
     path = scratch_path(spark, "trips")
