@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from scorefold.functions import kernels as K
 from scorefold.functions import rules
-from scorefold.operators import aggregates, credit, features, housing, impute, projection, tax
+from scorefold.operators import aggregates, credit, features, housing, impute, income, projection, tax
 from scorefold.operators.joins import append_by_clean_zip, append_zip_data, append_zip_data_keeping_zip, standard_zip_tables
 from scorefold.plans.registry import imputed, num, query, rnd, rnds, with_rounded
 from scorefold.sources import driver_tables as D
@@ -749,19 +749,52 @@ def one_hot(spark, sf_dir):
 
 
 _V4_MEDIAN = ["V71_MT101S", "V71_REAP01", "W55_TRV14"]
+_V4_OTHERS = [*_V4_MEDIAN, *rules.ONE_HOT_COLUMNS, "median_home", "median_rental", "age"]
+_V4_FIRST = {c: f"(SELECT min(\"{c}\") FROM f)" for c in rules.ONE_HOT_COLUMNS}
 
 
-@query("DM-22 IMP-13 FN-15 FN-22 FN-23 JN-10")
+def _income_v4_sql() -> str:
+    raw = [ID, "N05_S0Y2", "NCOA_ADDR_ZipCode", *rules.TARGET_ENCODED, *rules.ONE_HOT_COLUMNS, *_V4_MEDIAN]
+    age = (
+        "round(date_diff('day', strptime(coalesce(substr(N05_S0Y2, 1, 6), '196008') || '01', '%Y%m%d')::DATE, "
+        f"{_AS_OF}) / 365e0)"
+    )
+    joined = (
+        f"SELECT a.* EXCLUDE (N05_S0Y2, NCOA_ADDR_ZipCode), {age} AS age, z.median_home, z.median_rental "
+        f"FROM ({applicants_sql(raw)}) a LEFT JOIN ({D.zip_table_sql('home_values')}) z ON a.NCOA_ADDR_ZipCode = z.zipcode"
+    )
+    filled = ", ".join(
+        [f'coalesce("{c}", (SELECT median("{c}") FROM src)) AS "{c}"' for c in _V4_OTHERS]
+        + [f'coalesce({c}, {_MODE_SQL.format(c=c)}) AS {c}' for c in rules.TARGET_ENCODED]
+    )
+    encodings = ", ".join(
+        f"m_{c} AS (SELECT {c} AS v, avg(V71_REAP01) AS m FROM src WHERE V71_REAP01 >= 0 AND {c} IS NOT NULL GROUP BY 1)"
+        for c in rules.TARGET_ENCODED
+    )
+    encoded = ", ".join(f"m_{c}.m AS te_{c}" for c in rules.TARGET_ENCODED)
+    lookups = " ".join(f"LEFT JOIN m_{c} ON f.{c} = m_{c}.v" for c in rules.TARGET_ENCODED)
+    flags = ", ".join(
+        f'CASE WHEN "{n.rsplit("_", 1)[0]}" = {n.rsplit("_", 1)[1]} AND {_V4_FIRST[n.rsplit("_", 1)[0]]} <> {n.rsplit("_", 1)[1]} '
+        f'THEN 1 ELSE 0 END AS "{n}"' for n in rules.ONE_HOT_REQUIRED
+    )
+    kept = [c for c in _V4_OTHERS if c not in rules.ONE_HOT_COLUMNS]
+    te = ", ".join(
+        rnd(f"coalesce(te_{c}, (SELECT median(te_{c}) FROM e))", f"te_{c}") for c in rules.TARGET_ENCODED
+    )
+    return (
+        f"WITH src AS ({joined}), f AS (SELECT {ID}, {filled} FROM src), {encodings}, "
+        f"e AS (SELECT f.*, {encoded} FROM f {lookups}) SELECT {ID}, {rnds(kept)}, {te}, {flags} FROM e"
+    )
+
+
+@query("DM-22 IMP-13 FN-15 FN-22 FN-23 JN-10 AG-13", _income_v4_sql())
 def income_v4_inputs(spark, sf_dir):
     raw = [ID, "N05_S0Y2", "NCOA_ADDR_ZipCode", *rules.TARGET_ENCODED, *rules.ONE_HOT_COLUMNS, *_V4_MEDIAN]
     df = applicants(spark, sf_dir, raw)
-    df = K.with_sql(df, {"age": K.age_in_years("N05_S0Y2", _AS_OF)}).drop("N05_S0Y2")
-    side = D.zip_tables(spark, sf_dir)["home_values"]
-    df = append_by_clean_zip(df, side, "NCOA_ADDR_ZipCode", "zipcode").drop("NCOA_ADDR_ZipCode")
-    df = impute.fill_mode_median(df, rules.TARGET_ENCODED, [*_V4_MEDIAN, "median_home", *rules.ONE_HOT_COLUMNS])
-    for c in rules.TARGET_ENCODED:
-        means = df.groupBy(F.col(c).alias("value")).agg(F.avg("V71_REAP01").alias("mean"))
-        df = features.target_encode(df, c, means).drop(c)
-    categories = features.learn_categories(df, list(rules.ONE_HOT_COLUMNS), max_categories=10_000)
-    few = {c: v for c, v in categories.items() if len(v) <= 50}
-    return with_rounded(features.one_hot(df, few))
+    known = df.filter("V71_REAP01 >= 0")
+    encodings = {
+        c: known.filter(f"{c} IS NOT NULL").groupBy(F.col(c).alias("value")).agg(F.avg("V71_REAP01").alias("mean"))
+        for c in rules.TARGET_ENCODED
+    }
+    homes = D.zip_tables(spark, sf_dir)["home_values"]
+    return with_rounded(income.income_v4_inputs(df, homes, encodings, _AS_OF, side_zip="zipcode"))
