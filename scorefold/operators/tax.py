@@ -91,6 +91,7 @@ class StateBrackets:
 
     table: DataFrame
     slots: int
+    deductions: bool = False
 
     @staticmethod
     def load(rows: DataFrame, deductions: bool = False) -> StateBrackets | None:
@@ -109,7 +110,7 @@ class StateBrackets:
         wide = [_state_row(state, found, slots) for state, found in states.items()]
         names = [f"_{part}{i}" for i in range(slots) for part in ("less", "prev", "max", "rate")]
         schema = ", ".join(["_state string", "_deduction double", "_taxed boolean", *[f"{n} double" for n in names]])
-        return StateBrackets(rows.sparkSession.createDataFrame(wide, schema), slots)
+        return StateBrackets(rows.sparkSession.createDataFrame(wide, schema), slots, deductions)
 
 
 def _state_row(state: str, found: list[tuple], slots: int) -> tuple:
@@ -198,6 +199,8 @@ def add_state_sums(
     if prepared is None:
         df = _state_sums_by_rejoin(df, state_table, income, state, deductions, how, key)
         return K.with_sql(df, alongside or {})
+    if prepared.deductions != deductions:
+        raise ValueError("the bracket table was loaded with another deductions setting")
     money, sums = _slot_layers(prepared, income)
     base = {"AfterDeduction_max": f"{income} - _deduction" if deductions else income}
     df = K.with_layers(_join_brackets(df, prepared, state), [money | base | (alongside or {}), sums])

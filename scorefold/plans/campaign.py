@@ -14,9 +14,9 @@ from scorefold.operators.credit import add_credit_attributes, apply_tier
 from scorefold.operators.features import add_reusable_features
 from scorefold.operators.housing import estimate_housing
 from scorefold.operators.joins import append_zip_data
-from scorefold.operators.projection import create_new_variables, select_columns
+from scorefold.operators.projection import column_union, create_new_variables, select_columns
 from scorefold.operators.scenario import add_best_case_income, add_scenario
-from scorefold.operators.scoring import CURRENT_SCORES, ModelTable
+from scorefold.operators.scoring import CURRENT_SCORES, ModelTable, all_input_features
 from scorefold.operators.tax import StateBrackets, calculate_ndi
 
 
@@ -29,6 +29,12 @@ class CampaignInputs:
     models: ModelTable
 
 
+def full_columns(models: Sequence) -> list[str]:
+    """Every model input, the skinny output and the columns needed to reproduce a run."""
+    inputs = all_input_features(*[m.features for m in models])
+    return column_union(inputs, rules.SKINNY_COLUMNS, rules.REPRODUCIBILITY_COLUMNS)
+
+
 def eligibility_steps(inputs: CampaignInputs, state_table, income: str, only_scenario: bool = False) -> list:
     """Disposable income through price tier for one definition of income."""
     def scored(output: str):

@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from scorefold.operators import aggregates, reconcile
+from scorefold.plans.reconciliation import write_reconciliation
 from scorefold.plans.registry import query, rnd, with_rounded
+from scorefold.session import scratch_path
 from scorefold.sources import driver_tables as D
+from scorefold.sources.readers import read_csv
 
 KEY = "line_id"
 PAIRS = [("net_price", "net_price_v1"), ("taxed_price", "taxed_price_v1"), ("quantity", "quantity")]
@@ -223,6 +226,21 @@ def score_distribution(spark, sf_dir):
     return reconcile.distribution(D.table(spark, sf_dir, "lineitem"), "l_quantity", 0.5, 100.5)
 
 
+@query(
+    "SNK-05 DQ-04",
+    f"SELECT score, all_close, mismatches FROM ({_verdict_sql(False)})",
+)
+def recon_report_files(spark, sf_dir):
+    """Every report written as CSV, and the verdicts read back."""
+    def unique(df):
+        return df.groupBy(KEY).agg(*[F.max(c).alias(c) for c in df.columns if c != KEY])
+
+    folder = scratch_path(spark, "reconciliation")
+    current, legacy = unique(_run(spark, sf_dir, _CURRENT)), unique(_run(spark, sf_dir, _LEGACY))
+    write_reconciliation(current, legacy, KEY, PAIRS, folder)
+    return read_csv(spark, f"{folder}/verdicts", "score STRING, all_close BOOLEAN, mismatches BIGINT")
+
+
 _DIFF_NAMES = [f"{b.removesuffix('_R')}_diff" for _, b in JOINED]
 _DIFFS_SQL = "SELECT " + ", ".join(
     f"abs(coalesce({a}, 0) - coalesce({b}, 0)) AS {d}" for (a, b), d in zip(JOINED, _DIFF_NAMES)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from scorefold.functions import rules
-from scorefold.operators import aggregates, features, impute, scenario, scoring, training
+from scorefold.operators import aggregates, features, impute, joins, projection, scenario, scoring, training
 from scorefold.operators.credit import add_credit_attributes, apply_tier
 from scorefold.operators.scoring import LEGACY_SCORES, LinearModel, ModelTable, TreeModel, score
 from scorefold.operators.tax import StateBrackets, calculate_ndi
@@ -226,7 +226,7 @@ _CAMPAIGN_SQL = (
 )
 
 
-@query("DM-20 DM-18 DM-23 ML-02 ML-04 ML-05 ML-07 ML-08 PRJ-10 JN-07", _CAMPAIGN_SQL)
+@query("DM-20 DM-18 DM-23 ML-02 ML-04 ML-05 ML-07 ML-08 PRJ-10", _CAMPAIGN_SQL)
 def campaign_skinny(spark, sf_dir):
     df = score_campaign(campaign_applicants(spark, sf_dir), campaign_inputs(spark, sf_dir))
     return with_rounded(df, finer=["Tradeline_NDI", "bestcase_Tradeline_NDI"])
@@ -343,7 +343,23 @@ def score_pre_uol(spark, sf_dir):
     return with_rounded(scored.select(ID, "preUOLScore"), 6)
 
 
-# ------------------------------------------------------------ registry, checks
+# --------------------------------------------------------- scores by id, checks
+
+
+@query(
+    "JN-07 JN-08 FLT-01",
+    "SELECT c_custkey, c_nationkey, spent, orders FROM customer "
+    "LEFT JOIN (SELECT o_custkey, round(sum(o_totalprice), 2) AS spent FROM orders GROUP BY 1) s ON c_custkey = s.o_custkey "
+    "JOIN (SELECT o_custkey, count(*) AS orders FROM orders GROUP BY 1) n ON c_custkey = n.o_custkey WHERE c_acctbal IS NOT NULL",
+)
+def scores_by_id(spark, sf_dir):
+    """One score file joined left, one inner, as files that were scored elsewhere."""
+    per_id = D.table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+        F.round(F.sum("o_totalprice"), 2).alias("spent"), F.count("*").alias("orders")
+    )
+    people = projection.has_value(D.table(spark, sf_dir, "customer"), "c_acctbal").select("c_custkey", "c_nationkey")
+    left = joins.join_scores(people, per_id, "c_custkey", ["spent"], "left")
+    return joins.join_scores(left, per_id, "c_custkey", ["orders"])
 
 
 @query(

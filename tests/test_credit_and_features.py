@@ -115,3 +115,10 @@ def test_one_scan_campaign_equals_two_runs(spark, sf_dir):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     plan = once._jdf.queryExecution().executedPlan().toString()
     assert plan.count("customer.parquet") == 1
+
+
+def test_full_output_list():
+    from scorefold.plans.campaign import full_columns
+
+    full = full_columns([S.LINEAR, S.TREES])
+    assert full == sorted(set(full)) and {"MedianRental", "W55_TRV02", "bestcase_Bti", "HC03_VC113"} <= set(full)
