@@ -182,20 +182,20 @@ def housing_sql(source: str, missing: str = "maximum") -> str:
 
 @query(
     "DM-02 ML-03 FN-03 IMP-09",
-    f"SELECT {ID}, {rnd(HOUSING, HOUSING)} FROM ({housing_sql(applicants_sql([ID, *_HOUSING_RAW]))})",
+    f"SELECT {ID}, {rnd(HOUSING, HOUSING, 6)} FROM ({housing_sql(applicants_sql([ID, *_HOUSING_RAW]))})",
 )
 def housing_payment(spark, sf_dir):
     df = applicants(spark, sf_dir, [ID, *_HOUSING_RAW])
-    return with_rounded(housing.estimate_housing(df).select(ID, HOUSING))
+    return with_rounded(housing.estimate_housing(df).select(ID, HOUSING), 6)
 
 
 @query(
     "DM-02",
-    f"SELECT {ID}, {rnd(HOUSING, 'PHE_v2')} FROM ({housing_sql(applicants_sql([ID, *_HOUSING_RAW]), 'skip')})",
+    f"SELECT {ID}, {rnd(HOUSING, 'PHE_v2', 6)} FROM ({housing_sql(applicants_sql([ID, *_HOUSING_RAW]), 'skip')})",
 )
 def housing_payment_legacy(spark, sf_dir):
     df = applicants(spark, sf_dir, [ID, *_HOUSING_RAW])
-    return with_rounded(housing.estimate_housing(df, output="PHE_v2", missing="skip").select(ID, "PHE_v2"))
+    return with_rounded(housing.estimate_housing(df, output="PHE_v2", missing="skip").select(ID, "PHE_v2"), 6)
 
 
 # ----------------------------------------------------------------------- taxes
@@ -382,6 +382,7 @@ _DERIVED = [
     "Tradeline_NDI", "CPg_UnsecuredSummaryBalance", "CPg_LieDetectorRatio", "CPg_LieDetectorDiff", "CPg_LieDetectorHigh",
     "CPg_NdiWithLieDetector", "CPg_MonthlyDti", "CPg_Bti", "CPg_BtiWithLieDetector", "CPg_PctNewBCTradesInPast12mo", "CPg_OverlimitTrend",
 ]
+_FINER = {"Tradeline_NDI": 6, "CPg_NdiWithLieDetector": 2, "NdiWithLieDetector": 2}
 _ALIAS_SQL = {
     "CPg_HousingPayment": HOUSING, "CPg_Income": INCOME, "CPg_RequestedLoanAmount": "LAE_Loan_Amount_Estimation",
     "CPg_RevolvingBalance": "epay01attr25", "CPg_UILBalance": "epay01attr19", "CPg_NonMortgageMonthlyPayment": "epay01attr24",
@@ -397,31 +398,31 @@ def attribute_frame(spark, sf_dir, columns=()):
 
 @query(
     "DM-08",
-    f"SELECT {ID}, {rnd('Tradeline_NDI', 'Tradeline_NDI', 3)} FROM ({attributes_sql(ndi_sql(ndi_source_sql(_ATTRIBUTE_RAW)))})",
+    f"SELECT {ID}, {rnd('Tradeline_NDI', 'Tradeline_NDI', 6)} FROM ({attributes_sql(ndi_sql(ndi_source_sql(_ATTRIBUTE_RAW)))})",
 )
 def tradeline_ndi(spark, sf_dir):
     df = credit.add_tradeline_ndi(ndi_frame(spark, sf_dir), INCOME)
-    return with_rounded(df.select(ID, "Tradeline_NDI"), 3)
+    return with_rounded(df.select(ID, "Tradeline_NDI"), 6)
 
 
 @query(
     "DM-09 DM-10 PRJ-04 IMP-08 IMP-10",
-    f"SELECT {ID}, {rnds(_DERIVED, 3)}, CPg_W55_AGG910_UNF, {', '.join(rnd(s, n, 3) for n, s in _ALIAS_SQL.items())}, "
+    f"SELECT {ID}, {rnds(_DERIVED, 3, _FINER)}, CPg_W55_AGG910_UNF, {', '.join(rnd(s, n, 3) for n, s in _ALIAS_SQL.items())}, "
     f"NCOA_ADDR_State AS \"CPg_State\" FROM ({attributes_sql(ndi_sql(ndi_source_sql(_ATTRIBUTE_RAW)))})",
 )
 def credit_attributes(spark, sf_dir):
     df = attribute_frame(spark, sf_dir)
-    return with_rounded(df.select(ID, *_DERIVED, "CPg_W55_AGG910_UNF", *_ALIAS_SQL, "CPg_State"), 3)
+    return with_rounded(df.select(ID, *_DERIVED, "CPg_W55_AGG910_UNF", *_ALIAS_SQL, "CPg_State"), 3, finer=_FINER)
 
 
 @query(
     "PRJ-05",
     f"SELECT {ID}, "
-    + ", ".join(rnd(_ALIAS_SQL.get(src, f'"{src}"'), short, 3) for short, src in rules.ATTRIBUTE_SHORT_NAMES.items())
+    + ", ".join(rnd(_ALIAS_SQL.get(src, f'"{src}"'), short, _FINER.get(short, 3)) for short, src in rules.ATTRIBUTE_SHORT_NAMES.items())
     + f" FROM ({attributes_sql(ndi_sql(ndi_source_sql(_ATTRIBUTE_RAW)))})",
 )
 def attribute_short_names(spark, sf_dir):
-    return with_rounded(attribute_frame(spark, sf_dir).select(ID, *rules.ATTRIBUTE_SHORT_NAMES), 3)
+    return with_rounded(attribute_frame(spark, sf_dir).select(ID, *rules.ATTRIBUTE_SHORT_NAMES), 3, finer=_FINER)
 
 
 # A stand-in score: the balance-to-income ratio spread over the tiers, NULL where it is unknown.

@@ -37,16 +37,17 @@ def query(covers: str, sql: str | None = None) -> Callable[[Run], Run]:
     return register
 
 
-def with_rounded(df: DataFrame, digits: int = 4, skip: Sequence[str] = (), finer: Sequence[str] = ()) -> DataFrame:
+def with_rounded(df: DataFrame, digits: int = 4, skip: Sequence[str] = (), finer: dict[str, int] | None = None) -> DataFrame:
     """Floating-point columns rounded, so that two engines agree on the last digits.
 
-    Columns in ``finer`` keep six digits.
+    ``finer`` gives columns their own number of digits: one at which no exact
+    result lies half-way between two rounded values.
     """
     floats = [
         f.name for f in df.schema.fields
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)) and f.name not in skip
     ]
-    return with_sql(df, {c: f"round(CAST({quoted(c)} AS DOUBLE), {6 if c in finer else digits})" for c in floats})
+    return with_sql(df, {c: f"round(CAST({quoted(c)} AS DOUBLE), {(finer or {}).get(c, digits)})" for c in floats})
 
 
 # ------------------------------------------------------------------ check SQL
@@ -71,5 +72,5 @@ def rnd(expr: str, name: str, digits: int = 4) -> str:
     return f"round(CAST({expr} AS DOUBLE), {digits}) + 0e0 AS \"{name}\""
 
 
-def rnds(names: Sequence[str], digits: int = 4) -> str:
-    return ", ".join(rnd(f'"{n}"', n, digits) for n in names)
+def rnds(names: Sequence[str], digits: int = 4, finer: dict[str, int] | None = None) -> str:
+    return ", ".join(rnd(f'"{n}"', n, (finer or {}).get(n, digits)) for n in names)

@@ -229,7 +229,7 @@ _CAMPAIGN_SQL = (
 @query("DM-20 DM-18 DM-23 ML-02 ML-04 ML-05 ML-07 ML-08 PRJ-10", _CAMPAIGN_SQL)
 def campaign_skinny(spark, sf_dir):
     df = score_campaign(campaign_applicants(spark, sf_dir), campaign_inputs(spark, sf_dir))
-    return with_rounded(df, finer=["Tradeline_NDI", "bestcase_Tradeline_NDI"])
+    return with_rounded(df, finer={"Tradeline_NDI": 6, "bestcase_Tradeline_NDI": 6})
 
 
 _SCENARIO_RAW = [*_ATTRIBUTE_RAW, "lastreportedincome"]
@@ -263,7 +263,7 @@ def bestcase_scenario(spark, sf_dir):
     kept = out.select(
         ID, F.col(f"bestcase_{_BEST}").alias(_BEST), "bestcase_MonthlyDti", "bestcase_Bti", "bestcase_Tradeline_NDI"
     )
-    return with_rounded(kept, finer=["bestcase_Tradeline_NDI"])
+    return with_rounded(kept, finer={"bestcase_Tradeline_NDI": 6})
 
 
 # --------------------------------------------------------------- older scores
