@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorefold.llm import simhash, substrings
+from scorefold.llm import packing, rule_ledger, simhash, substrings, token_counts, toxicity
+from scorefold.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -22,6 +23,45 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op1_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+
+
+@query
+def op2_token_counts(spark, sf_dir):
+    counts = token_counts.token_counts(
+        table(spark, sf_dir, "documents"), scratch_path(spark, "token_cache"), tokenizer_file("word_bpe_49k.json"))
+    return counts.withColumn("over_limit", F.col("n_tokens") > 2048)
+
+
+@query
+def op3_rule_ledger(spark, sf_dir):
+    rows = rule_ledger.ledger(table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        rule_ledger.rejected("base").alias("base_failed"), (~rule_ledger.rejected("v2")).alias("kept"), "fail_bits")
+
+
+def held_out(folds: int):
+    """Whether the CRC-32 of the id as text is divisible by ``folds``; rows without an id are held out."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds == 0, F.lit(True))
+
+
+@query
+def op4_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").where(~held_out(5))
+    scores = toxicity.toxicity_scores(docs, toxicity.trained(docs, labels))
+    return scores.select("doc_id", held_out(5).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 @query
 def op6_substring_dedup(spark, sf_dir):
     out = substrings.remove_repeats(table(spark, sf_dir, "documents"))
