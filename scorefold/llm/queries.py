@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorefold.llm import packing, rule_ledger, simhash, substrings, token_counts, toxicity
+from scorefold.llm import (
+    attention_lm, decontaminate, packing, revisits, rule_ledger, secrets, simhash, substrings, token_counts, toxicity,
+)
 from scorefold.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,12 +64,92 @@ def op4_toxicity(spark, sf_dir):
     return scores.select("doc_id", held_out(5).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+@query
+def op5_secret_scan(spark, sf_dir):
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "start", F.length("value").alias("length"), F.sha2("value", 256).alias("value_sha256"),
+                        "probability", "is_secret")
+
+
 @query
 def op6_substring_dedup(spark, sf_dir):
     out = substrings.remove_repeats(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", substrings.sha256("kept").alias("kept_sha256"))
 
 
+@query
+def op7_decontamination(spark, sf_dir):
+    leaks = decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return leaks.select("doc_id", "item_id", F.col("start").cast("long").alias("start"), "similarity")
+
+
+def capture_records(pages: DataFrame) -> DataFrame:
+    """Pages as captures, in the order of their ids, of the section of the site that they lie in.
+
+    Two captures in three are full responses, the others not-modified answers.
+    The path's last figure gives a resource its version, so that some validators
+    agree and some do not; each third capture has no entity tag.
+    """
+    version = F.concat(F.lit('"v'), F.regexp_extract("url", r"([0-9])[^0-9]*$", 1), F.lit('"'))
+    kind = F.when(F.col("page_id") % 3 == 2, "revisit").otherwise("response")
+    tag = F.when(F.length("html") % 3 == 0, F.lit(None)).when(kind == "revisit", F.concat(F.lit("W/"), version)).otherwise(version)
+    headers = F.map_filter(F.create_map(
+        F.lit("ETag"), tag, F.lit("Last-Modified"), F.concat(F.lit("day "), F.floor(F.col("page_id") / 1000).cast("string")),
+        F.lit("Content-Length"), F.octet_length("html").cast("string"), F.lit("Date"), F.col("page_id").cast("string"),
+        F.when(kind == "revisit", F.lit("Age")).otherwise(F.lit("Server")), F.lit("0")), lambda k, v: v.isNotNull())
+    section = F.regexp_replace("url", r"/[0-9]+(\.html)?/?", "/")
+    return pages.select(F.col("page_id").alias("record_id"), section.alias("url"), F.col("page_id").alias("time"), kind.alias("kind"),
+                        F.md5(F.col("html").cast("binary")).alias("digest"), headers.alias("headers"))
+
+
+@query
+def op8_warc_revisits(spark, sf_dir):
+    out = revisits.resolve_revisits(capture_records(table(spark, sf_dir, "pages")))
+    pairs = F.array_sort(F.transform(F.map_entries("headers"), lambda e: F.concat_ws(": ", e["key"], e["value"])))
+    return out.select(F.col("record_id").alias("page_id"), "canonical_url", "status", "referred_id", "payload_digest",
+                      F.array_join(pairs, "\n").alias("headers"))
+
+
+ORACLE["op8_warc_revisits"] = r"""
+WITH section AS (
+    SELECT page_id, html, url AS whole, trim(regexp_replace(url, '/[0-9]+(\.html)?/?', '/', 'g')) AS url FROM pages),
+base AS (
+    SELECT *, lower(regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)', 1)) AS host FROM section),
+named AS (
+    SELECT page_id, html, whole, host || substr(url, length(host) + 1) AS u FROM base),
+r AS (
+    SELECT page_id, octet_length(encode(html)) AS size, md5(html) AS digest,
+        CASE WHEN page_id % 3 = 2 THEN 'revisit' ELSE 'response' END AS kind,
+        CASE WHEN length(html) % 3 = 0 THEN NULL ELSE '"v' || regexp_extract(whole, '([0-9])[^0-9]*$', 1) || '"' END AS tag,
+        'day ' || CAST(page_id // 1000 AS VARCHAR) AS modified,
+        regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+            u, '#.*$', ''), '^[a-zA-Z][a-zA-Z0-9+.-]*://', ''), '^(www|m)\.', ''), '^([^/?]*):(80|443)([/?]|$)', '\1\3'),
+            '([?&])(utm_[a-z]+|ref|fbclid|gclid|sessionid)=[^&]*', '\1', 'g'), '[?&]+$', ''), '([?&])&+', '\1', 'g'), '/+$', '') AS cu
+    FROM named),
+j AS (
+    SELECT v.page_id, v.cu, v.tag, v.modified, v.digest, s.page_id AS referred, s.tag AS old_tag, s.modified AS old_modified,
+        s.digest AS old_digest, s.size AS old_size
+    FROM (SELECT * FROM r WHERE kind = 'revisit') v
+    ASOF LEFT JOIN (SELECT * FROM r WHERE kind = 'response') s ON v.cu = s.cu AND v.page_id > s.page_id),
+k AS (
+    SELECT *, CASE WHEN referred IS NULL THEN 'missing'
+        WHEN coalesce(tag = old_tag, modified = old_modified, digest = old_digest) THEN 'resolved' ELSE 'mismatch' END AS status
+    FROM j)
+SELECT page_id, cu AS canonical_url, status, referred AS referred_id, CASE WHEN status = 'resolved' THEN old_digest END AS payload_digest,
+    CASE WHEN status = 'resolved' THEN 'age: 0' || chr(10) || 'content-length: ' || old_size || chr(10) || 'date: ' || page_id
+        || coalesce(chr(10) || 'etag: ' || coalesce('W/' || tag, old_tag), '') || chr(10) || 'last-modified: ' || modified
+        || chr(10) || 'server: 0' END AS headers
+FROM k
+"""
+
+
+@query
+def op9_attention_lm(spark, sf_dir):
+    scores = attention_lm.lm_scores(
+        table(spark, sf_dir, "documents"), ~held_out(10), tokenizer_file("word_bpe_49k.json"))
+    return scores.withColumn("held_out", held_out(10))
+
+
 @query
 def op10_simhash(spark, sf_dir):
     out = simhash.near_duplicates(table(spark, sf_dir, "documents"))

@@ -37,6 +37,9 @@ class PieceEncoder:
         ids = self.model.encode([t.decode("utf-8", "replace") for t in texts], num_threads=1, add_bos=False, add_eos=False)
         return [np.asarray(x, "<u4").tobytes() for x in ids]
 
+    def vocabulary_size(self) -> int:
+        return self.model.get_piece_size()
+
 
 class TextEncoder:
     """tokenizers files, each text encoded as a whole."""
@@ -51,6 +54,9 @@ class TextEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
 
+    def vocabulary_size(self) -> int:
+        return max(self.tokenizer.get_vocab(with_added_tokens=True).values()) + 1
+
     def plain(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.asarray(x.ids, "<u4").tobytes() for x in found]

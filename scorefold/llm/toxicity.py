@@ -220,6 +220,20 @@ def toxicity_scores(docs: DataFrame, model: Model, text: str = "text") -> DataFr
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8(text).alias("text")).mapInArrow(work, "doc_id long, score double")
 
 
+def without_toxic(docs: DataFrame, model: Model, threshold: float = 0.5, text: str = "text") -> DataFrame:
+    """The documents, with all columns, that score below ``threshold``; scored and kept in one pass without a shuffle."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in batches:
+            plain = pa.array([(t or "").encode() for t in batch.column(text).to_pylist()], pa.binary())
+            scores = [shared.value.scores(hashes, texts) for _, texts in slices(iter([batch_of(["text"], plain)]), "text")]
+            yield batch.filter(pa.array(np.concatenate([*scores, np.empty(0)]) < threshold))
+
+    return docs.mapInArrow(work, docs.schema)
+
+
 def trained(docs: DataFrame, labels: DataFrame, text: str = "text", max_texts: int = MAX_TEXTS, max_words: int = MAX_WORDS) -> Model:
     """The model of a bounded sample of labelled documents; its tables have at most about ``max_words`` entries each."""
     return train(*labelled_sample(docs, labels, text, max_texts, max_words))
