@@ -14,7 +14,7 @@ from scorefold.llm.words import WordHashes, batch_of, mixed, slices, text_of_pos
 
 #: Labelled texts that the two models and the calibration may be fitted on, and words in all of them.
 MAX_TEXTS = 8_000
-MAX_WORDS = 4_000_000
+MAX_WORDS = 3_000_000
 DISCOUNT = 0.75
 #: Pairs of words seen less often in both classes together are left to the lower orders.
 CUTOFF = 200
@@ -63,10 +63,13 @@ class Coded:
         return Coded(self.keys[own], self.before[own], self.pairs[own], number[self.text[own]], self.counts[texts])
 
 
-def coded(hashes: WordHashes, texts: list[bytes]) -> Coded:
-    split = [model_words(t) for t in texts]
-    counts = np.fromiter(map(len, split), np.int64, len(split))
-    keys = hashes.of([w for words in split for w in words])
+def coded(hashes: WordHashes, texts: list[bytes], at_once: int = 500) -> Coded:
+    keys, counts = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+    for i in range(0, len(texts), at_once):
+        split = [model_words(t) for t in texts[i:i + at_once]]
+        counts.append(np.fromiter(map(len, split), np.int64, len(split)))
+        keys.append(hashes.of([w for words in split for w in words]))
+    keys, counts = np.concatenate(keys), np.concatenate(counts)
     text = text_of_position(counts)
     before = np.concatenate([np.zeros(min(1, len(keys)), np.uint64), keys[:-1]])
     before[np.diff(text, prepend=-1) != 0] = 0
@@ -192,8 +195,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, text: str, max_texts: in
     Texts of more than a hundredth of ``max_words`` are left to the others.
     """
     marks = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.max("toxic").alias("y"))
-    chosen = (docs.select(F.col("doc_id").cast("long").alias("id"), utf8(text).alias("t")).where(F.octet_length("t") <= max_words // 100 * 6)
-              .join(marks, "id").orderBy(F.xxhash64("id"), "t").limit(max_texts))
+    plain = docs.select(F.col("doc_id").cast("long").alias("id"), utf8(text).alias("t"))
+    short = F.octet_length("t") <= max_words // 100 * 6
+    # Ids and labels alone are shuffled; the bounded list of chosen ids goes to the texts.
+    chosen = marks.join(plain.where(short).select("id"), "id", "left_semi").orderBy(F.xxhash64("id")).limit(max_texts)
+    chosen = plain.where(short).join(F.broadcast(chosen), "id").orderBy(F.xxhash64("id"), "t").limit(max_texts)
     texts, ys, n = [], [], 0
     for r in chosen.toLocalIterator():
         n += r["t"].count(b" ") + 1
