@@ -60,11 +60,11 @@ def count_by(df: DataFrame, *columns: str) -> DataFrame:
     return df.groupBy(*columns).count()
 
 
-def share_of_rows(df: DataFrame, columns: Sequence[str], total: int) -> DataFrame:
-    """Rows (column, percent): column totals in percent of ``total`` rows."""
-    one = df.agg(*[F.sum(c).alias(f"s_{i}") for i, c in enumerate(columns)])
+def share_of_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows (column, percent): column totals in percent of the number of rows, from one pass."""
+    one = df.agg(F.count("*").alias("total"), *[F.sum(c).alias(f"s_{i}") for i, c in enumerate(columns)])
     return _unfold(one, [
-        F.struct(F.lit(c).alias("column"), (F.coalesce(F.col(f"s_{i}"), F.lit(0)) * 100 / total).alias("percent"))
+        F.struct(F.lit(c).alias("column"), (F.coalesce(F.col(f"s_{i}"), F.lit(0)) * 100 / F.col("total")).alias("percent"))
         for i, c in enumerate(columns)
     ])
 

@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -119,15 +118,7 @@ def rides_by_weekend(features: DataFrame) -> DataFrame:
 # ----------------------------------------------------------------- the tables
 
 
-@contextmanager
-def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
-    conf = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(conf)
-    spark.conf.set(conf, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.set(conf, before)
+MOST_NAMED_PARTITIONS = 1_000
 
 
 class DuplicateKeyError(ValueError):
@@ -188,7 +179,10 @@ class FeatureStore:
         if df.isStreaming:
             raise ValueError("use scorefold.streaming.upsert_stream for streams")
         if mode == "overwrite":
-            df.select(*columns).write.insertInto(name, overwrite=True)
+            with staged(df.select(*columns)) as rows:
+                if self._bad_keys(rows, self.primary_keys(name)):
+                    raise DuplicateKeyError(f"rows for {name}: {self.primary_keys(name)} is not a key")
+                self._replace(name, rows, "static")
         elif mode == "merge":
             self._merge(name, df.select(*columns, *([order_by] if order_by and order_by not in columns else [])), order_by)
         else:
@@ -215,14 +209,29 @@ class FeatureStore:
         if not partition_from_key:
             held = current.join(keys, primary_keys, "left_semi").select(*partition_columns)
             touched = touched.unionByName(held).distinct()
-        rows = touched.collect()  # one row per partition of the table at most
-        if not rows:
+        # Few touched partitions are named in a predicate, which prunes folders; more are met in a join.
+        named = touched.limit(MOST_NAMED_PARTITIONS + 1).collect()
+        if len(named) <= MOST_NAMED_PARTITIONS:
+            held = current.filter(_any_partition(named, partition_columns))
+        else:
+            own = touched.withColumnsRenamed({c: f"_touched_{c}" for c in partition_columns})
+            same = [F.col(c).eqNullSafe(F.col(f"_touched_{c}")) for c in partition_columns]
+            held = current.join(own, same, "left_semi")
+        merged = held.join(keys, primary_keys, "left_anti").unionByName(batch).select(*columns)
+        # Written beside the table first, for a plan must not read what it overwrites.
+        with staged(merged) as rows:
+            self._replace(name, rows, "dynamic")
+
+    def _replace(self, name: str, rows: DataFrame, partitions: str) -> None:
+        """Put ``rows`` in place of all partitions (``static``) or of those they have (``dynamic``)."""
+        parts = self._properties(name)["partition_columns"]
+        place = self.spark.sql(f"DESCRIBE FORMATTED {name}").where("col_name = 'Location'").first()["data_type"]
+        if partitions == "dynamic" and rows.isEmpty():
             return
-        kept = current.filter(_any_partition(rows, partition_columns)).join(keys, primary_keys, "left_anti")
-        merged = kept.unionByName(batch).select(*columns).hint("rebalance", *partition_columns)
-        # Spark writes touched partitions aside and swaps them in at job commit.
-        with _dynamic_overwrite(self.spark):
-            merged.write.insertInto(name, overwrite=True)
+        (rows.hint("rebalance", *parts).write.mode("overwrite").option("partitionOverwriteMode", partitions)
+         .partitionBy(*parts).parquet(place))
+        self.spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+        self.spark.catalog.refreshTable(name)
 
     def table(self, name: str) -> DataFrame:
         return self.spark.table(name)

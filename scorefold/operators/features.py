@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -115,29 +117,24 @@ def target_encode(df: DataFrame, column: str, means: DataFrame, output: str | No
     return join_dimension(df, side, column, "left")
 
 
-def one_hot(
-    df: DataFrame, categories: dict[str, list], drop_first: bool = True, required=rules.ONE_HOT_REQUIRED
-) -> DataFrame:
-    """0/1 columns named ``<column>_<category>`` that replace the source columns.
+def first_categories(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
+    """The smallest present value of each column, from one aggregate."""
+    slim = [F.col(c).cast("double") for c in columns]
+    row = df.agg(*[F.min(F.when(~F.isnan(x), x)).alias(f"c{i}") for i, x in enumerate(slim)]).first()
+    return {c: row[f"c{i}"] for i, c in enumerate(columns) if row[f"c{i}"] is not None}
+
+
+def one_hot(df: DataFrame, columns: Sequence[str], required: Sequence[str] = rules.ONE_HOT_REQUIRED, drop_first: bool = True) -> DataFrame:
+    """The 0/1 columns ``required``, named ``<column>_<value>``, in place of ``columns``.
 
-    With ``drop_first`` the smallest category has no column.  Every name in
-    ``required`` exists afterwards; one without a category is constantly 0.
+    With ``drop_first`` the smallest value of a column in the data has no column
+    of its own: its flag is constantly 0, like that of a value that never occurs.
+    Any number of categories will do, for no list of them is made.
     """
-    columns: dict[str, str] = {}
-    for name, values in categories.items():
-        for value in sorted(values)[1 if drop_first else 0:]:
-            columns[f"{name}_{value}"] = K.flag(f"{K.quoted(name)} = {K.literal(value)}")
-    columns |= {c: "0" for c in required if c not in columns}
-    return K.with_sql(df, columns).drop(*categories)
-
-
-def learn_categories(df: DataFrame, columns: list[str], max_categories: int = 1000) -> dict[str, list]:
-    """Distinct present values of each column; more than ``max_categories`` is an error."""
-    slim = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    pairs = slim.unpivot([], columns, "name", "value").filter(F.col("value").isNotNull()).distinct()
-    bound = max_categories * len(columns)
-    rows = pairs.limit(bound + 1).collect()
-    found = {c: sorted(r["value"] for r in rows if r["name"] == c) for c in columns}
-    if len(rows) > bound or any(len(v) > max_categories for v in found.values()):
-        raise ValueError("too many categories for 0/1 columns")
-    return found
+    first = first_categories(df, columns) if drop_first else {}
+    flags = {}
+    for flag in required:
+        name, _, value = flag.rpartition("_")
+        dropped = name not in columns or first.get(name) == float(value)
+        flags[flag] = "0" if dropped else K.flag(f"{K.quoted(name)} = {K.literal(float(value))}")
+    return K.with_sql(df, flags).drop(*columns)

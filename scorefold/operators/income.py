@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from scorefold.functions import kernels as K
 from scorefold.functions import rules
-from scorefold.operators.features import learn_categories, one_hot, target_encode
+from scorefold.operators.features import one_hot, target_encode
 from scorefold.operators.impute import fill_mode_median, fill_with, column_medians
 from scorefold.operators.joins import append_by_clean_zip
 
@@ -40,8 +40,4 @@ def income_v4_inputs(
         df = target_encode(df, column, means).drop(column)
     encoded = [f"te_{c}" for c in encodings]
     df = fill_with(df, column_medians(df, encoded)) if encoded else df
-    categories = learn_categories(df, list(one_hot_columns))
-    wanted = set(required)
-    return one_hot(df, categories, required=required).drop(
-        *[f"{c}_{v}" for c, values in categories.items() for v in values if f"{c}_{v}" not in wanted]
-    )
+    return one_hot(df, list(one_hot_columns), required)

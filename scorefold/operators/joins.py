@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -11,67 +10,39 @@ from pyspark.sql import functions as F
 
 from scorefold.functions import kernels as K
 from scorefold.functions import rules
+from scorefold.session import kept
 
-# A hinted side is held by every executor, so its size is checked first.
-BROADCAST_BYTES = 64 * 1024 * 1024
-_TYPE_BYTES = {
-    "tinyint": 1, "smallint": 2, "int": 4, "bigint": 8, "float": 4, "double": 8, "boolean": 1,
-    "date": 4, "timestamp": 8, "timestamp_ntz": 8,
-}
-_OTHER_BYTES = 64
+def join_dimension(df: DataFrame, dim: DataFrame, on, how: str = "left") -> DataFrame:
+    """Equi join with a side table that is computed once.
 
-
-def row_bound(df: DataFrame, budget: int | None = None) -> int:
-    """How many rows of this width fit the broadcast budget."""
-    budget = BROADCAST_BYTES if budget is None else budget
-    width = sum(_TYPE_BYTES.get(f.dataType.simpleString(), _OTHER_BYTES) for f in df.schema.fields)
-    return budget // max(width, 1)
-
-
-def fits_broadcast(df: DataFrame, budget: int | None = None) -> bool:
-    bound = row_bound(df, budget)
-    return df.limit(bound + 1).count() <= bound
-
-
-def join_dimension(
-    df: DataFrame, dim: DataFrame, on, how: str = "left", budget: int | None = None
-) -> DataFrame:
-    """Equi join with a side table: broadcast if it fits, else shuffled.
-
-    The shuffled form relies on adaptive execution, which splits a key that
-    holds a large share of ``df``.
+    Written first, the side has a known size: Catalyst broadcasts it below
+    ``spark.sql.autoBroadcastJoinThreshold`` and shuffles it above, where
+    adaptive execution splits a key that holds a large share of ``df``.
     """
-    side = F.broadcast(dim) if fits_broadcast(dim, budget) else dim
-    return df.join(side, on, how)
+    return df.join(kept(dim, "dimension"), on, how)
 
 
 # ------------------------------------------------------------------ ZIP data
 
 
-@dataclass(frozen=True)
-class KeyProfile:
-    rows: int
-    most_per_key: int
-
-
-def key_profile(tables: Sequence[DataFrame], key: str) -> list[KeyProfile]:
-    """Row count and largest key group of several side tables in one job."""
+def most_per_key(tables: Sequence[DataFrame], key: str) -> list[int]:
+    """The largest key group of several side tables, in one job."""
     tagged = reduce(
         DataFrame.unionAll,
         [t.select(F.lit(i).alias("side"), F.col(key).cast("string").alias("key"))
          for i, t in enumerate(tables)],
     )
     found = {
-        r["side"]: KeyProfile(r["rows"], r["most"])
+        r["side"]: r["most"]
         for r in tagged.groupBy("side", "key").agg(F.count("*").alias("n"))
-        .groupBy("side").agg(F.sum("n").alias("rows"), F.max("n").alias("most"))
+        .groupBy("side").agg(F.max("n").alias("most"))
         .collect()
     }
-    return [found.get(i, KeyProfile(0, 0)) for i in range(len(tables))]
+    return [found.get(i, 0) for i in range(len(tables))]
 
 
 def zip_dimension(sides: Sequence[DataFrame], key: str = "zipcode") -> DataFrame:
-    """One row per ZIP over side tables that each hold a ZIP at most once."""
+    """One row per ZIP over side tables that each hold a ZIP at most once and share no other column."""
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), sides)
     values = [c for c in stacked.columns if c != key]
     return stacked.filter(F.col(key).isNotNull()).groupBy(key).agg(
@@ -92,24 +63,23 @@ def append_zip_data(
     applicants take part in a single join.  A side with repeated ZIPs fans out
     rows, as chained left joins do; ``strict`` refuses it.
     """
-    sides = list(sides)
-    profile = key_profile(sides, key)
-    repeated = [i for i, p in enumerate(profile) if p.most_per_key > 1]
+    # A column is known by its side, so that equal names of two sides stay apart.
+    order = [(f"_zip{i}_{c}", c) for i, s in enumerate(sides) for c in s.columns if c != key]
+    sides = [
+        s.where(F.col(key).isNotNull()).select(key, *[F.col(c).alias(f"_zip{i}_{c}") for c in s.columns if c != key])
+        for i, s in enumerate(sides)
+    ]
+    repeated = [i for i, most in enumerate(most_per_key(sides, key)) if most > 1]
     if repeated and strict:
         raise ValueError(f"side tables {repeated} hold a ZIP more than once")
     unique = [s for i, s in enumerate(sides) if i not in repeated]
-    order = [c for s in sides for c in s.columns if c != key]
     keyed = df.withColumnRenamed(zip_column, key)
     own = keyed.columns
     if unique:
-        dim = zip_dimension(unique, key)
-        rows = sum(p.rows for i, p in enumerate(profile) if i not in repeated)
-        keyed = keyed.join(F.broadcast(dim) if rows <= row_bound(dim) else dim, key, "left")
+        keyed = join_dimension(keyed, zip_dimension(unique, key), key)
     for i in repeated:
-        side = sides[i]
-        fits = profile[i].rows <= row_bound(side)
-        keyed = keyed.join(F.broadcast(side) if fits else side, key, "left")
-    return keyed.select(*own, *order).withColumnRenamed(key, zip_column)
+        keyed = join_dimension(keyed, sides[i], key)
+    return keyed.select(*own, *[F.col(c).alias(name) for c, name in order]).withColumnRenamed(key, zip_column)
 
 
 def append_zip_data_keeping_zip(

@@ -25,17 +25,16 @@ def require_columns(df: DataFrame, columns: Iterable[str]) -> None:
         raise ColumnError(f"missing columns: {', '.join(missing)}")
 
 
-def control_rows(df: DataFrame, max_rows: int = 100_000) -> list:
-    """Rows of a small control table on the driver; larger tables are refused."""
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        raise ValueError(f"control table has more than {max_rows} rows")
-    return rows
+def read_name_map(table: DataFrame, raw: str = "raw_lower", final: str = "final", names: Iterable[str] | None = None) -> dict[str, str]:
+    """Name map {raw: final} from a two-column control table.
 
-
-def read_name_map(table: DataFrame, raw: str = "raw_lower", final: str = "final") -> dict[str, str]:
-    """Name map {raw: final} from a two-column control table."""
-    return {r[0].strip(): r[1].strip() for r in control_rows(table.select(raw, final))}
+    With ``names``, only the rows for these columns leave Spark, however large the table is.
+    """
+    rows = table.select(F.trim(raw).alias("raw"), F.trim(final).alias("final"))
+    if names is not None:
+        wanted = table.sparkSession.createDataFrame([(n.lower(),) for n in names], "wanted string")
+        rows = rows.join(wanted, F.col("raw") == F.col("wanted"), "left_semi")
+    return {r["raw"]: r["final"] for r in rows.collect()}
 
 
 # ------------------------------------------------------------------- renames
@@ -181,11 +180,18 @@ def has_value(df: DataFrame, column: str) -> DataFrame:
     return df.filter(F.col(column).isNotNull())
 
 
+def hash_share(key: Sequence[str], seed: int) -> Column:
+    """A number in [0, 1) in steps of 1/10,000 that depends on the key and the seed alone."""
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in key]).cast("binary"))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % 10_000 / 10_000
+
+
 def sample_range(
-    df: DataFrame, column: str, start, end, fraction: float, seed: int
+    df: DataFrame, column: str, start, end, fraction: float, seed: int, key: Sequence[str] | None = None
 ) -> DataFrame:
-    """A random share of a time range."""
-    return between_times(df, column, start, end).sample(fraction=fraction, seed=seed)
+    """A random share of a time range; by a hash of ``key`` the same rows on any cluster."""
+    rows = between_times(df, column, start, end)
+    return rows.sample(fraction=fraction, seed=seed) if key is None else rows.filter(hash_share(key, seed) < fraction)
 
 
 def apply_steps(df: DataFrame, steps: Iterable[Callable[[DataFrame], DataFrame]]) -> DataFrame:

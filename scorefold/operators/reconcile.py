@@ -37,10 +37,15 @@ def close(a: str | Column, b: str | Column, tolerance: float = TOLERANCE, equal_
     return same | (missing(a) & missing(b)) if equal_nan else same
 
 
-def join_runs(current: DataFrame, legacy: DataFrame, key: str, how: str = "inner",
+def key_list(key: str | Sequence[str]) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
+
+
+def join_runs(current: DataFrame, legacy: DataFrame, key: str | Sequence[str], how: str = "inner",
               suffixes: tuple[str, str] = ("_DB", "_R")) -> DataFrame:
-    """Join two runs by id; shared column names get a suffix per side."""
-    shared = {c for c in current.columns if c in set(legacy.columns)} - {key}
+    """Join two runs by id, of one or several columns; shared column names get a suffix per side."""
+    key = key_list(key)
+    shared = {c for c in current.columns if c in set(legacy.columns)} - set(key)
     a = current.withColumnsRenamed({c: c + suffixes[0] for c in shared})
     b = legacy.withColumnsRenamed({c: c + suffixes[1] for c in shared})
     return a.join(b, key, how)
@@ -54,13 +59,13 @@ def suffix_pairs(names: Pairs, suffixes: tuple[str, str] = ("_DB", "_R")) -> lis
 # ------------------------------------------------------------------ mismatches
 
 
-def mismatches(joined: DataFrame, key: str, pair: tuple[str, str], tolerance: float = TOLERANCE) -> DataFrame:
+def mismatches(joined: DataFrame, key: str | Sequence[str], pair: tuple[str, str], tolerance: float = TOLERANCE) -> DataFrame:
     """Rows of one score that differ: (key, legacy, current)."""
     current, legacy = pair
-    return joined.filter(~close(current, legacy, tolerance)).select(key, legacy, current)
+    return joined.filter(~close(current, legacy, tolerance)).select(*key_list(key), legacy, current)
 
 
-def all_mismatches(joined: DataFrame, key: str, pairs: Pairs, tolerance: float = TOLERANCE) -> DataFrame:
+def all_mismatches(joined: DataFrame, key: str | Sequence[str], pairs: Pairs, tolerance: float = TOLERANCE) -> DataFrame:
     """Rows (key, score, legacy, current) over all scores from a single scan."""
     rows = F.array(*[
         F.struct(
@@ -72,7 +77,7 @@ def all_mismatches(joined: DataFrame, key: str, pairs: Pairs, tolerance: float =
         for current, legacy in pairs
     ])
     differing = F.filter(rows, lambda r: ~r["same"])
-    return joined.select(key, F.inline(differing)).drop("same")
+    return joined.select(*key_list(key), F.inline(differing)).drop("same")
 
 
 def verdicts(joined: DataFrame, pairs: Pairs, tolerance: float = TOLERANCE, equal_nan: bool = False) -> DataFrame:
@@ -102,10 +107,10 @@ def null_pattern_rows(joined: DataFrame, left: str, right: str) -> DataFrame:
     return joined.filter(missing(F.col(left)) & ~missing(F.col(right)))
 
 
-def without_differing(joined: DataFrame, key: str, pair: tuple[str, str], tolerance: float = TOLERANCE) -> DataFrame:
+def without_differing(joined: DataFrame, key: str | Sequence[str], pair: tuple[str, str], tolerance: float = TOLERANCE) -> DataFrame:
     """Rows of ids that never differ in ``pair``, for comparing the rest again."""
-    bad = mismatches(joined, key, pair, tolerance).select(key).distinct()
-    return joined.join(bad, key, "left_anti")
+    bad = mismatches(joined, key, pair, tolerance).select(*key_list(key)).distinct()
+    return joined.join(bad, key_list(key), "left_anti")
 
 
 def absolute_differences(joined: DataFrame, pairs: Pairs, missing_as: float | None = None) -> DataFrame:
@@ -211,12 +216,11 @@ def bin_matrix(differences: DataFrame, scores: Sequence[str], bins: int = 100) -
     return spine.join(spread, "bin", "left")
 
 
-def moved_share(differences: DataFrame, total: int) -> DataFrame:
-    """Rows (score, moved, percent): rows that changed bin, in percent of ``total``."""
+def moved_share(differences: DataFrame, run: DataFrame) -> DataFrame:
+    """Rows (score, moved, percent): rows that changed bin, in percent of the rows of ``run``."""
     moved = F.coalesce(F.sum("diff"), F.lit(0))
-    return differences.groupBy("score").agg(
-        moved.alias("moved"), (moved * 100 / total).alias("percent")
-    )
+    total = run.agg(F.count("*")).scalar()
+    return differences.groupBy("score").agg(moved.alias("moved")).select("score", "moved", (F.col("moved") * 100 / total).alias("percent"))
 
 
 def distribution(df: DataFrame, column: str, low: float, high: float, bins: int = 100) -> DataFrame:

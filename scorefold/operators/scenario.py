@@ -33,8 +33,10 @@ def add_scenario(
     Both scenarios are computed from one scan: rows outside ``where`` get NULL,
     as a left join with a separate run over the filtered rows would give.
     """
-    own = [K.quoted(c) for c in df.columns]
-    result = apply_steps(K.with_sql(df, {"_in_scenario": f"coalesce({where}, FALSE)"}), steps)
+    # Steps may overwrite input columns, so the row's own values go along under names of their own.
+    own = [f"{K.quoted('_own_' + c)} AS {K.quoted(c)}" for c in df.columns]
+    copies = {f"_own_{c}": K.quoted(c) for c in df.columns}
+    result = apply_steps(K.with_sql(df, copies | {"_in_scenario": f"coalesce({where}, FALSE)"}), steps)
     kept = [f"{K.case([('_in_scenario', K.quoted(c))])} AS {K.quoted(prefix + c)}" for c in outputs]
     return result.selectExpr(*own, *kept)
 

@@ -10,11 +10,12 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
-from functools import cached_property, reduce
+from importlib import import_module
 from typing import Any
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,7 +23,7 @@ from scorefold.functions import kernels as K
 from scorefold.functions import rules
 from scorefold.operators.features import add_funding_features
 from scorefold.operators.impute import loan_columns
-from scorefold.operators.projection import add_approval_names, control_rows, require_columns
+from scorefold.operators.projection import add_approval_names, require_columns
 
 # Beyond this many nodes nested CASE expressions cost more than a batch UDF.
 MAX_COLUMN_NODES = 256
@@ -162,12 +163,23 @@ class TreeModel:
         return json.dumps({"kind": "trees", "trees": self.trees, "base": self.base, "link": self.link})
 
 
+def _imported(place: str):
+    """The object that ``package.module:name`` names."""
+    module, _, name = place.partition(":")
+    return getattr(import_module(module), name)
+
+
 @dataclass(frozen=True)
 class CustomModel:
-    """A user's model: ``loader`` runs once per task and returns ``predict(batch)``."""
+    """A user's model: ``loader`` runs once per task and returns ``predict(batch)``.
+
+    To live in a model table, ``loader`` is the text ``package.module:function``
+    of a function that the executors can import; ``settings`` are its arguments.
+    """
 
     feature_names: Sequence[str]
-    loader: Callable[[], Callable[[pd.DataFrame], Any]]
+    loader: str | Callable[..., Callable[[pd.DataFrame], Any]]
+    settings: dict = field(default_factory=dict)
 
     @property
     def features(self) -> list[str]:
@@ -178,13 +190,34 @@ class CustomModel:
         return False
 
     def load(self) -> Callable[[pd.DataFrame], Any]:
-        return self.loader()
+        loader = _imported(self.loader) if isinstance(self.loader, str) else self.loader
+        return loader(**self.settings)
+
+    def to_json(self) -> str:
+        if not isinstance(self.loader, str):
+            raise ValueError("a stored model names its loader as 'package.module:function'")
+        return json.dumps({"kind": "custom", "feature_names": self.features, "loader": self.loader, "settings": self.settings})
+
 
+@dataclass(frozen=True)
+class PreparedModel:
+    """A model with the preparation of its inputs, ``package.module:function`` from frame to frame, run before it scores."""
+
+    model: LinearModel | TreeModel | CustomModel
+    prepare: str
+
+    def to_json(self) -> str:
+        return json.dumps(json.loads(self.model.to_json()) | {"prepare": self.prepare})
 
-def model_from_json(text: str) -> LinearModel | TreeModel:
+    def __getattr__(self, name: str):
+        return getattr(object.__getattribute__(self, "model"), name)
+
+
+def model_from_json(text: str) -> LinearModel | TreeModel | CustomModel | PreparedModel:
     spec = json.loads(text)
-    kind = spec.pop("kind")
-    return {"linear": LinearModel, "trees": TreeModel}[kind](**spec)
+    kind, prepare = spec.pop("kind"), spec.pop("prepare", None)
+    model = {"linear": LinearModel, "trees": TreeModel, "custom": CustomModel}[kind](**spec)
+    return PreparedModel(model, prepare) if prepare else model
 
 
 # -------------------------------------------------------------------- scoring
@@ -193,17 +226,18 @@ _RUN = "__run"
 
 
 def arrow_scorer(model) -> Callable[..., Column]:
-    """Iterator UDF over a struct of features; rows not marked to run give NULL."""
+    """Iterator UDF over a struct of features; rows not marked to run give NULL, a NaN score stays NaN."""
 
-    @F.pandas_udf("double")
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         predict = model.load()
         for batch in batches:
-            wanted = batch[_RUN].to_numpy(dtype=bool, na_value=False)
-            scores = np.full(len(batch), np.nan)
+            table = pa.RecordBatch.from_struct_array(batch).to_pandas()
+            wanted = table[_RUN].to_numpy(dtype=bool, na_value=False)
+            scores = np.zeros(len(table))
             if wanted.any():
-                scores[wanted] = np.asarray(predict(batch.loc[wanted].drop(columns=_RUN)), dtype="float64")
-            yield pd.Series(scores)
+                scores[wanted] = np.asarray(predict(table.loc[wanted].drop(columns=_RUN)), dtype="float64")
+            yield pa.array(scores, pa.float64(), mask=~wanted, from_pandas=False)
 
     return run
 
@@ -218,6 +252,11 @@ def score(
     """
     if engine not in ("auto", "column", "arrow"):
         raise ValueError("engine must be 'auto', 'column' or 'arrow'")
+    if isinstance(model, PreparedModel):
+        # The preparation may overwrite columns, which the caller gets back as they were.
+        copies = df.withColumns({f"_own_{c}": F.col(K.quoted(c)) for c in df.columns})
+        ready = score(_imported(model.prepare)(copies), model.model, output, where, engine)
+        return ready.select(*[F.col(K.quoted(f"_own_{c}")).alias(c) for c in df.columns if c != output], output)
     if engine == "column" or (engine == "auto" and model.as_column):
         return K.with_sql(df, {output: model.sql() if where is None else K.case([(where, model.sql())])})
     require_columns(df, model.features)
@@ -283,9 +322,10 @@ MODEL_SCHEMA = "name string, version int, stage string, spec string"
 
 @dataclass(frozen=True)
 class ModelTable:
-    """Rows of (name, version, stage, spec); control data that is read once."""
+    """Rows of (name, version, stage, spec)."""
 
     table: DataFrame
+    _resolved: dict = field(default_factory=dict, compare=False, repr=False)
 
     @staticmethod
     def from_models(spark, rows: Sequence[tuple[str, int, str, Any]]) -> ModelTable:
@@ -299,24 +339,25 @@ class ModelTable:
     def write(self, path: str) -> None:
         self.table.write.mode("overwrite").parquet(path)
 
-    @cached_property
-    def _rows(self) -> list:
-        return control_rows(self.table)
-
     def latest_version(self, name: str) -> int:
         """Highest version of a model; 1 if none is recorded."""
-        return max((r["version"] for r in self._rows if r["name"] == name), default=1)
+        return self.table.where(F.col("name") == name).agg(F.max("version")).first()[0] or 1
 
     def resolve(self, reference: str):
-        """Model for ``models:/name/version`` or ``models:/name/stage``; a bare name is the latest."""
-        name, _, wanted = reference.removeprefix("models:/").partition("/")
-        rows = [
-            r for r in self._rows
-            if r["name"] == name and (not wanted or wanted in (str(r["version"]), r["stage"]))
-        ]
-        if not rows:
-            raise LookupError(f"no model for {reference}")
-        return model_from_json(max(rows, key=lambda r: r["version"])["spec"])
+        """Model for ``models:/name/version`` or ``models:/name/stage``; a bare name is the latest.
+
+        The table is searched by Spark; one row is read.
+        """
+        if reference not in self._resolved:
+            name, _, wanted = reference.removeprefix("models:/").partition("/")
+            rows = self.table.where(F.col("name") == name)
+            if wanted:
+                rows = rows.where((F.col("version").cast("string") == wanted) | (F.col("stage") == wanted))
+            found = rows.orderBy(F.desc("version")).select("spec").first()
+            if found is None:
+                raise LookupError(f"no model for {reference}")
+            self._resolved[reference] = model_from_json(found["spec"])
+        return self._resolved[reference]
 
     def promote(self, name: str, version: int, stage: str) -> ModelTable:
         """Give one version a stage; the version that held it is archived."""

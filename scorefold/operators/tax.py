@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-from collections import defaultdict
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -12,10 +10,7 @@ from pyspark.sql import functions as F
 from scorefold.functions import kernels as K
 from scorefold.functions import rules
 from scorefold.operators.impute import imputed_columns
-from scorefold.operators.joins import join_dimension
-
-MAX_BRACKET_ROWS = 20_000
-MAX_BRACKETS_PER_STATE = 64
+from scorefold.session import kept
 
 
 # ------------------------------------------------------------ mortgage, federal
@@ -81,50 +76,32 @@ def add_federal_tax(df: DataFrame, income: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class StateBrackets:
-    """A state tax table turned into one row per state.
+    """A state tax table turned into one row per state, with its brackets as an array.
 
-    ``table`` has the columns ``_prev``, ``_max`` and ``_rate`` of every bracket
-    position, so that the tax is a plain expression after a one-to-one join,
-    and the applicant table is neither multiplied nor grouped.  Unused
-    positions start at infinity and hold no money.
+    The tax is a fold over that array after a one-to-one join, so the applicant
+    table is neither multiplied nor grouped, whatever the size of the table.
     """
 
     table: DataFrame
-    slots: int
     deductions: bool = False
 
     @staticmethod
-    def load(rows: DataFrame, deductions: bool = False) -> StateBrackets | None:
-        """Read the control table once; None if it is too large to be one."""
-        money = ["DollarsPreviousTaxed", "MaximumTaxableDollars", "Rates"]
-        less = ["Standard_Deduction", "Personal_Exemption"] if deductions else []
-        listed = rows.select("State", *money, *less).limit(MAX_BRACKET_ROWS + 1).collect()
-        states = defaultdict(list)
-        for r in listed:
-            if r["State"] is not None:
-                deducted = sum(r[c] for c in less) if all(r[c] is not None for c in less) else None
-                states[r["State"]].append((deducted, *(r[c] for c in money)))
-        slots = max(map(len, states.values()), default=0)
-        if len(listed) > MAX_BRACKET_ROWS or slots > MAX_BRACKETS_PER_STATE:
-            return None
-        wide = [_state_row(state, found, slots) for state, found in states.items()]
-        names = [f"_{part}{i}" for i in range(slots) for part in ("less", "prev", "max", "rate")]
-        schema = ", ".join(["_state string", "_deduction double", "_taxed boolean", *[f"{n} double" for n in names]])
-        return StateBrackets(rows.sparkSession.createDataFrame(wide, schema), slots, deductions)
-
-
-def _state_row(state: str, found: list[tuple], slots: int) -> tuple:
-    """One state's brackets side by side; a bracket without deduction or start holds no money."""
-    usable = sorted(
-        (float(less), float(prev), math.inf if top is None else float(top), rate)
-        for less, prev, top, rate in found if less is not None and prev is not None
-    )
-    deductions = [less for less, *_ in found if less is not None]
-    taxed = any(rate is not None for *_, rate in usable)
-    cells = [(less, prev, top, 0.0 if rate is None else float(rate)) for less, prev, top, rate in usable]
-    none = (None, None, None, None) if not usable else (0.0, math.inf, 0.0, 0.0)
-    cells += [none] * (slots - len(cells))
-    return (state, float(min(deductions)) if deductions else None, taxed, *[x for c in cells for x in c])
+    def load(rows: DataFrame, deductions: bool = False) -> StateBrackets:
+        """Group the control table by state, once for all uses.
+
+        A bracket without a start, or without deductions where they count, holds no money.
+        """
+        less = "CAST(Standard_Deduction + Personal_Exemption AS DOUBLE)" if deductions else "0D"
+        cells = rows.where("State IS NOT NULL").selectExpr(
+            "CAST(State AS STRING) AS _state", f"{less} AS less", "CAST(DollarsPreviousTaxed AS DOUBLE) AS prev",
+            "coalesce(CAST(MaximumTaxableDollars AS DOUBLE), DOUBLE('Infinity')) AS top", "CAST(Rates AS DOUBLE) AS rate")
+        usable = "less IS NOT NULL AND prev IS NOT NULL"
+        cell = "named_struct('less', less, 'prev', prev, 'top', top, 'rate', coalesce(rate, 0D))"
+        return StateBrackets(kept(cells.groupBy("_state").agg(
+            F.expr("min(less) AS _deduction"),
+            F.expr(f"coalesce(bool_or({usable} AND rate IS NOT NULL), FALSE) AS _taxed"),
+            F.expr(f"sort_array(collect_list(CASE WHEN {usable} THEN {cell} END)) AS _brackets"),
+        ), "state_brackets"), deductions)
 
 
 def bracket_money(base: str, previous: str, maximum: str) -> str:
@@ -133,33 +110,29 @@ def bracket_money(base: str, previous: str, maximum: str) -> str:
     return K.case([(f"{over} > {maximum}", K.floor_at(maximum, 0.0))], K.floor_at(over, 0.0))
 
 
-def _join_brackets(df: DataFrame, brackets: StateBrackets, state: str) -> DataFrame:
-    # At most MAX_BRACKET_ROWS states, checked when the table was read.
-    return df.join(F.broadcast(brackets.table), F.col(state) == F.col("_state"), "left")
-
-
-def _slot_layers(brackets: StateBrackets, income: str) -> tuple[dict[str, str], dict[str, str]]:
-    slots = range(brackets.slots)
-    money = {f"_money{i}": bracket_money(f"({income} - _less{i})", f"_prev{i}", f"_max{i}") for i in slots}
-    none = "CAST(NULL AS DOUBLE)"
-    tax = " + ".join(f"_money{i} * _rate{i}" for i in slots) or none
-    return money, {
-        "StateTax_sum": K.case([("_taxed", tax)]),
-        "Money_sum": " + ".join(money) or none,
+def _fold_layers(income: str) -> tuple[dict[str, str], dict[str, str]]:
+    """Money per bracket, then tax and money over all; NULL for a state without a usable bracket."""
+    money = bracket_money(f"({income} - b.less)", "b.prev", "b.top")
+    total = "aggregate(_money, 0D, (s, m) -> s + {})"
+    some = "size(_money) > 0"
+    return {"_money": f"transform(_brackets, b -> named_struct('money', {money}, 'rate', b.rate))"}, {
+        "StateTax_sum": K.case([(f"_taxed AND {some}", total.format("m.money * m.rate"))]),
+        "Money_sum": K.case([(some, total.format("m.money"))]),
     }
 
 
 def _state_sums_by_rejoin(
-    df: DataFrame, rows: DataFrame, income: str, state: str, deductions: bool, how: str, key: str
+    df: DataFrame, rows: DataFrame, income: str, state: str, deductions: bool, key: str
 ) -> DataFrame:
-    """Join every bracket, aggregate per consumer, join back.
+    """Join every bracket, aggregate per consumer, join back, when a caller asks for it.
 
-    Repeated ids add up and NULL ids disappear in this form; it is the way for
-    bracket tables beyond the size bound and the yardstick in the tests.
+    Repeated ids add up and NULL ids disappear in this form.  States without an
+    applicant, which a full join would add, have no id and leave again in the
+    inner join; so the join is a left one, which can be split at a hot state.
     """
     base = "_income - Standard_Deduction - Personal_Exemption" if deductions else "_income"
     slim = df.select(key, F.col(income).alias("_income"), F.col(state).alias("State"))
-    joined = join_dimension(slim, rows, "State", how) if how == "left" else slim.join(rows, "State", how)
+    joined = slim.join(rows, "State", "left")
     sums = (
         K.with_layers(joined, [
             {"_base": base}, {"_money": bracket_money("_base", "DollarsPreviousTaxed", "MaximumTaxableDollars")}
@@ -190,21 +163,19 @@ def state_tax_total(base: str) -> str:
 
 def add_state_sums(
     df: DataFrame, state_table: DataFrame | StateBrackets, income: str, state: str, deductions: bool, method: str,
-    how: str, key: str, alongside: dict[str, str] | None = None,
+    key: str, alongside: dict[str, str] | None = None,
 ) -> DataFrame:
     """State sums; ``alongside`` are further columns for the same projection."""
-    prepared = state_table if isinstance(state_table, StateBrackets) else None
-    if method == "slots" and prepared is None:
-        prepared = StateBrackets.load(state_table, deductions)
-    if prepared is None:
-        df = _state_sums_by_rejoin(df, state_table, income, state, deductions, how, key)
+    if method == "rejoin":
+        df = _state_sums_by_rejoin(df, state_table, income, state, deductions, key)
         return K.with_sql(df, alongside or {})
+    prepared = state_table if isinstance(state_table, StateBrackets) else StateBrackets.load(state_table, deductions)
     if prepared.deductions != deductions:
         raise ValueError("the bracket table was loaded with another deductions setting")
-    money, sums = _slot_layers(prepared, income)
+    money, sums = _fold_layers(income)
     base = {"AfterDeduction_max": f"{income} - _deduction" if deductions else income}
-    df = K.with_layers(_join_brackets(df, prepared, state), [money | base | (alongside or {}), sums])
-    return df.drop(*money, *prepared.table.columns)
+    joined = df.join(prepared.table, F.col(state) == F.col("_state"), "left")
+    return K.with_layers(joined, [money | base | (alongside or {}), sums]).drop(*money, *prepared.table.columns)
 
 
 def add_state_tax(
@@ -213,16 +184,15 @@ def add_state_tax(
     income: str,
     state: str = "NCOA_ADDR_State",
     deductions: bool = False,
-    method: str = "slots",
-    how: str = "left",
+    method: str = "fold",
     key: str = "PPPCL_CONSUMER_ID",
 ) -> DataFrame:
     """State income tax plus payroll taxes; an unknown state gives NULL.
 
-    ``method="slots"`` needs no shuffle.  ``method="rejoin"`` is the join and
-    aggregate form; with ``how="full"`` it matches the older library.
+    ``method="fold"`` does not group the applicants and gives each row its own
+    tax.  ``method="rejoin"`` is the join and aggregate form of the older library.
     """
-    df = add_state_sums(df, state_table, income, state, deductions, method, how, key)
+    df = add_state_sums(df, state_table, income, state, deductions, method, key)
     base = "AfterDeduction_max"
     return K.with_sql(df, payroll_columns(base) | {"StateTax": state_tax_total(base)})
 
@@ -242,8 +212,7 @@ def calculate_ndi(
     housing: str = "HPE_Housing_Payment_Estimation",
     preprocess: bool = True,
     deductions: bool = False,
-    method: str = "slots",
-    how: str = "left",
+    method: str = "fold",
     key: str = "PPPCL_CONSUMER_ID",
 ) -> DataFrame:
     """Net disposable income after taxes, debt payments and housing.
@@ -264,7 +233,7 @@ def calculate_ndi(
         {"YearAvgMortInterest": yearly_interest(), "TaxableIncome": taxable_income(income)},
     ])
     df = add_state_sums(
-        df, state_table, income, state, deductions, method, how, key, alongside=federal_columns()
+        df, state_table, income, state, deductions, method, key, alongside=federal_columns()
     )
     payments = [
         K.null_to("W49_ATTR06_Imputed", 0.0), K.null_to("W49_AUP1003_Imputed", 0.0), "V71_INAP01_Imputed",

@@ -14,12 +14,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scorefold.operators.feature_store import FeatureLookup, FeatureStore, add_features
+from scorefold.operators.projection import hash_share
 from scorefold.session import ensure_checkpoint_dir
 
 
 def split_rows(df: DataFrame, key: Sequence[str], test_share: float = 0.25, seed: int = 123) -> tuple[DataFrame, DataFrame]:
     """Train and test rows by a hash of ``key``: the same row always falls on the same side."""
-    bucket = F.pmod(F.xxhash64(F.lit(seed), *key), F.lit(10_000)) / 10_000
+    bucket = hash_share(key, seed)
     return df.filter(bucket >= test_share), df.filter(bucket < test_share)
 
 

@@ -322,7 +322,7 @@ def state_tax_rejoin(spark, sf_dir):
 def state_tax_legacy(spark, sf_dir):
     df = applicants(spark, sf_dir, _STATE_RAW)
     df = tax.add_state_tax(
-        df, D.state_brackets(spark, sf_dir), INCOME, deductions=True, method="rejoin", how="full"
+        df, D.state_brackets(spark, sf_dir), INCOME, deductions=True, method="rejoin"
     )
     return with_rounded(df.select(ID, *_STATE_OUT))
 
@@ -737,16 +737,18 @@ def target_encode(spark, sf_dir):
     return with_rounded(features.target_encode(df.drop("epay01attr25"), "W55_RVLR14", means))
 
 
+_FLAGS = tuple(f"V71_ST02S_{v}" for v in (-5.0, -4.0, -3.0, -2.0, -1.0, 0.0, 1.0, 2.0)) + ("V71_PB06S_9.0",)
+
+
 @query(
     "FN-23",
     f"SELECT {ID}, "
-    + ", ".join(f"CASE WHEN V71_ST02S = {v} THEN 1 ELSE 0 END AS \"V71_ST02S_{v}\"" for v in (-5.0, -4.0, -3.0, -2.0, -1.0, 0.0, 1.0, 2.0))
-    + f", 0 AS \"V71_PB06S_9.0\" FROM ({applicants_sql([ID, 'V71_ST02S'])})",
+    + ", ".join(f"CASE WHEN V71_ST02S = {v} AND (SELECT min(V71_ST02S) FROM ({applicants_sql([ID, 'V71_ST02S'])})) <> {v} THEN 1 ELSE 0 END AS \"V71_ST02S_{v}\""
+                for v in (-5.0, -4.0, -3.0, -2.0, -1.0, 0.0, 1.0, 2.0))
+    + f", 0 AS \"V71_PB06S_9.0\" FROM ({applicants_sql([ID, 'V71_ST02S'])}) a",
 )
 def one_hot(spark, sf_dir):
-    df = applicants(spark, sf_dir, [ID, "V71_ST02S"])
-    learned = features.learn_categories(df, ["V71_ST02S"])
-    return features.one_hot(df, learned, required=("V71_PB06S_9.0",))
+    return features.one_hot(applicants(spark, sf_dir, [ID, "V71_ST02S"]), ["V71_ST02S"], _FLAGS)
 
 
 _V4_MEDIAN = ["V71_MT101S", "V71_REAP01", "W55_TRV14"]

@@ -79,8 +79,6 @@ def score_campaign(
     ``columns`` is the output list; None keeps everything.
     """
     state_table = StateBrackets.load(inputs.state_table)
-    if state_table is None:
-        state_table = inputs.state_table
     df = shared_prefix(df, inputs).transform(add_best_case_income)
     df = add_scenario(
         df,

@@ -11,20 +11,20 @@ from scorefold.session import scratch_path
 from scorefold.sources import driver_tables as D
 from scorefold.sources.readers import read_csv
 
-KEY = "line_id"
+KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+KEYS = ", ".join(KEY)
 PAIRS = [("net_price", "net_price_v1"), ("taxed_price", "taxed_price_v1"), ("quantity", "quantity")]
 JOINED = reconcile.suffix_pairs(PAIRS)
-_ID = "l_orderkey * 100000000 + l_partkey * 1000 + l_linenumber"
 _NET = "l_extendedprice * (1 - l_discount)"
 
 _CURRENT = {
-    KEY: _ID,
+    **{k: k for k in KEY},
     "net_price": f"CASE WHEN l_partkey % 97 = 0 THEN NULL WHEN l_partkey % 10 = 3 THEN {_NET} + 0.5 ELSE {_NET} END",
     "taxed_price": f"{_NET} * (1 + l_tax)",
     "quantity": "CASE WHEN l_suppkey % 50 = 7 THEN l_quantity + 2 ELSE l_quantity END",
 }
 _LEGACY = {
-    KEY: _ID,
+    **{k: k for k in KEY},
     "net_price_v1": f"CASE WHEN l_partkey % 89 = 0 THEN NULL ELSE {_NET} END",
     "taxed_price_v1": f"{_NET} * (1 + l_tax) + CASE WHEN l_linenumber = 7 THEN 1e-10 ELSE 0e0 END",
     "quantity": "l_quantity",
@@ -32,34 +32,25 @@ _LEGACY = {
 
 
 def _select(columns: dict[str, str]) -> str:
-    listed = ", ".join(f"CAST({e} AS {'BIGINT' if n == KEY else 'DOUBLE'}) AS {n}" for n, e in columns.items())
+    listed = ", ".join(f"CAST({e} AS {'BIGINT' if n in KEY else 'DOUBLE'}) AS {n}" for n, e in columns.items())
     return f"SELECT {listed} FROM lineitem"
 
 
 def _run(spark, sf_dir, columns: dict[str, str]):
     return D.table(spark, sf_dir, "lineitem").selectExpr(
-        *[f"CAST({e} AS {'BIGINT' if n == KEY else 'DOUBLE'}) AS {n}" for n, e in columns.items()]
+        *[f"CAST({e} AS {'BIGINT' if n in KEY else 'DOUBLE'}) AS {n}" for n, e in columns.items()]
     )
 
 
 def _joined(spark, sf_dir, how: str = "inner"):
-    """Both runs are one row per line; ids repeated by the generator are reduced first."""
-    def unique(df):
-        return df.groupBy(KEY).agg(*[F.max(c).alias(c) for c in df.columns if c != KEY])
-
-    return reconcile.join_runs(
-        unique(_run(spark, sf_dir, _CURRENT)), unique(_run(spark, sf_dir, _LEGACY)), KEY, how
-    )
-
-
-def _unique_sql(columns: dict[str, str]) -> str:
-    maxima = ", ".join(f"max({c}) AS {c}" for c in columns if c != KEY)
-    return f"SELECT {KEY}, {maxima} FROM ({_select(columns)}) GROUP BY {KEY}"
+    """Both runs have one row per line, known by its order, part, supplier and number."""
+    return reconcile.join_runs(_run(spark, sf_dir, _CURRENT), _run(spark, sf_dir, _LEGACY), KEY, how)
 
 
 _JOINED_SQL = (
-    f"SELECT a.{KEY}, a.net_price, b.net_price_v1, a.taxed_price, b.taxed_price_v1, a.quantity AS \"quantity_DB\", b.quantity AS \"quantity_R\" "
-    f"FROM ({_unique_sql(_CURRENT)}) a JOIN ({_unique_sql(_LEGACY)}) b ON a.{KEY} = b.{KEY}"
+    f"SELECT {', '.join(f'a.{k}' for k in KEY)}, a.net_price, b.net_price_v1, a.taxed_price, b.taxed_price_v1, "
+    "a.quantity AS \"quantity_DB\", b.quantity AS \"quantity_R\" "
+    f"FROM ({_select(_CURRENT)}) a JOIN ({_select(_LEGACY)}) b ON {' AND '.join(f'a.{k} = b.{k}' for k in KEY)}"
 )
 
 
@@ -70,7 +61,7 @@ def _close_sql(a: str, b: str, tolerance: str = "1e-8") -> str:
 @query(
     "DQ-01 DQ-05 JN-08 JN-09",
     " UNION ALL ".join(
-        f"SELECT {KEY}, '{a}' AS score, round({b}, 4) AS legacy, round({a}, 4) AS current FROM ({_JOINED_SQL}) WHERE NOT {_close_sql(a, b)}"
+        f"SELECT {KEYS}, '{a}' AS score, round({b}, 4) AS legacy, round({a}, 4) AS current FROM ({_JOINED_SQL}) WHERE NOT {_close_sql(a, b)}"
         for a, b in JOINED
     ),
 )
@@ -80,7 +71,7 @@ def recon_mismatch(spark, sf_dir):
 
 @query(
     "DQ-01",
-    f"SELECT {KEY}, round(taxed_price_v1, 7) AS taxed_price_v1, round(taxed_price, 7) AS taxed_price FROM ({_JOINED_SQL}) "
+    f"SELECT {KEYS}, round(taxed_price_v1, 7) AS taxed_price_v1, round(taxed_price, 7) AS taxed_price FROM ({_JOINED_SQL}) "
     f"WHERE NOT {_close_sql('taxed_price', 'taxed_price_v1', '1e-12')}",
 )
 def recon_mismatch_tight(spark, sf_dir):
@@ -109,11 +100,11 @@ def recon_allclose_equal_nan(spark, sf_dir):
 
 @query(
     "DQ-03 FN-05",
-    f"SELECT {KEY}, coalesce(round(net_price, 0) = round(net_price_v1, 0), FALSE) AS same FROM ({_JOINED_SQL})",
+    f"SELECT {KEYS}, coalesce(round(net_price, 0) = round(net_price_v1, 0), FALSE) AS same FROM ({_JOINED_SQL})",
 )
 def recon_rounded(spark, sf_dir):
     joined = _joined(spark, sf_dir)
-    return joined.select(KEY, reconcile.rounded_equal("net_price", "net_price_v1", 0).alias("same"))
+    return joined.select(*KEY, reconcile.rounded_equal("net_price", "net_price_v1", 0).alias("same"))
 
 
 @query(
@@ -204,8 +195,7 @@ def recon_bin_matrix(spark, sf_dir):
     f"FROM ({_bins_sql()}) GROUP BY score",
 )
 def recon_moved_share(spark, sf_dir):
-    total = D.table(spark, sf_dir, "lineitem").count()
-    return with_rounded(reconcile.moved_share(_differences(spark, sf_dir), total))
+    return with_rounded(reconcile.moved_share(_differences(spark, sf_dir), D.table(spark, sf_dir, "lineitem")))
 
 
 @query(
@@ -215,7 +205,7 @@ def recon_moved_share(spark, sf_dir):
 )
 def column_share(spark, sf_dir):
     lines = D.table(spark, sf_dir, "lineitem")
-    return with_rounded(aggregates.share_of_rows(lines, ["l_quantity", "l_linenumber"], lines.count()), 3)
+    return with_rounded(aggregates.share_of_rows(lines, ["l_quantity", "l_linenumber"]), 3)
 
 
 @query(
@@ -232,11 +222,8 @@ def score_distribution(spark, sf_dir):
 )
 def recon_report_files(spark, sf_dir):
     """Every report written as CSV, and the verdicts read back."""
-    def unique(df):
-        return df.groupBy(KEY).agg(*[F.max(c).alias(c) for c in df.columns if c != KEY])
-
     folder = scratch_path(spark, "reconciliation")
-    current, legacy = unique(_run(spark, sf_dir, _CURRENT)), unique(_run(spark, sf_dir, _LEGACY))
+    current, legacy = _run(spark, sf_dir, _CURRENT), _run(spark, sf_dir, _LEGACY)
     write_reconciliation(current, legacy, KEY, PAIRS, folder)
     return read_csv(spark, f"{folder}/verdicts", "score STRING, all_close BOOLEAN, mismatches BIGINT")
 
@@ -284,11 +271,11 @@ def recon_nulls(spark, sf_dir):
 
 @query(
     "FLT-06 DQ-11",
-    f"SELECT {KEY}, net_price, round(net_price_v1, 4) AS net_price_v1 FROM ({_JOINED_SQL}) WHERE net_price IS NULL AND net_price_v1 IS NOT NULL",
+    f"SELECT {KEYS}, net_price, round(net_price_v1, 4) AS net_price_v1 FROM ({_JOINED_SQL}) WHERE net_price IS NULL AND net_price_v1 IS NOT NULL",
 )
 def recon_null_pattern(spark, sf_dir):
     rows = reconcile.null_pattern_rows(_joined(spark, sf_dir), "net_price", "net_price_v1")
-    return with_rounded(rows.select(KEY, "net_price", "net_price_v1"))
+    return with_rounded(rows.select(*KEY, "net_price", "net_price_v1"))
 
 
 @query(

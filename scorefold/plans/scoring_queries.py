@@ -404,7 +404,14 @@ def boosted_tree_importance(spark, sf_dir):
     return counted.select("column", "count", names[F.col("column")].alias("importance"))
 
 
-@query("ML-15")
+_SHARE = "(CAST('0x' || substr(md5({}), 1, 8) AS BIGINT) % 10000)"
+
+
+@query(
+    "ML-15",
+    "SELECT CASE WHEN " + _SHARE.format("'123|' || l_orderkey || '|' || l_linenumber")
+    + " >= 2500 THEN 'train' ELSE 'test' END AS side, count(*) AS \"count\" FROM lineitem GROUP BY 1",
+)
 def train_test_split(spark, sf_dir):
     """Rows per side of the deterministic split."""
     lines = D.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")

@@ -66,7 +66,7 @@ def selected_files(spark, sf_dir):
     writers.write_csv(customers.filter("c_mktsegment = 'MACHINERY'"), f"{path}/interim_tiny_machinery")
     writers.write_csv(customers.filter("c_mktsegment = 'FURNITURE'"), f"{path}/interim_tiny_cali_furniture")
     return readers.read_selected_files(
-        spark, f"{path}/*", "c_custkey BIGINT, c_mktsegment STRING", ["interim", "tiny"], ["cali"]
+        spark, f"{path}/*", "c_custkey BIGINT, c_mktsegment STRING", ["interim", "tiny"], ["cali"], part="file_path"
     )
 
 
@@ -82,18 +82,33 @@ def managed_table(spark, sf_dir):
     return readers.read_table(spark, f"{database}.kept")
 
 
-@query("TBL-02")
+@query(
+    "TBL-02",
+    "SELECT column_name AS col_name, CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' ELSE lower(column_type) END AS data_type "
+    "FROM (DESCRIBE SELECT * FROM customer)",
+)
 def described_table(spark, sf_dir):
+    """The column rows of a table's description."""
     name = f"described_{uuid.uuid4().hex[:8]}"
-    writers.write_table(D.table(spark, sf_dir, "customer"), name, path=scratch_path(spark, name))
-    return writers.describe_table(spark, name)
+    customers = D.table(spark, sf_dir, "customer")
+    writers.write_table(customers, name, path=scratch_path(spark, name))
+    return writers.describe_table(spark, name).where(F.col("col_name").isin(customers.columns)).select("col_name", "data_type")
+
+
+@query("SRC-07", "SELECT lpad(CAST(c_custkey AS VARCHAR), 5, '0') AS zipcode, c_acctbal FROM customer WHERE c_custkey < 100000")
+def zip_table_file(spark, sf_dir):
+    """A ZIP-level CSV file keeps the leading zeros of its key."""
+    path = scratch_path(spark, "zip_table")
+    keyed = D.table(spark, sf_dir, "customer").where("c_custkey < 100000").selectExpr("lpad(CAST(c_custkey AS STRING), 5, '0') AS zipcode", "c_acctbal")
+    writers.write_csv(keyed, path)
+    return readers.read_zip_table(spark, path, "zipcode STRING, c_acctbal DOUBLE")
 
 
-@query("SNK-06 FLT-07", "SELECT least(count(*), 100000) AS sampled FROM lineitem")
+@query("SNK-06 FLT-07", "SELECT least(count(*), 1000) AS sampled FROM lineitem")
 def interim_sample(spark, sf_dir):
-    """The first 100,000 rows as a table; the limit is what this operator does."""
+    """The first rows as a table; the limit is what this operator does."""
     name = f"interim_{uuid.uuid4().hex[:8]}"
-    writers.save_interim_sample(D.table(spark, sf_dir, "lineitem"), name, path=scratch_path(spark, name))
+    writers.save_interim_sample(D.table(spark, sf_dir, "lineitem"), name, rows=1000, path=scratch_path(spark, name))
     return readers.read_table(spark, name).agg(F.count("*").alias("sampled"))
 
 

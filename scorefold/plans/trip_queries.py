@@ -201,13 +201,29 @@ def fare_predictions(spark, sf_dir):
 
 @query(
     "FLT-08 FLT-04",
+    f"SELECT * FROM ({D.TRIPS_SQL}) WHERE tpep_pickup_datetime >= '2024-01-05' AND tpep_pickup_datetime < '2024-01-20' "
+    "AND CAST('0x' || substr(md5('7|' || trip_id), 1, 8) AS BIGINT) % 10000 < 1000",
 )
 def sampled_trips(spark, sf_dir):
     return projection.sample_range(
-        D.trips(spark, sf_dir), "tpep_pickup_datetime", "2024-01-05", "2024-01-20", 0.1, seed=7
+        D.trips(spark, sf_dir), "tpep_pickup_datetime", "2024-01-05", "2024-01-20", 0.1, seed=7, key=["trip_id"]
     )
 
 
+@query(
+    "WN-00 FS-03",
+    f"SELECT pickup_zip AS zip, max(trip_id) AS last_trip, arg_max(fare_amount, trip_id) AS fare FROM ({D.TRIPS_SQL}) GROUP BY 1",
+)
+def feature_merge_latest(spark, sf_dir):
+    """Batches that repeat a key are merged by their latest row."""
+    store, name = _store(spark), _name("latest")
+    trips = D.trips(spark, sf_dir).selectExpr("pickup_zip AS zip", "trip_id AS last_trip", "fare_amount AS fare", "pickup_zip % 4 AS part")
+    store.create_table(name, ["zip"], trips.limit(0), "part", partition_from_key=True)
+    for batch in (trips.where("last_trip % 2 = 0"), trips):
+        store.write_table(name, batch, order_by="last_trip")
+    return store.table(name).select("zip", "last_trip", "fare")
+
+
 # ------------------------------------------------------------------- streaming
 
 

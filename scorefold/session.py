@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -28,8 +27,6 @@ RUNTIME_CONF = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
-_local_dirs: dict[str, str] = {}
-
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings the operators rely on."""
@@ -41,19 +38,16 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_root(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    A local-mode session without the setting gets a temporary folder of its
-    own; a cluster session without it is an error, because a folder on one
-    machine is lost with that machine.
+    A local-mode session without the setting uses a folder below its warehouse;
+    a cluster session without it is an error, because a folder on one machine is
+    lost with that machine.
     """
     root = spark.conf.get(CHECKPOINT_CONF, None)
     if root:
         return root.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _local_dirs:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(f"{CHECKPOINT_CONF} must name a folder shared by all executors")
-        _local_dirs[app] = tempfile.mkdtemp(prefix="scorefold-")
-    return _local_dirs[app]
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError(f"{CHECKPOINT_CONF} must name a folder shared by all executors")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -61,6 +55,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """``df`` computed once into the shared folder and read from there.
+
+    Files have a known size, so Catalyst itself broadcasts a small one.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Let iterative jobs checkpoint into the shared folder."""
     if spark.sparkContext.getCheckpointDir() is None:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scorefold.functions import kernels as K
-from scorefold.operators.projection import add_null_doubles, control_rows, rename_columns
+from scorefold.operators.projection import add_null_doubles, rename_columns
 
 Schema = T.StructType | str
 
@@ -56,11 +56,11 @@ def load_legacy(
 
 def read_selected_files(
     spark: SparkSession, path: str, schema: Schema, containing: Sequence[str] = (), without: Sequence[str] = (),
-    part: str = "file_path",
+    part: str = "file_name",
 ) -> DataFrame:
-    """CSV files below ``path`` chosen by words in their path; Spark does not open the others.
+    """CSV files below ``path`` chosen by words in their name; Spark does not open the others.
 
-    ``part`` is "file_path" or "file_name", the piece of the path that is tested.
+    ``part`` is "file_name" or, for words in folder names too, "file_path".
     """
     df = spark.read.schema(schema).option("header", True).csv(path)
     where = F.col(f"_metadata.{part}")
@@ -78,7 +78,7 @@ def read_zip_table(spark: SparkSession, path: str, schema: Schema, zip_column: s
 
 def read_feature_list(spark: SparkSession, path: str) -> list[str]:
     """Feature names from a one-column file without header."""
-    rows = control_rows(read_csv(spark, path, "feature string", header=False))
+    rows = read_csv(spark, path, "feature string", header=False).collect()
     return [r["feature"].strip() for r in rows]
 
 

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scorefold.session import kept
+
 AUDIT_SCHEMA = "table_name string, operation string, rows bigint, bytes bigint, at timestamp"
 
 
@@ -63,31 +65,40 @@ def detail(df: DataFrame) -> DataFrame:
 def compact_partitions(
     spark: SparkSession, path: str, partition_columns: Sequence[str], sort_by: Sequence[str] = (), only=None
 ) -> dict[str, int]:
-    """Rewrite small files of a partitioned Parquet folder in place.
+    """Rewrite small files of a partitioned Parquet folder.
 
     The rebalance hint makes adaptive execution cut files of the advisory
     size, splitting large partitions and merging small ones.  ``only`` is a
-    predicate on partition columns.  Row counts are compared afterwards.
+    predicate on partition columns.  The new files are first written beside the
+    old ones, their rows are counted and hashed, and only equal ones replace them.
     """
     df = spark.read.parquet(path)
     chosen = df if only is None else df.filter(only)
     before = detail(chosen).first()
-    packed = chosen.hint("rebalance", *partition_columns)
-    if sort_by:
-        packed = packed.sortWithinPartitions(*partition_columns, *sort_by)
+
+    def packed(rows: DataFrame) -> DataFrame:
+        rows = rows.hint("rebalance", *partition_columns)
+        return rows.sortWithinPartitions(*partition_columns, *sort_by) if sort_by else rows
+
+    beside = kept(packed(chosen), "compacted")
+    if content(beside) != content(chosen):
+        raise RuntimeError(f"{path}: the rewritten rows differ from the old ones, which stay")
     (
-        packed.write.mode("overwrite")
+        packed(beside).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_columns)
         .parquet(path)
     )
     again = spark.read.parquet(path)
     after = detail(again if only is None else again.filter(only)).first()
-    if after["rows"] != before["rows"]:
-        raise RuntimeError(f"{path}: {before['rows']} rows before, {after['rows']} after compaction")
     return {"files_before": before["files"], "files_after": after["files"], "rows": after["rows"]}
 
 
+def content(df: DataFrame) -> tuple:
+    """Number of rows and the sum of their hashes: equal for equal rows in any order."""
+    return tuple(df.agg(F.count("*"), F.sum(F.xxhash64(*sorted(df.columns)).cast("decimal(38,0)"))).first())
+
+
 def record_load(spark: SparkSession, audit_path: str, table_name: str, operation: str, data: DataFrame) -> None:
     """Append one line on a finished load to the audit folder."""
     found = detail(data).select(

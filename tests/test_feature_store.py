@@ -120,6 +120,28 @@ def test_merge_reads_only_touched_partitions(spark):
     assert df.filter(predicate).count() == 2
 
 
+@pytest.mark.parametrize("named", [1_000, 0])
+def test_merge_keeps_the_rest_of_touched_partitions(spark, monkeypatch, named):
+    monkeypatch.setattr(fs, "MOST_NAMED_PARTITIONS", named)
+    s, name = make(spark, [(1, 1, "a", 1.0), (1, 2, None, 2.0), (1, 3, None, 3.0), (1, 4, "b", 4.0)])
+    s.write_table(name, spark.createDataFrame([(1, 3, None, 30.0), (1, 5, "b", 5.0)], ROW))
+    assert rows(s.table(name)) == [(1, 1, "a", 1.0), (1, 2, None, 2.0), (1, 3, None, 30.0), (1, 4, "b", 4.0), (1, 5, "b", 5.0)]
+
+
+def test_overwrite_refuses_a_bad_key_and_replaces_all_partitions(spark):
+    s, name = make(spark, [(1, 1, "a", 1.0), (1, 2, "b", 1.0)])
+    for bad in ([(7, 7, "z", 7.0), (7, 7, "y", 8.0)], [(None, 7, "z", 7.0)]):
+        with pytest.raises(fs.DuplicateKeyError):
+            s.write_table(name, spark.createDataFrame(bad, ROW), mode="overwrite")
+    assert s.table(name).count() == 2
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        s.write_table(name, spark.createDataFrame([(7, 7, "z", 7.0)], ROW), mode="overwrite")
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert rows(s.table(name)) == [(7, 7, "z", 7.0)]
+
+
 def test_lookup_keeps_unmatched_trips(spark):
     s, name = make(spark, [(1, 1, "a", 1.0)])
     df = spark.createDataFrame([(1, 1), (1, 2), (None, 1)], "z int, t int")

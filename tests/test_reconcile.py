@@ -50,7 +50,7 @@ def test_bin_differences_with_new_side_outside(spark):
     assert out.filter("diff IS NULL").select("bin", "legacy_count").first() == (0, 1)
     matrix = reconcile.bin_matrix(out, ["new"])
     assert matrix.count() == 100 and matrix.filter("new_diff IS NOT NULL").count() == 1
-    assert reconcile.moved_share(out, 3).first()["percent"] == pytest.approx(100 / 3)
+    assert reconcile.moved_share(out, current).first()["percent"] == pytest.approx(100 / 3)
 
 
 def joined(spark):
@@ -85,7 +85,7 @@ def test_aggregates(spark):
     with pytest.raises(ValueError):
         aggregates.assert_unique_key(df, "k")
     assert not aggregates.holds_for_all(df, F.col("x") > 0).first()[0]
-    assert {r["column"]: r["percent"] for r in aggregates.share_of_rows(df, ["k"], 4).collect()} == {"k": 225.0}
+    assert {r["column"]: r["percent"] for r in aggregates.share_of_rows(df, ["k"]).collect()} == {"k": 225.0}
 
 
 def test_correlation_is_pairwise_complete(spark):

@@ -90,3 +90,41 @@ def test_training_learns_and_split_is_stable(spark):
     assert training.rmse(packaged, test, "y") < spread / 3
     assert packaged.importances()["x"] > 0.9
     assert packaged.model.transform(test).select(F.count("prediction")).first()[0] == test.count()
+
+
+@pytest.mark.parametrize("model", [
+    LinearModel({"a": 2.0, "b": -1.0}, 0.5), LinearModel({"a": 2.0, "b": 1.0}, 0.5, missing=float("nan")), LinearModel({"a": 1.0}, link="logistic"),
+    TreeModel([{"feature": "a", "below": 1.0, "yes": {"leaf": 1.0}, "no": {"leaf": float("nan")}, "missing": "no"}]),
+    TreeModel([{"feature": "b", "below": 0.0, "yes": {"leaf": 1.0}, "no": {"leaf": 2.0}, "missing": "yes"}], base=0.25),
+])
+def test_engines_agree_on_missing_and_infinite_values(spark, model):
+    values = [None, float("nan"), float("inf"), float("-inf"), 0.0, 1.0, -2.5]
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate((a, b) for a in values for b in values)], "i int, a double, b double")
+    found = [
+        {r["i"]: repr(r["s"]) for r in scoring.score(df, model, "s", where="i % 3 > 0", engine=e).collect()} for e in ("column", "arrow")
+    ]
+    assert found[0] == found[1] and found[0][0] == "None"
+
+
+def mean_of(columns):
+    return lambda batch: batch[columns].mean(axis=1)
+
+
+def doubled(df):
+    return df.withColumn("a", df["a"] * 2)
+
+
+def test_user_models_and_preparations_live_in_the_table(spark, tmp_path):
+    import sys
+
+    custom = scoring.CustomModel(["a", "b"], f"{__name__}:mean_of", {"columns": ["a", "b"]})
+    prepared = scoring.PreparedModel(LinearModel({"a": 1.0}), f"{__name__}:doubled")
+    table = scoring.ModelTable.from_models(spark, [("own", 1, "Production", custom), ("own", 2, "None", prepared)])
+    table.write(str(tmp_path / "models"))
+    again = scoring.ModelTable.read(spark, str(tmp_path / "models"))
+    df = spark.createDataFrame([(1.0, 3.0)], "a double, b double")
+    assert scoring.score(df, again.resolve("models:/own"), "s").first().asDict() == {"a": 1.0, "b": 3.0, "s": 2.0}
+    assert again.resolve("models:/own/1").load()(__import__("pandas").DataFrame({"a": [1.0], "b": [3.0]})).tolist() == [2.0]
+    assert again.latest_version("own") == 2 and again.latest_version("other") == 1 and __name__ in sys.modules
+    with pytest.raises(ValueError):
+        scoring.CustomModel(["a"], lambda: None).to_json()

@@ -69,30 +69,33 @@ def brackets(spark):
 
 
 @pytest.mark.parametrize("deductions", [False, True])
-def test_slots_equal_rejoin(spark, deductions):
-    """One-to-one slots and join-aggregate-rejoin agree, also on incomplete brackets."""
+def test_fold_equals_rejoin(spark, deductions):
+    """The one-to-one fold and join-aggregate-rejoin agree, also on incomplete brackets."""
     columns = ["AfterDeduction_max", "StateTax_sum", "Money_sum", "StateTax"]
 
-    def rows(method, how="left"):
-        out = tax.add_state_tax(people(spark), brackets(spark), INCOME, deductions=deductions, method=method, how=how)
+    def rows(method):
+        out = tax.add_state_tax(people(spark), brackets(spark), INCOME, deductions=deductions, method=method)
         return {r["PPPCL_CONSUMER_ID"]: [r[c] for c in columns] for r in out.collect()}
 
-    slots, rejoin, full = rows("slots"), rows("rejoin"), rows("rejoin", "full")
-    assert len(slots) == 35
-    for key in slots:
-        for other in (rejoin, full):
-            assert [x is None for x in slots[key]] == [x is None for x in other[key]], key
-            assert [x for x in slots[key] if x is not None] == pytest.approx([x for x in other[key] if x is not None])
+    fold, rejoin = rows("fold"), rows("rejoin")
+    assert len(fold) == 35
+    for key in fold:
+        assert [x is None for x in fold[key]] == [x is None for x in rejoin[key]], key
+        assert [x for x in fold[key] if x is not None] == pytest.approx([x for x in rejoin[key] if x is not None])
 
 
-def test_large_bracket_table_falls_back_to_rejoin(spark, monkeypatch):
-    monkeypatch.setattr(tax, "MAX_BRACKET_ROWS", 3)
-    assert tax.StateBrackets.load(brackets(spark)) is None
-    out = tax.add_state_tax(people(spark), brackets(spark), INCOME)
-    assert out.count() == 35
+@pytest.mark.parametrize("rows", [64, 65, 25_000])
+def test_tax_does_not_depend_on_the_size_of_the_table(spark, rows):
+    """``rows`` brackets in one state; NULL and repeated ids keep their own tax."""
+    width = 6400.0 / rows
+    table = spark.range(rows).selectExpr(
+        "'A' AS State", f"id * {width!r}D AS DollarsPreviousTaxed", f"{width!r}D AS MaximumTaxableDollars", "0.1D AS Rates")
+    df = spark.createDataFrame([("a", "A", 5000.0), (None, "A", 5000.0), ("a", "A", 5000.0)], people(spark).schema)
+    out = tax.add_state_tax(df, table, INCOME).collect()
+    assert len(out) == 3 and all(r["StateTax_sum"] == pytest.approx(500.0) for r in out)
 
 
-def test_slots_ignore_repeated_and_null_ids(spark):
+def test_fold_ignores_repeated_and_null_ids(spark):
     df = spark.createDataFrame([("1", "A", 5000.0), ("1", "A", 5000.0), (None, "A", 5000.0)], people(spark).schema)
     found = {r["StateTax_sum"] for r in tax.add_state_tax(df, brackets(spark), INCOME).collect()}
     assert found == {1000 * .02 + 4000 * .04}
