@@ -10,8 +10,8 @@ from functools import lru_cache
 
 import numpy as np
 
-#: Words a worker remembers before it starts anew.
-REMEMBERED = 500_000
+#: A worker remembers twice as many words at most, those of late and those before.
+REMEMBERED = 300_000
 #: ASCII marks that end a word and form one unit of the letters-digits-others pattern.
 MARKS = b".,!#%&*$|"
 OTHERS = r"[^\s\p{L}\p{N}]+"
@@ -69,48 +69,63 @@ class WordEncoder(TextEncoder):
     """Tokenizers that drop white space: a text's ids are the ids of its words in a row.
 
     Words are looked up; the words not yet known go to the library many at a
-    time, held apart by a mark that is one token and part of no other word.
+    time.  A word of letters ends where a token with the end-of-word suffix does;
+    other words are held apart by a mark that is one token and part of no other.
     """
 
     words_apart = True
 
     def __init__(self, path: str):
         super().__init__(path)
+        #: Words of late, and those before them; what is in neither is encoded anew.
         self.known: dict[bytes, bytes] = {}
-        self.mark = next((m for m in "¬¶§" if len(self.tokenizer.encode(m, add_special_tokens=False).ids) == 1), None)
-        if self.mark:
-            self.mark_id = self.tokenizer.encode(self.mark, add_special_tokens=False).ids[0]
-            self.mark_bytes = self.mark.encode()
-
-    def encode_words(self, words: list[bytes]) -> list[bytes]:
-        if not self.mark:
-            return self.encode_apart(words)
-        out, apart = {}, [w for w in words if self.mark_bytes in w or b"<|" in w]
-        if apart:
-            out = dict(zip(apart, self.encode_apart(apart)))
-        rest = [w for w in words if w not in out]
-        for i in range(0, len(rest), 400):
-            part = rest[i:i + 400]
-            line = f" {self.mark} ".join(w.decode("utf-8", "replace") for w in part)
-            ids = np.asarray(self.tokenizer.encode_batch_fast([line], add_special_tokens=False)[0].ids, "<u4")
-            cuts = np.flatnonzero(ids == self.mark_id).tolist()
-            if len(cuts) != len(part) - 1:  # a word that yields the mark itself
-                out.update(zip(part, self.encode_apart(part)))
-                continue
-            data = ids.tobytes()
-            out.update(zip(part, (data[4 * a:4 * b] for a, b in zip([0, *(c + 1 for c in cuts)], [*cuts, len(ids)]))))
-        return [out[w] for w in words]
-
-    def encode_apart(self, words: list[bytes]) -> list[bytes]:
-        return self.plain([w.decode("utf-8", "replace") for w in words])
+        self.older: dict[bytes, bytes] = {}
+        one = [m for m in "¬¶§" if len(self.tokenizer.encode(m, add_special_tokens=False).ids) == 1]
+        self.mark = one[0] if one else None
+        self.mark_id = self.tokenizer.encode(self.mark, add_special_tokens=False).ids[0] if one else -1
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        if suffix:
+            self.ends[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
+
+    def line(self, text: str) -> np.ndarray:
+        return np.asarray(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def encode_words(self, words: list[bytes]) -> dict[bytes, bytes]:
+        texts = {w: w.decode("utf-8", "replace") for w in words}
+        letters = [w for w in words if self.ends.any() and texts[w].isalpha()]
+        others = [w for w in words if not (self.ends.any() and texts[w].isalpha())]
+        apart = [w for w in others if not self.mark or self.mark in texts[w] or "<|" in texts[w]]
+        out = dict(zip(apart, self.plain([texts[w] for w in apart])))
+        others = [w for w in others if w not in out]
+        for own, between in ((letters, " "), (others, f" {self.mark} ")):
+            for i in range(0, len(own), 400):
+                part = own[i:i + 400]
+                ids = self.line(between.join(texts[w] for w in part))
+                if between == " ":
+                    begins = stops = np.flatnonzero(self.ends[ids]) + 1
+                    begins = [0, *begins[:-1].tolist()]
+                    stops = stops.tolist()
+                else:
+                    cuts = np.flatnonzero(ids == self.mark_id)
+                    begins, stops = [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)]
+                if len(stops) != len(part):  # a word that is not one unit
+                    out.update(zip(part, self.plain([texts[w] for w in part])))
+                    continue
+                data = ids.tobytes()
+                out.update(zip(part, (data[4 * a:4 * b] for a, b in zip(begins, stops))))
+        return out
 
     def learn(self, words: set[bytes]) -> None:
-        known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
+        if len(self.known) > REMEMBERED:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
         new = words - known.keys()
+        again = new & older.keys()
+        known.update((w, older[w]) for w in again)
         split, ask = {}, set()
-        for w in new:
+        for w in new - again:
             base = w.rstrip(MARKS)
             if base and base[-1:].isalpha() and b"<|" not in w:
                 low = base.lower()  # ASCII letters; the rest is left to the library
@@ -120,8 +135,10 @@ class WordEncoder(TextEncoder):
                     ask.add(w[len(base):])
             else:
                 ask.add(w)
-        asked = list(ask - known.keys())
-        known.update(zip(asked, self.encode_words(asked)))
+        ask -= known.keys()
+        again = ask & older.keys()
+        known.update((w, older[w]) for w in again)
+        known.update(self.encode_words(list(ask - again)))
         known.update({w: known[a] + (known[b] if b else b"") for w, (a, b) in split.items()})
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
