@@ -11,6 +11,7 @@ from scorefold.functions import rules
 from scorefold.operators.features import one_hot, target_encode
 from scorefold.operators.impute import fill_mode_median, fill_with, column_medians
 from scorefold.operators.joins import append_by_clean_zip
+from scorefold.session import kept
 
 
 def income_v4_inputs(
@@ -33,7 +34,8 @@ def income_v4_inputs(
     ``as_of`` is the SQL text of the date ages refer to.
     """
     df = K.with_sql(df, {"age": K.age_in_years(birth, as_of)}).drop(birth)
-    df = append_by_clean_zip(df, zip_table, zip_column, side_zip).drop(zip_column)
+    # Computed once: modes, medians and the smallest categories are statistics of these rows.
+    df = kept(append_by_clean_zip(df, zip_table, zip_column, side_zip).drop(zip_column), "income_inputs")
     others = [c for c in df.columns if c != key and c not in encodings]
     df = fill_mode_median(df, list(encodings), others)
     for column, means in encodings.items():

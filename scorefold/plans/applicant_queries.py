@@ -661,7 +661,7 @@ def zip_append_legacy(spark, sf_dir):
 
 
 @query(
-    "JN-10 SRC-07 FN-17 FN-18",
+    "JN-10 FN-17 FN-18",
     "SELECT c_custkey, CAST(c_nationkey * 60 AS STRING) || '.0' AS \"NCOA_ADDR_ZipCode\", CAST(50000 + n_nationkey AS DOUBLE) AS irs_income "
     "FROM customer LEFT JOIN (SELECT * FROM nation WHERE n_nationkey % 3 <> 0) ON c_nationkey = n_nationkey",
 )
@@ -751,7 +751,8 @@ def one_hot(spark, sf_dir):
     return features.one_hot(applicants(spark, sf_dir, [ID, "V71_ST02S"]), ["V71_ST02S"], _FLAGS)
 
 
-_V4_MEDIAN = ["V71_MT101S", "V71_REAP01", "W55_TRV14"]
+_V4_MEDIAN = ["V71_MT101S", "V71_REAP01", *[
+    c for c in rules.INCOME_V4_FEATURES if c.startswith(("V71_", "W55_", "W49_")) and c not in rules.ONE_HOT_REQUIRED]]
 _V4_OTHERS = [*_V4_MEDIAN, *rules.ONE_HOT_COLUMNS, "median_home", "median_rental", "age"]
 _V4_FIRST = {c: f"(SELECT min(\"{c}\") FROM f)" for c in rules.ONE_HOT_COLUMNS}
 

@@ -133,7 +133,7 @@ def _dropoff_table(spark, sf_dir, store) -> str:
     return name
 
 
-@query("FS-03 FS-04 WN-00", _MERGED_SQL)
+@query("FS-03 FS-04", _MERGED_SQL)
 def feature_merge(spark, sf_dir):
     """First half of the month as a new table, second half merged into it, twice."""
     store = _store(spark)

@@ -100,6 +100,11 @@ _OTHER_BUREAU = sorted(
     )
     - set(_NAMED_BUREAU)
 )
+# Further inputs of the income model; at the end, so that the others keep their values.
+_OTHER_BUREAU += sorted(
+    {c for c in rules.INCOME_V4_FEATURES if c.startswith(("V71_", "W55_", "W49_")) and c not in rules.ONE_HOT_REQUIRED}
+    - set(_OTHER_BUREAU) - set(_NAMED_BUREAU)
+)
 _MODULI = (40, 300, 5000, 12, 120, 700, 9)
 
 
