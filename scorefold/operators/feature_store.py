@@ -106,15 +106,6 @@ def rounded_trips(
     return out
 
 
-def rides_by_weekend(features: DataFrame) -> DataFrame:
-    """Rides on weekends and weekdays from a drop-off feature table."""
-    return (
-        features.filter(F.col("dropoff_is_weekend").isNotNull())
-        .groupBy("dropoff_is_weekend")
-        .agg(F.sum("count_trips_window_30m_dropoff_zip").alias("num_rides"))
-    )
-
-
 # ----------------------------------------------------------------- the tables
 
 

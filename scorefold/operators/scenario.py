@@ -39,8 +39,3 @@ def add_scenario(
     result = apply_steps(K.with_sql(df, copies | {"_in_scenario": f"coalesce({where}, FALSE)"}), steps)
     kept = [f"{K.case([('_in_scenario', K.quoted(c))])} AS {K.quoted(prefix + c)}" for c in outputs]
     return result.selectExpr(*own, *kept)
-
-
-def join_scenario(df: DataFrame, scenario: DataFrame, key: str = "PPPCL_CONSUMER_ID") -> DataFrame:
-    """Left join of a scenario that was run on its own."""
-    return df.join(scenario, key, "left")

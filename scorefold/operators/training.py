@@ -11,7 +11,6 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from scorefold.operators.feature_store import FeatureLookup, FeatureStore, add_features
 from scorefold.operators.projection import hash_share

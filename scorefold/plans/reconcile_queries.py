@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from scorefold.operators import aggregates, reconcile
 from scorefold.plans.reconciliation import write_reconciliation
 from scorefold.plans.registry import query, rnd, with_rounded
@@ -282,7 +280,7 @@ def recon_null_pattern(spark, sf_dir):
     "DQ-12 FLT-03 AG-10",
     f"SELECT 'net_price' AS score, bool_and({_close_sql('net_price', 'net_price_v1')}) AS all_close, "
     f"count(*) FILTER (NOT {_close_sql('net_price', 'net_price_v1')}) AS mismatches FROM ({_JOINED_SQL}) "
-    f"WHERE {_close_sql('quantity_DB', 'quantity_R')}",
+    f"WHERE ({KEYS}) NOT IN (SELECT ({KEYS}) FROM ({_JOINED_SQL}) WHERE NOT {_close_sql('quantity_DB', 'quantity_R')})",
 )
 def recon_drop_ids(spark, sf_dir):
     rest = reconcile.without_differing(_joined(spark, sf_dir), KEY, JOINED[2])

@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 
 from scorefold.functions import rules
 from scorefold.operators import aggregates, features, impute, joins, projection, scenario, scoring, training
-from scorefold.operators.credit import add_credit_attributes, apply_tier
+from scorefold.operators.credit import add_credit_attributes
 from scorefold.operators.scoring import LEGACY_SCORES, LinearModel, ModelTable, TreeModel, score
 from scorefold.operators.tax import StateBrackets, calculate_ndi
 from scorefold.plans.applicant_queries import (
     HOUSING, ID, INCOME, _ATTRIBUTE_RAW, _BALANCES, _DATES, _FUNDING_RAW, _HOUSING_RAW, _NDI_RAW, _TAGS, _TRADE,
-    _counter, _label_sql, _tier_sql, attributes_sql, external_zip_tables, funding_sql, housing_sql, ndi_frame, ndi_source_sql,
+    _counter, _label_sql, _tier_sql, attributes_sql, external_zip_tables, funding_sql, housing_sql, ndi_source_sql,
     ndi_sql, recency_sql,
 )
 from scorefold.plans.campaign import CampaignInputs, score_campaign
@@ -232,6 +232,16 @@ def campaign_skinny(spark, sf_dir):
     return with_rounded(df, finer={"Tradeline_NDI": 6, "bestcase_Tradeline_NDI": 6})
 
 
+_SCORES = ", ".join(f'"{c}"' for c in rules.SCORE_COLUMNS)
+
+
+@query("PRJ-10 DM-20", f"SELECT {_SCORES} FROM ({_CAMPAIGN_SQL})")
+def campaign_scores(spark, sf_dir):
+    """The nine score columns alone."""
+    df = score_campaign(campaign_applicants(spark, sf_dir), campaign_inputs(spark, sf_dir), rules.SCORE_COLUMNS)
+    return with_rounded(df)
+
+
 _SCENARIO_RAW = [*_ATTRIBUTE_RAW, "lastreportedincome"]
 
 

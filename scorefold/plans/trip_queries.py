@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import functions as F
 
 from scorefold.functions import kernels as K
 from scorefold.operators import feature_store as fs
