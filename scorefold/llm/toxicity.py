@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 
 from scorefold.llm.words import WordHashes, batch_of, mixed, slices, text_of_position, utf8
 
-#: Labelled texts that the two models and the calibration may be fitted on, and words in all of them.
+#: Labelled texts that the two models and the calibration may be fitted on, words in all of them, and bytes
+#: of one: longer texts are left to the others, which tell more about a label by word.
 MAX_TEXTS = 8_000
-MAX_WORDS = 3_000_000
+MAX_WORDS = 2_500_000
+MAX_TEXT_BYTES = 10_000
 DISCOUNT = 0.75
 #: Pairs of words seen less often in both classes together are left to the lower orders.
 CUTOFF = 200
@@ -70,7 +72,7 @@ def coded(hashes: WordHashes, texts: list[bytes], at_once: int = 500) -> Coded:
         counts.append(np.fromiter(map(len, split), np.int64, len(split)))
         keys.append(hashes.of([w for words in split for w in words]))
     keys, counts = np.concatenate(keys), np.concatenate(counts)
-    text = text_of_position(counts)
+    text = text_of_position(counts).astype(np.int32)
     before = np.concatenate([np.zeros(min(1, len(keys)), np.uint64), keys[:-1]])
     before[np.diff(text, prepend=-1) != 0] = 0
     return Coded(keys, before, mixed(before, keys), text, counts)
@@ -130,8 +132,14 @@ def sorted_counts(keys: np.ndarray) -> Table:
 def fitted(data: Coded, labels: np.ndarray) -> Model:
     """The two models of texts with a label each."""
     keys, before, pairs = data.keys, data.before, data.pairs
-    label = labels[data.text]
-    _, at = np.unique(mixed(data.text.astype(np.uint64), pairs), return_index=True)
+    label = labels.astype(np.int8)[data.text]
+    ends = np.cumsum(data.counts)
+    # Pairs that a text repeats count once for its words; some texts at a time, to hold little at once.
+    at = [np.empty(0, np.int64)]
+    for i in range(0, len(ends), 500):
+        a, b = (ends[i - 1] if i else 0), ends[min(i + 500, len(ends)) - 1]
+        at.append(a + np.unique(mixed(data.text[a:b].astype(np.uint64), pairs[a:b]), return_index=True)[1])
+    at = np.concatenate(at)
     once, label_once = keys[at], label[at]
     _, first = np.unique(pairs, return_index=True)
     shared = sorted_counts(keys[first])
@@ -192,11 +200,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, text: str, max_texts: in
     """At most ``max_texts`` labelled texts with at most ``max_words`` words in all, in the order of a hash of the id.
 
     A label NULL is none; an id that is labelled both ways counts as toxic.
-    Texts of more than a hundredth of ``max_words`` are left to the others.
+    Texts of more than ``MAX_TEXT_BYTES`` are not taken.
     """
     marks = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.max("toxic").alias("y"))
     plain = docs.select(F.col("doc_id").cast("long").alias("id"), utf8(text).alias("t"))
-    short = F.octet_length("t") <= max_words // 100 * 6
+    short = F.octet_length("t") <= MAX_TEXT_BYTES
     # Ids and labels alone are shuffled; the bounded list of chosen ids goes to the texts.
     chosen = marks.join(plain.where(short).select("id"), "id", "left_semi").orderBy(F.xxhash64("id")).limit(max_texts)
     chosen = plain.where(short).join(F.broadcast(chosen), "id").orderBy(F.xxhash64("id"), "t").limit(max_texts)
