@@ -52,7 +52,8 @@ def blocks(fp: str, radius: int = RADIUS) -> Column:
     """(block, bits) of ``radius + 1`` blocks, one row each: within the radius at least one is equal."""
     edges = [round(i * BITS / (radius + 1)) for i in range(radius + 2)]
     parts = (f"CAST(shiftrightunsigned({fp}, {a}) & {(1 << b - a) - 1} AS INT)" for a, b in zip(edges, edges[1:]))
-    return F.expr(f"posexplode(array({', '.join(parts)}))").alias("block", "bits")
+    # The outer form: for the inner one Spark tests the size first and computes the fingerprint anew in every block.
+    return F.expr(f"posexplode_outer(array({', '.join(parts)}))").alias("block", "bits")
 
 
 def item_table(items: DataFrame, text: str = "text") -> DataFrame:
