@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from scorefold.llm.components import written
 from scorefold.llm.tokens import encoder, file_digest
 from scorefold.llm.words import batch_of, slices
 
@@ -48,7 +49,8 @@ def token_counts(docs: DataFrame, cache: str, tokenizer: str, text: str = "text"
 
     (misses.mapInArrow(encode, "digest binary, n_tokens long").withColumn("tokenizer", F.lit(version))
      .write.mode("append").partitionBy("tokenizer").parquet(cache))
-    counts = (spark.read.schema(CACHE).parquet(cache).where(F.col("tokenizer") == version)
-              .groupBy("digest").agg(F.max("n_tokens").alias("n_tokens")))  # two runs at once may both add a content
+    # Two runs at once may both add a content.  Written, so that the join below can split a digest of very many rows.
+    counts = written(spark.read.schema(CACHE).parquet(cache).where(F.col("tokenizer") == version)
+                     .groupBy("digest").agg(F.max("n_tokens").alias("n_tokens")), "token_counts")
     return plain.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), digest).join(counts, "digest").select(
         "doc_id", "n_bytes", "n_tokens")
