@@ -10,13 +10,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from scorefold.llm.components import written
 from scorefold.llm.words import WordHashes, batch_of, mixed, slices, text_of_position, utf8
 
-#: Labelled texts that the two models and the calibration may be fitted on, words in all of them, and bytes
-#: of one: longer texts are left to the others, which tell more about a label by word.
+#: Labelled texts that the two models and the calibration may be fitted on, and words in all of them (one text may overrun).
 MAX_TEXTS = 8_000
-MAX_WORDS = 2_500_000
-MAX_TEXT_BYTES = 10_000
+MAX_WORDS = 3_000_000
+FOLDS = 3
 DISCOUNT = 0.75
 #: Pairs of words seen less often in both classes together are left to the lower orders.
 CUTOFF = 200
@@ -65,13 +65,10 @@ class Coded:
         return Coded(self.keys[own], self.before[own], self.pairs[own], number[self.text[own]], self.counts[texts])
 
 
-def coded(hashes: WordHashes, texts: list[bytes], at_once: int = 500) -> Coded:
-    keys, counts = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
-    for i in range(0, len(texts), at_once):
-        split = [model_words(t) for t in texts[i:i + at_once]]
-        counts.append(np.fromiter(map(len, split), np.int64, len(split)))
-        keys.append(hashes.of([w for words in split for w in words]))
-    keys, counts = np.concatenate(keys), np.concatenate(counts)
+def coded(hashes: WordHashes, texts: list[bytes]) -> Coded:
+    split = [hashes.of(model_words(t)) for t in texts]
+    keys = np.concatenate([np.empty(0, np.uint64), *split])
+    counts = np.fromiter(map(len, split), np.int64, len(split))
     text = text_of_position(counts).astype(np.int32)
     before = np.concatenate([np.zeros(min(1, len(keys)), np.uint64), keys[:-1]])
     before[np.diff(text, prepend=-1) != 0] = 0
@@ -129,40 +126,70 @@ def sorted_counts(keys: np.ndarray) -> Table:
     return Table(k, n.astype(float))
 
 
-def fitted(data: Coded, labels: np.ndarray) -> Model:
-    """The two models of texts with a label each."""
-    keys, before, pairs = data.keys, data.before, data.pairs
-    label = labels.astype(np.int8)[data.text]
-    ends = np.cumsum(data.counts)
-    # Pairs that a text repeats count once for its words; some texts at a time, to hold little at once.
-    at = [np.empty(0, np.int64)]
-    for i in range(0, len(ends), 500):
-        a, b = (ends[i - 1] if i else 0), ends[min(i + 500, len(ends)) - 1]
-        at.append(a + np.unique(mixed(data.text[a:b].astype(np.uint64), pairs[a:b]), return_index=True)[1])
-    at = np.concatenate(at)
-    once, label_once = keys[at], label[at]
-    _, first = np.unique(pairs, return_index=True)
-    shared = sorted_counts(keys[first])
-    often = sorted_counts(pairs)
-    often = Table(often.keys[often.values >= CUTOFF], often.values[often.values >= CUTOFF])
-    bigrams, contexts, words, totals, free = [], [], [], [], []
+@dataclass
+class Counts:
+    """Of each pair of words, in the order of pairs, by group (twice the fold of the text, and its class): how often, and in how many texts."""
+
+    pairs: np.ndarray
+    before: np.ndarray
+    words: np.ndarray
+    groups: np.ndarray
+    n: np.ndarray
+    texts: np.ndarray
+
+
+def pair_counts(data: Coded, groups: np.ndarray) -> Counts:
+    """The counts of texts with a group each."""
+    group = groups.astype(np.uint64)[data.text]
+    cells = mixed(group, data.pairs)
+    order = np.argsort(cells, kind="stable")  # positions, and so texts, stay in order within a cell
+    begins = np.flatnonzero(np.diff(cells[order], prepend=~cells[order[:1]]))
+    first, text = order[begins], data.text[order]
+    new = np.diff(text, prepend=-1) != 0
+    new[begins] = True
+    at = lambda x: np.add.reduceat(x.astype(np.int64), begins) if len(begins) else np.empty(0, np.int64)
+    return in_order(Counts(data.pairs[first], data.before[first], data.keys[first], group[first].astype(np.int8), at(np.ones(len(order))), at(new)))
+
+
+def in_order(c: Counts) -> Counts:
+    order = np.argsort(c.pairs, kind="stable")
+    return Counts(*(getattr(c, k)[order] for k in ("pairs", "before", "words", "groups", "n", "texts")))
+
+
+def summed(keys: np.ndarray, weights: np.ndarray) -> Table:
+    k, at = np.unique(keys, return_inverse=True)
+    return Table(k, np.bincount(at, weights=weights, minlength=len(k)))
+
+
+def model_of(c: Counts, without: int = -1) -> Model:
+    """The two models of all counts but those of one fold."""
+    own = c.groups >> 1 != without
+    pairs, before, words, label, n, texts = (x[own] for x in (c.pairs, c.before, c.words, c.groups & 1, c.n, c.texts))
+    new = np.append(True, pairs[1:] != pairs[:-1])[:len(pairs)]
+    shared = sorted_counts(words[new])
+    number = np.cumsum(new) - 1
+    frequent = (np.bincount(number, weights=n, minlength=int(new.sum())) >= CUTOFF)[number]
+    bigrams, contexts, lower, totals, free = [], [], [], [], []
     common = Table(shared.keys[shared.values >= WORD_CUTOFF], shared.values[shared.values >= WORD_CUTOFF])
-    for c in (0, 1):
-        own = label == c
-        k, at, n = np.unique(pairs[own], return_index=True, return_counts=True)
-        kept = often.of(k) > 0
-        first = before[own][at]
+    for k in (0, 1):
+        own = label == k
         # What a context keeps for the lower order: all it has, less the discounted counts of its kept pairs.
-        seen = sorted_counts(before[own])
-        given = np.bincount(np.searchsorted(seen.keys, first[kept]), weights=n[kept] - DISCOUNT, minlength=len(seen.keys))
-        bigrams.append(Table(k[kept], n[kept].astype(float)))
+        seen, kept = summed(before[own], n[own]), own & frequent
+        bigrams.append(summed(pairs[kept], n[kept]))
+        once = np.append(True, pairs[kept][1:] != pairs[kept][:-1])[:int(kept.sum())]
+        given = np.bincount(np.searchsorted(seen.keys, before[kept]), weights=n[kept] - DISCOUNT * once, minlength=len(seen.keys))
         contexts.append((seen, Table(seen.keys, seen.values - given)))
-        follows = sorted_counts(once[label_once == c])
+        follows = summed(words[own], texts[own])
         kept = common.of(follows.keys) > 0
-        words.append(Table(follows.keys[kept], follows.values[kept]))
+        lower.append(Table(follows.keys[kept], follows.values[kept]))
         totals.append(follows.values.sum())
-        free.append(totals[c] - (words[c].values - DISCOUNT).sum())
-    return Model(tuple(bigrams), tuple(contexts), tuple(words), tuple(totals), tuple(free), shared, shared.values.sum(), np.zeros(FEATURES + 1))
+        free.append(totals[k] - (lower[k].values - DISCOUNT).sum())
+    return Model(tuple(bigrams), tuple(contexts), tuple(lower), tuple(totals), tuple(free), shared, shared.values.sum(), np.zeros(FEATURES + 1))
+
+
+def fitted(data: Coded, labels: np.ndarray) -> Model:
+    """The two models of texts with a label each."""
+    return model_of(pair_counts(data, np.asarray(labels, int)))
 
 
 def logistic(x: np.ndarray, y: np.ndarray, rounds: int = 60, ridge: float = 1e-2) -> np.ndarray:
@@ -178,15 +205,7 @@ def logistic(x: np.ndarray, y: np.ndarray, rounds: int = 60, ridge: float = 1e-2
     return w
 
 
-def train(texts: list[bytes], labels: np.ndarray, folds: int = 3) -> Model:
-    """Calibrated on scores of texts that the scoring model has not seen, then fitted on all."""
-    labels = np.asarray(labels, int)
-    data, fold = coded(WordHashes(), texts), np.arange(len(texts)) % folds
-    x = np.zeros((len(texts), FEATURES))
-    for f in range(folds):
-        part = fitted(data.only(fold != f), labels[fold != f])
-        x[fold == f] = part.features(data.only(fold == f))
-    model = fitted(data, labels)
+def calibrated(model: Model, x: np.ndarray, labels: np.ndarray) -> Model:
     if len(set(labels.tolist())) == 2:
         model.weights = logistic(x, labels)
     elif len(labels):
@@ -196,26 +215,67 @@ def train(texts: list[bytes], labels: np.ndarray, folds: int = 3) -> Model:
     return model
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, text: str, max_texts: int, max_words: int) -> tuple[list[bytes], np.ndarray]:
-    """At most ``max_texts`` labelled texts with at most ``max_words`` words in all, in the order of a hash of the id.
+def train(texts: list[bytes], labels: np.ndarray, folds: int = FOLDS) -> Model:
+    """Calibrated on scores of texts that the scoring model has not seen, then fitted on all."""
+    labels = np.asarray(labels, int)
+    data, fold = coded(WordHashes(), texts), np.arange(len(texts)) % folds
+    counts, x = pair_counts(data, 2 * fold + labels), np.zeros((len(texts), FEATURES))
+    for f in range(folds):
+        x[fold == f] = model_of(counts, f).features(data.only(fold == f))
+    return calibrated(model_of(counts), x, labels)
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, text: str, max_texts: int, max_words: int) -> tuple[list[tuple], DataFrame]:
+    """At most ``max_texts`` labelled texts of any length, in the order of a hash of the id, until they have ``max_words`` words.
 
-    A label NULL is none; an id that is labelled both ways counts as toxic.
-    Texts of more than ``MAX_TEXT_BYTES`` are not taken.
+    Returns (id, hash of the text, class, fold) of each, and the table (text, class, fold).
+    A label NULL is none; an id that is labelled both ways counts as toxic; equal rows count once.
     """
-    marks = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.max("toxic").alias("y"))
-    plain = docs.select(F.col("doc_id").cast("long").alias("id"), utf8(text).alias("t"))
-    short = F.octet_length("t") <= MAX_TEXT_BYTES
+    spark = docs.sparkSession
+    marks = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.max("toxic").cast("int").alias("y"))
+    plain = docs.select(F.col("doc_id").cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t"))
     # Ids and labels alone are shuffled; the bounded list of chosen ids goes to the texts.
-    chosen = marks.join(plain.where(short).select("id"), "id", "left_semi").orderBy(F.xxhash64("id")).limit(max_texts)
-    chosen = plain.where(short).join(F.broadcast(chosen), "id").orderBy(F.xxhash64("id"), "t").limit(max_texts)
-    texts, ys, n = [], [], 0
-    for r in chosen.toLocalIterator():
-        n += r["t"].count(b" ") + 1
-        if n > max_words:
+    chosen = marks.join(plain.select("id"), "id", "left_semi").orderBy(F.xxhash64("id")).limit(max_texts)
+    sizes = plain.join(F.broadcast(chosen), "id").select("id", F.xxhash64("t").alias("h"), "y", F.size(F.split("t", r"[\x20\x09-\x0D]+")).alias("n"))
+    taken, n = [], 0
+    for r in sizes.distinct().orderBy(F.xxhash64("id"), "h").limit(max_texts).collect():
+        if n >= max_words:
             break
-        texts.append(bytes(r["t"]))
-        ys.append(int(r["y"]))
-    return texts, np.array(ys, int)
+        taken.append((r["id"], r["h"], r["y"], len(taken) % FOLDS))
+        n += r["n"]
+    keys = spark.createDataFrame(taken, "id long, h long, y int, fold int")
+    some = plain.withColumn("h", F.xxhash64("t")).join(F.broadcast(keys), ["id", "h"]).dropDuplicates(["id", "h"])
+    return taken, written(some.select(F.col("t").cast("binary").alias("text"), "y", "fold"), "toxicity_sample")
+
+
+def gathered_counts(sample: DataFrame) -> Counts:
+    """``pair_counts`` of (text, y, fold), added up in tasks and by key; as many rows as pairs, classes and folds come to the driver."""
+    names = ["pairs", "before", "words", "groups", "n", "texts"]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch, texts in slices(batches, "text"):
+            c = pair_counts(coded(hashes, texts), 2 * batch.column("fold").to_numpy() + batch.column("y").to_numpy())
+            yield batch_of(names, c.pairs.view(np.int64), c.before.view(np.int64), c.words.view(np.int64), c.groups, c.n, c.texts)
+
+    rows = sample.mapInArrow(work, "pairs long, before long, words long, groups tinyint, n long, texts long").groupBy(
+        "pairs", "before", "words", "groups").agg(F.sum("n").cast("int").alias("n"), F.sum("texts").cast("int").alias("texts")).toArrow()
+    columns = [rows[k].to_numpy() for k in names]
+    return in_order(Counts(*(x.view(np.uint64) for x in columns[:3]), *columns[3:]))
+
+
+def sample_features(sample: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """Features and class of each text of the sample, computed in tasks."""
+    shared, names = sample.sparkSession.sparkContext.broadcast(model), [f"x{i}" for i in range(FEATURES)]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch, texts in slices(batches, "text"):
+            yield batch_of(["y", *names], batch.column("y"), *shared.value.features(coded(hashes, texts)).T)
+
+    rows = sample.mapInArrow(work, ", ".join(["y int", *(f"{k} double" for k in names)])).toArrow()
+    shared.destroy()
+    return np.column_stack([rows[k].to_numpy() for k in names]), rows["y"].to_numpy()
 
 
 def toxicity_scores(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
@@ -249,5 +309,12 @@ def without_toxic(docs: DataFrame, model: Model, threshold: float = 0.5, text: s
 
 
 def trained(docs: DataFrame, labels: DataFrame, text: str = "text", max_texts: int = MAX_TEXTS, max_words: int = MAX_WORDS) -> Model:
-    """The model of a bounded sample of labelled documents; its tables have at most about ``max_words`` entries each."""
-    return train(*labelled_sample(docs, labels, text, max_texts, max_words))
+    """The model of a bounded sample of labelled documents; its tables have at most about ``max_words`` entries each.
+
+    Calibrated like ``train``, with counts and features from tasks.  Without labelled texts no document is toxic.
+    """
+    _, sample = labelled_sample(docs, labels, text, max_texts, max_words)
+    counts = gathered_counts(sample)
+    parts = [sample_features(sample.where(F.col("fold") == f), model_of(counts, f)) for f in range(FOLDS)]
+    x, y = (np.concatenate(part) for part in zip(*parts))
+    return calibrated(model_of(counts), x, y)

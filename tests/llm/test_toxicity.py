@@ -76,3 +76,22 @@ def test_the_sample_is_bounded(spark):
     labels = spark.createDataFrame([(i, int(v)) for (i, _), v in zip(rows, y)], "doc_id long, toxic int")
     assert len(toxicity.labelled_sample(frame(spark, rows), labels, "text", 30, 10**6)[0]) == 30
     assert len(toxicity.labelled_sample(frame(spark, rows), labels, "text", 100, 2_000)[0]) < 40
+
+
+def test_long_texts_are_learned_from_and_counts_in_tasks_equal_those_of_a_list(spark):
+    rows, y = corpus(60)
+    long = [(i, t + " plain" * 2000) for i, t in rows]
+    labels = spark.createDataFrame([(i, int(v)) for (i, _), v in zip(rows, y)], "doc_id long, toxic int")
+    docs = frame(spark, long).repartition(7)
+    taken, sample = toxicity.labelled_sample(docs, labels, "text", 100, 10**6)
+    assert len(taken) == sample.count() == 60
+    got = toxicity.gathered_counts(sample)
+    texts, fold = dict(long), np.array([f for *_, f in taken])
+    want = toxicity.pair_counts(toxicity.coded(WordHashes(), [texts[i].encode() for i, *_ in taken]), 2 * fold + np.array([v for _, _, v, _ in taken]))
+
+    def rows_of(c):
+        return sorted(zip(c.pairs.tolist(), c.groups.tolist(), c.before.tolist(), c.words.tolist(), c.n.tolist(), c.texts.tolist()))
+
+    assert rows_of(got) == rows_of(want)
+    model = toxicity.trained(docs, labels)
+    assert len(model.shared.keys) and len({r["score"] for r in toxicity.toxicity_scores(docs, model).collect()}) > 1
