@@ -18,9 +18,9 @@ MAX_TEXTS = 8_000
 MAX_WORDS = 3_000_000
 FOLDS = 3
 DISCOUNT = 0.75
-#: Pairs of words seen less often in both classes together are left to the lower orders.
+#: Pairs of words seen less often in both classes together are left to the lower orders, unless their classes stand out.
 CUTOFF = 200
-#: Words that follow fewer different words in both classes together are left to the shared order.
+#: Words that follow fewer different words in both classes together are left to the shared order, unless their classes stand out.
 WORD_CUTOFF = 8
 #: A log ratio that chance alone rarely gives a word; features of a text.
 STRONG = 2.0
@@ -81,9 +81,10 @@ class Model:
 
     Each class has its pairs of words, below them its words by the number of
     different words they follow in each text; both classes back off to one distribution of
-    words, by the number of different pairs of both together.  Rare pairs and
-    rare words are left to the shared order in both classes alike, so an
-    expression seen once says little about its class.
+    words, by the number of different pairs of both together.  Pairs and
+    words that are rare, and as often in each class as chance has it, are left
+    to the shared order in both classes alike, so an expression seen once says
+    little about its class; one that tells the classes apart stays, however rare.
     """
 
     bigrams: tuple[Table, Table]
@@ -168,9 +169,18 @@ def model_of(c: Counts, without: int = -1) -> Model:
     new = np.append(True, pairs[1:] != pairs[:-1])[:len(pairs)]
     shared = sorted_counts(words[new])
     number = np.cumsum(new) - 1
-    frequent = (np.bincount(number, weights=n, minlength=int(new.sum())) >= CUTOFF)[number]
+    # A word is expected in the classes as all words are, a pair as its word is.
+    follow = [summed(words[label == k], texts[label == k]) for k in (0, 1)]
+    word_texts = np.stack([follow[k].of(shared.keys) for k in (0, 1)])
+    usual = word_texts.sum(axis=1, keepdims=True) / max(1.0, word_texts.sum())
+    common = (shared.values >= WORD_CUTOFF) | stands_out(word_texts, usual)
+    common = Table(shared.keys[common], shared.values[common])
+    pair_texts = np.stack([np.bincount(number[label == k], weights=texts[label == k], minlength=int(new.sum())) for k in (0, 1)])
+    by_word = np.stack([follow[k].of(words[new]) for k in (0, 1)]) + usual
+    by_word /= by_word.sum(axis=0)
+    often = np.bincount(number, weights=n, minlength=int(new.sum())) >= CUTOFF
+    frequent = (often | stands_out(pair_texts, by_word))[number]
     bigrams, contexts, lower, totals, free = [], [], [], [], []
-    common = Table(shared.keys[shared.values >= WORD_CUTOFF], shared.values[shared.values >= WORD_CUTOFF])
     for k in (0, 1):
         own = label == k
         # What a context keeps for the lower order: all it has, less the discounted counts of its kept pairs.
@@ -179,7 +189,7 @@ def model_of(c: Counts, without: int = -1) -> Model:
         once = np.append(True, pairs[kept][1:] != pairs[kept][:-1])[:int(kept.sum())]
         given = np.bincount(np.searchsorted(seen.keys, before[kept]), weights=n[kept] - DISCOUNT * once, minlength=len(seen.keys))
         contexts.append((seen, Table(seen.keys, seen.values - given)))
-        follows = summed(words[own], texts[own])
+        follows = follow[k]
         kept = common.of(follows.keys) > 0
         lower.append(Table(follows.keys[kept], follows.values[kept]))
         totals.append(follows.values.sum())
@@ -187,6 +197,15 @@ def model_of(c: Counts, without: int = -1) -> Model:
     return Model(tuple(bigrams), tuple(contexts), tuple(lower), tuple(totals), tuple(free), shared, shared.values.sum(), np.zeros(FEATURES + 1))
 
 
+def stands_out(texts: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """Whether counts (2, n) by class differ from the classes expected, ``share`` (2, n), by more than chance gives among ``n``.
+
+    The likelihood ratio statistic against twice the logarithm of ``n``: no number of occurrences is asked for.
+    """
+    expected = np.maximum(texts.sum(axis=0) * share, 1e-12)
+    return 2 * (texts * np.log(np.maximum(texts, 1) / expected)).sum(axis=0) > 2 * np.log(max(2, texts.shape[1]))
+
+
 def fitted(data: Coded, labels: np.ndarray) -> Model:
     """The two models of texts with a label each."""
     return model_of(pair_counts(data, np.asarray(labels, int)))

@@ -95,3 +95,17 @@ def test_long_texts_are_learned_from_and_counts_in_tasks_equal_those_of_a_list(s
     assert rows_of(got) == rows_of(want)
     model = toxicity.trained(docs, labels)
     assert len(model.shared.keys) and len({r["score"] for r in toxicity.toxicity_scores(docs, model).collect()}) > 1
+
+
+def test_an_expression_of_ordinary_words_is_found():
+    rng = np.random.default_rng(4)
+    words = np.array([f"w{i}" for i in range(300)])
+    texts, y = [], np.arange(600) % 6 == 0
+    for toxic in y:
+        t = rng.choice(words, size=60).tolist()
+        # Both words are as frequent in each class; only together, in this order, do they mark toxic texts.
+        t[10], t[11 if toxic else 40] = "dirty", "pig"
+        texts.append(" ".join(t).encode())
+    model = toxicity.train(texts[:450], y[:450].astype(int))
+    p = model.scores(WordHashes(), texts[450:])
+    assert ((p >= 0.5) == y[450:]).mean() > 0.97
