@@ -28,7 +28,6 @@ EXAMPLE_WORDS = r"(example|sample|dummy|test|placeholder|fake|changeme|your)"
 MAX_FINDINGS = 20_000
 #: Frequent words of letters that make up the dictionary.
 DICTIONARY_WORDS = 300
-DICTIONARY_TEXTS = 2_000
 
 FEATURES = [
     "length", "digits", "uppers", "hexes", "marks", "distinct", "switches", "longest_letters", "dictionary",
@@ -57,11 +56,10 @@ def candidates(docs: DataFrame, text: str = "text", path: str = "source") -> Dat
         .select("doc_id", "c.start", "c.value", "c.before", "c.after", "path").where("value IS NOT NULL").distinct())
 
 
-def dictionary(docs: DataFrame, text: str = "text", words: int = DICTIONARY_WORDS, texts: int = DICTIONARY_TEXTS) -> list[str]:
-    """The most frequent words of four to twelve letters in a sample of ``texts`` documents by a hash of the id."""
-    ids = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("id")).distinct().orderBy(F.xxhash64("id")).limit(texts)
-    some = docs.join(F.broadcast(ids), docs["doc_id"] == F.col("id"), "left_semi")
-    split = some.select(F.explode(F.split(F.lower(F.col(text)), r"[^a-z]+")).alias("word")).where("length(word) BETWEEN 4 AND 12")
+def dictionary(docs: DataFrame, text: str = "text", words: int = DICTIONARY_WORDS) -> list[str]:
+    """The most frequent words of four to twelve letters of all texts."""
+    # The outer form: for the inner one Spark tests the size first and splits again.
+    split = docs.select(F.explode_outer(F.split(F.lower(F.col(text)), r"[^a-z]+")).alias("word")).where("length(word) BETWEEN 4 AND 12")
     top = split.groupBy("word").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "word").limit(words)
     return sorted(r["word"] for r in top.collect())
 

@@ -118,6 +118,12 @@ def test_forest_removes_false_findings(spark):
     assert sum(again[i] == (i % 4 == 2) for i, _ in rows[100:]) >= 90
 
 
+def test_the_dictionary_counts_all_texts(spark):
+    ids = [r["id"] for r in spark.range(2_100).orderBy(F.xxhash64("id")).collect()]
+    rows = [(i, "alpha beta") for i in ids[:2_000]] + [(i, "Omega " * 100) for i in ids[2_000:]] + [(None, "delta " * 5_000), (1, None)]
+    assert secrets.dictionary(frame(spark, rows), words=2) == ["delta", "omega"]
+
+
 def test_redaction_and_odd_rows(spark):
     key = "ab12" * 10
     many = " ".join(f'token = "{i:020d}ffff"' for i in range(300))
