@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scorefold.llm import (
-    attention_lm, decontaminate, packing, revisits, rule_ledger, secrets, simhash, substrings, token_counts, toxicity,
+    attention_lm, collocations, decontaminate, manifest, packing, pii, revisits, rule_ledger, secrets, simhash, substrings, token_counts,
+    toxicity,
 )
 from scorefold.session import scratch_path
 
@@ -154,3 +155,98 @@ def op9_attention_lm(spark, sf_dir):
 def op10_simhash(spark, sf_dir):
     out = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op11_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op11_collocations"] = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w
+    FROM documents),
+places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM pieces),
+grams AS (
+    SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase FROM places, (VALUES (1), (2), (3)) sizes(k) WHERE i + k - 1 <= len(w)),
+f AS (SELECT lang, k, phrase, CAST(count(*) AS HUGEINT) AS f FROM grams GROUP BY ALL),
+total AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 10),
+parts AS (
+    SELECT lang, phrase, k, a, x.cut, array_to_string(w[1:x.cut], ' ') AS first, array_to_string(w[x.cut + 1:], ' ') AS rest
+    FROM c, (VALUES (1), (2)) x(cut) WHERE x.cut < k),
+many AS (SELECT lang, phrase, f FROM f WHERE f >= 10),
+cuts AS (
+    SELECT p.lang, p.phrase, p.k, p.a, p.cut, l.f AS l, r.f AS r, 1000000::HUGEINT * p.a * p.a // (l.f * r.f) AS score
+    FROM parts p JOIN many l ON l.lang = p.lang AND l.phrase = p.first JOIN many r ON r.lang = p.lang AND r.phrase = p.rest),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+longer AS (
+    SELECT lang, array_to_string(w[i:i + 1], ' ') AS phrase, max(a) AS longer FROM (SELECT lang, w, a, unnest([1, 2]) AS i FROM c WHERE k = 3)
+    GROUP BY ALL),
+kept AS (
+    SELECT lowest.* FROM lowest LEFT JOIN longer USING (lang, phrase) WHERE NOT (k = 2 AND coalesce(100 * longer >= 50 * a, false))),
+best AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, n, CAST(score AS BIGINT) AS score
+FROM best JOIN total USING (lang) WHERE rank <= 2000
+"""
+
+
+@query
+def op12_merkle_manifest(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    other = manifest.digest(F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars") + 1, F.col("text"))
+    tampered = (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0) & F.col("n_chars").isNotNull()
+    leaves = manifest.leaves_of(docs, ["doc_id", "source", "lang", "n_chars", "text"], "lang", "doc_id", F.when(tampered, other))
+    return manifest.manifest(leaves)
+
+
+def crc32_sql(text: str) -> str:
+    """CRC-32 of an ASCII text by its bytes and bits."""
+    bits = "list_reduce(list_prepend(xor(crc, c), [0, 0, 0, 0, 0, 0, 0, 0]), lambda v, z: CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END)"
+    codes = f"list_transform(string_split({text}, ''), lambda x: CAST(ascii(x) AS BIGINT))"
+    return f"xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {codes}), lambda crc, c: {bits}))"
+
+
+ORACLE["op12_merkle_manifest"] = f"""
+WITH RECURSIVE leaf AS (
+    SELECT doc_id, coalesce('=' || lang, '-') AS grp, head || n1 || tail AS plain,
+        CASE WHEN n_chars IS NOT NULL AND coalesce({crc32_sql("CAST(doc_id AS VARCHAR)")} % 7 = 0, false) THEN head || n2 || tail
+             ELSE head || n1 || tail END AS changed
+    FROM (SELECT doc_id, lang, n_chars,
+        {" || ".join(f"coalesce(octet_length(encode(CAST({c} AS VARCHAR))) || ':' || CAST({c} AS VARCHAR), '-')" for c in ("doc_id", "source", "lang"))} AS head,
+        {", ".join(f"coalesce(octet_length(encode(CAST({c} AS VARCHAR))) || ':' || CAST({c} AS VARCHAR), '-') AS {name}" for c, name in (("n_chars", "n1"), ("(n_chars + 1)", "n2"), ("text", "tail")))}
+        FROM documents)),
+base AS (
+    SELECT doc_id, grp, sha256(plain) AS d, sha256(changed) AS c, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, plain) - 1 AS pos,
+        count(*) OVER (PARTITION BY grp) AS n FROM leaf),
+up(grp, lvl, pos, d, n) AS (
+    SELECT grp, 0, pos, d, n FROM base
+    UNION ALL
+    SELECT grp, lvl + 1, pos // 2, sha256(string_agg(d, '' ORDER BY pos)), (n + 1) // 2 FROM up WHERE n > 1 GROUP BY grp, lvl, pos // 2, n),
+subroot AS (SELECT grp, d, row_number() OVER (ORDER BY grp) - 1 AS pos, count(*) OVER () AS n FROM up WHERE n = 1),
+top(lvl, pos, d, n) AS (
+    SELECT 0, pos, d, n FROM subroot
+    UNION ALL
+    SELECT lvl + 1, pos // 2, sha256(string_agg(d, '' ORDER BY pos)), (n + 1) // 2 FROM top WHERE n > 1 GROUP BY lvl, pos // 2, n),
+walk(id, grp, lvl, pos, n, proof, fold) AS (
+    SELECT rowid, grp, 0, pos, n, '', c FROM (SELECT *, row_number() OVER () AS rowid FROM base)
+    UNION ALL
+    SELECT w.id, w.grp, w.lvl + 1, w.pos // 2, (w.n + 1) // 2, w.proof || coalesce(s.d, ''),
+        sha256(CASE WHEN w.pos % 2 = 0 THEN w.fold || coalesce(s.d, '') ELSE coalesce(s.d, '') || w.fold END)
+    FROM walk w LEFT JOIN up s ON s.grp = w.grp AND s.lvl = w.lvl AND s.pos = xor(w.pos, 1) WHERE w.n > 1),
+climb(id, lvl, pos, n, proof, fold) AS (
+    SELECT w.id, 0, s.pos, s.n, w.proof, w.fold FROM walk w JOIN subroot s ON s.grp = w.grp WHERE w.n = 1
+    UNION ALL
+    SELECT w.id, w.lvl + 1, w.pos // 2, (w.n + 1) // 2, w.proof || coalesce(s.d, ''),
+        sha256(CASE WHEN w.pos % 2 = 0 THEN w.fold || coalesce(s.d, '') ELSE coalesce(s.d, '') || w.fold END)
+    FROM climb w LEFT JOIN top s ON s.lvl = w.lvl AND s.pos = xor(w.pos, 1) WHERE w.n > 1)
+SELECT b.doc_id, b.d AS leaf, s.d AS subroot, root.d AS root, sha256(c.proof) AS proof_sha256, c.fold AS folded_root, c.fold = root.d AS verified
+FROM (SELECT *, row_number() OVER () AS rowid FROM base) b JOIN climb c ON c.id = b.rowid AND c.n = 1 JOIN subroot s ON s.grp = b.grp
+    CROSS JOIN (SELECT d FROM top WHERE n = 1) root
+"""
+
+
+@query
+def op13_pii(spark, sf_dir):
+    return pii.personal_data(table(spark, sf_dir, "documents"))
