@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from scorefold.session import kept
+
 
 def _unfold(df: DataFrame, rows: list[Column]) -> DataFrame:
     """One row per struct of a one-row aggregate."""
@@ -40,20 +44,80 @@ def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     ])
 
 
-def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every pair, each over the rows where both are present."""
+_MOMENTS = ["n", "mean_i", "mean_j", "m2_i", "m2_j", "c"]
+
+
+def pair_moments(df: DataFrame, columns: Sequence[str], block: int = 32) -> DataFrame:
+    """(i, j, n, mean_i, mean_j, m2_i, m2_j, c) per pair of columns i <= j and task, over the rows where both are present.
+
+    Means, sums of squared deviations and of their products come from products
+    of matrices of values and of presence, block by block of columns; so one
+    pass counts every pair, and a task keeps one state per pair of blocks.
+    """
     slim = df.select(*[
-        F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(f"x{i}")
-        for i, c in enumerate(columns)
+        F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(f"x{i}") for i, c in enumerate(columns)
     ])
-    pairs = [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
-    one = slim.agg(*[F.corr(f"x{i}", f"x{j}").alias(f"r{i}_{j}") for i, j in pairs])
-    rows = []
-    for i, a in enumerate(columns):
-        for j, b in enumerate(columns):
-            name = f"r{min(i, j)}_{max(i, j)}"
-            rows.append(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(name).alias("correlation")))
-    return _unfold(one, rows)
+    p = len(columns)
+    blocks = [(a, min(a + block, p)) for a in range(0, p, block)]
+
+    def moments(x: np.ndarray, here: np.ndarray, a: tuple, b: tuple) -> np.ndarray:
+        """The six moments of two blocks over the rows of a batch, centred per pair."""
+        xa, ma, xb, mb = x[:, slice(*a)], here[:, slice(*a)], x[:, slice(*b)], here[:, slice(*b)]
+        n = ma.T @ mb
+        some = np.maximum(n, 1)
+        mean_i, mean_j = xa.T @ mb / some, ma.T @ xb / some
+        return np.stack([n, mean_i, mean_j, (xa * xa).T @ mb - n * mean_i ** 2, ma.T @ (xb * xb) - n * mean_j ** 2,
+                         xa.T @ xb - n * mean_i * mean_j])
+
+    def added(s: np.ndarray, t: np.ndarray) -> np.ndarray:
+        n = s[0] + t[0]
+        share = t[0] / np.maximum(n, 1)
+        di, dj, w = t[1] - s[1], t[2] - s[2], s[0] * share
+        return np.stack([n, s[1] + di * share, s[2] + dj * share, s[3] + t[3] + di * di * w, s[4] + t[4] + dj * dj * w, s[5] + t[5] + di * dj * w])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        states, pivot = {}, None
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]).astype(float)
+            here = ~np.isnan(x)
+            if pivot is None:  # near the values, so that squares keep their digits
+                pivot = np.where(here, x, 0).sum(axis=0) / np.maximum(here.sum(axis=0), 1)
+            x, here = np.where(here, x - pivot, 0.0), here.astype(float)
+            for k, a in enumerate(blocks):
+                for b in blocks[k:]:
+                    one = moments(x, here, a, b)
+                    states[a, b] = added(states[a, b], one) if (a, b) in states else one
+        for (a, b), s in states.items():
+            i, j = (g.ravel() for g in np.meshgrid(range(*a), range(*b), indexing="ij"))
+            keep = (i <= j) & (s[0].ravel() > 0)
+            i, j = i[keep], j[keep]
+            s = s.reshape(6, -1)[:, keep]
+            s[1] += pivot[i]
+            s[2] += pivot[j]
+            yield pa.RecordBatch.from_arrays([pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32)), *map(pa.array, s)], names=["i", "j", *_MOMENTS])
+
+    return slim.mapInArrow(work, "i int, j int, " + ", ".join(f"{m} double" for m in _MOMENTS))
+
+
+def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Pearson correlation of every pair, each over the rows where both are present; NULL where one does not vary.
+
+    The rows are read once, by ``pair_moments``; what tasks found is added up
+    around the common means.
+    """
+    states = kept(pair_moments(df, columns), "pair_moments")
+    means = states.groupBy("i", "j").agg(*[(F.sum(F.col("n") * F.col(m)) / F.sum("n")).alias(f"all_{m}") for m in ("mean_i", "mean_j")])
+    di, dj = (F.col(m) - F.col(f"all_{m}") for m in ("mean_i", "mean_j"))
+    total = states.join(means, ["i", "j"]).groupBy("i", "j").agg(
+        F.sum(F.col("m2_i") + F.col("n") * di * di).alias("m2_i"), F.sum(F.col("m2_j") + F.col("n") * dj * dj).alias("m2_j"),
+        F.sum(F.col("c") + F.col("n") * di * dj).alias("c"))
+    r = F.when(F.col("i") == F.col("j"), F.when(F.col("m2_i") > 0, 1.0)).otherwise(
+        F.try_divide("c", F.sqrt(F.col("m2_i")) * F.sqrt(F.col("m2_j"))))
+    half = total.select("i", "j", r.alias("correlation"))
+    both = half.unionAll(half.where("i < j").select("j", "i", "correlation"))
+    every = df.sparkSession.createDataFrame(
+        [(i, j, a, b) for i, a in enumerate(columns) for j, b in enumerate(columns)], "i int, j int, a string, b string")
+    return every.join(both, ["i", "j"], "left").select("a", "b", "correlation")
 
 
 def count_by(df: DataFrame, *columns: str) -> DataFrame:

@@ -13,6 +13,7 @@ from scorefold.functions import kernels as K
 from scorefold.operators.joins import lookup
 from scorefold.operators.projection import between_times, rounded
 from scorefold.session import staged
+from scorefold.sources.commits import commit_files, finish_commits, plain_path as _plain_path
 
 PICKUP_COLUMNS = ["mean_fare_window_1h_pickup_zip", "count_trips_window_1h_pickup_zip"]
 DROPOFF_COLUMNS = ["count_trips_window_30m_dropoff_zip", "dropoff_is_weekend"]
@@ -135,26 +136,32 @@ class FeatureStore:
         partition_columns: str | Sequence[str],
         description: str = "",
         partition_from_key: bool = False,
+        cluster_by: Sequence[str] | None = None,
     ) -> None:
-        """Write ``df`` as a new table and check its key.
+        """Check the key of ``df`` and write it as a new table.
 
         ``partition_from_key`` states that equal keys always fall into the
-        same partition; upserts then read only the partitions they touch.
+        same partition; upserts then look only at the partitions they touch.
+        Files hold ranges of ``cluster_by`` (the key, unless given), so that a
+        batch meets few of them: name first what batches have in common, such
+        as the time.
         """
         parts = [partition_columns] if isinstance(partition_columns, str) else list(partition_columns)
+        clustering = [c for c in cluster_by or primary_keys if c not in parts]
         if "." in name:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.rsplit('.', 1)[0]}")
-        writer = df.hint("rebalance", *parts).write.format("parquet").partitionBy(*parts)
-        if self.root:
-            writer = writer.option("path", f"{self.root}/{name.replace('.', '/')}")
-        writer.saveAsTable(name)
-        if self._bad_keys(self.spark.table(name), primary_keys):
-            self.spark.sql(f"DROP TABLE {name}")
-            raise DuplicateKeyError(f"{name}: {list(primary_keys)} is not a key")
+        with staged(df) as rows:
+            if self._bad_keys(rows, primary_keys):
+                raise DuplicateKeyError(f"{name}: {list(primary_keys)} is not a key")
+            writer = _in_ranges(rows, parts, clustering).write.format("parquet").partitionBy(*parts)
+            if self.root:
+                writer = writer.option("path", f"{self.root}/{name.replace('.', '/')}")
+            writer.saveAsTable(name)
         properties = {
             "primary_keys": json.dumps(list(primary_keys)),
             "partition_columns": json.dumps(parts),
             "partition_from_key": json.dumps(partition_from_key),
+            "cluster_by": json.dumps(clustering),
             "comment": description.replace("'", ""),
         }
         listed = ", ".join(f"'{k}' = '{v}'" for k, v in properties.items())
@@ -173,57 +180,64 @@ class FeatureStore:
             with staged(df.select(*columns)) as rows:
                 if self._bad_keys(rows, self.primary_keys(name)):
                     raise DuplicateKeyError(f"rows for {name}: {self.primary_keys(name)} is not a key")
-                self._replace(name, rows, "static")
+                self._overwrite(name, rows)
         elif mode == "merge":
             self._merge(name, df.select(*columns, *([order_by] if order_by and order_by not in columns else [])), order_by)
         else:
             raise ValueError("mode must be 'merge' or 'overwrite'")
 
     def _merge(self, name: str, batch: DataFrame, order_by: str | None) -> None:
+        if finish_commits(self.spark, self.location(name)):
+            self.spark.sql(f"MSCK REPAIR TABLE {name} ADD PARTITIONS")
+            self.spark.catalog.refreshTable(name)
         properties = self._properties(name)
         columns = self.spark.table(name).columns
         if order_by:
             batch = latest_per_key(batch, properties["primary_keys"], order_by).select(*columns)
-        # The batch is read for its partitions, its keys and its rows.
+        # The batch is read for its summary, its keys and its rows.
         with staged(batch) as computed:
             self._merge_staged(name, computed, columns, **properties)
-        self.spark.catalog.refreshTable(name)
 
     def _merge_staged(
         self, name: str, batch: DataFrame, columns: Sequence[str], primary_keys: Sequence[str],
-        partition_columns: Sequence[str], partition_from_key: bool,
+        partition_columns: Sequence[str], partition_from_key: bool, cluster_by: Sequence[str],
     ) -> None:
-        if self._bad_keys(batch, primary_keys):
+        """Write the rows of the files that hold keys of the batch anew, with the batch; other files stay."""
+        found = _batch_summary(batch, primary_keys, partition_columns, cluster_by)
+        if any(r["most"] > 1 or r["gone"] for r in found):
             raise DuplicateKeyError(f"batch for {name}: {primary_keys} is not a key")
-        current, keys = self.spark.table(name), batch.select(*primary_keys)
-        touched = batch.select(*partition_columns).distinct()
-        if not partition_from_key:
-            held = current.join(keys, primary_keys, "left_semi").select(*partition_columns)
-            touched = touched.unionByName(held).distinct()
-        # Few touched partitions are named in a predicate, which prunes folders; more are met in a join.
-        named = touched.limit(MOST_NAMED_PARTITIONS + 1).collect()
-        if len(named) <= MOST_NAMED_PARTITIONS:
-            held = current.filter(_any_partition(named, partition_columns))
-        else:
-            own = touched.withColumnsRenamed({c: f"_touched_{c}" for c in partition_columns})
-            same = [F.col(c).eqNullSafe(F.col(f"_touched_{c}")) for c in partition_columns]
-            held = current.join(own, same, "left_semi")
-        merged = held.join(keys, primary_keys, "left_anti").unionByName(batch).select(*columns)
-        # Written beside the table first, for a plan must not read what it overwrites.
-        with staged(merged) as rows:
-            self._replace(name, rows, "dynamic")
-
-    def _replace(self, name: str, rows: DataFrame, partitions: str) -> None:
-        """Put ``rows`` in place of all partitions (``static``) or of those they have (``dynamic``)."""
-        parts = self._properties(name)["partition_columns"]
-        place = self.spark.sql(f"DESCRIBE FORMATTED {name}").where("col_name = 'Location'").first()["data_type"]
-        if partitions == "dynamic" and rows.isEmpty():
+        if not found:
             return
-        (rows.hint("rebalance", *parts).write.mode("overwrite").option("partitionOverwriteMode", partitions)
-         .partitionBy(*parts).parquet(place))
+        current, keys = self.spark.table(name), batch.select(*primary_keys)
+        candidates = current
+        if partition_from_key and len(found) <= MOST_NAMED_PARTITIONS:
+            candidates = candidates.filter(_any_partition([[r[c] for c in partition_columns] for r in found], partition_columns))
+        if cluster_by and set(cluster_by) <= set(primary_keys):
+            # Files and row groups outside the range of the batch are skipped by their statistics.
+            first = cluster_by[0]
+            candidates = candidates.filter(F.col(first).between(min(r["low"] for r in found), max(r["high"] for r in found)))
+        held = candidates.select(*primary_keys, F.col("_metadata.file_path").alias("_file")).join(keys, primary_keys, "left_semi")
+        old = [_plain_path(self.spark, r["_file"]) for r in held.select("_file").distinct().collect()]
+        rows = batch.select(*columns)
+        place = self.location(name)
+        if old:
+            kept_rows = self.spark.read.schema(current.schema).option("basePath", place).parquet(*old).select(*columns)
+            rows = kept_rows.join(keys, primary_keys, "left_anti").unionByName(rows)
+        if commit_files(_in_ranges(rows, partition_columns, cluster_by), place, partition_columns, old):
+            self.spark.sql(f"MSCK REPAIR TABLE {name} ADD PARTITIONS")
+        self.spark.catalog.refreshTable(name)
+
+    def _overwrite(self, name: str, rows: DataFrame) -> None:
+        properties = self._properties(name)
+        parts = properties["partition_columns"]
+        (_in_ranges(rows, parts, properties["cluster_by"]).write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .partitionBy(*parts).parquet(self.location(name)))
         self.spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
         self.spark.catalog.refreshTable(name)
 
+    def location(self, name: str) -> str:
+        return self.spark.sql(f"DESCRIBE FORMATTED {name}").where("col_name = 'Location'").first()["data_type"]
+
     def table(self, name: str) -> DataFrame:
         return self.spark.table(name)
 
@@ -233,7 +247,7 @@ class FeatureStore:
     def _properties(self, name: str) -> dict:
         rows = self.spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
         found = {r["key"]: r["value"] for r in rows}
-        return {k: json.loads(found[k]) for k in ("primary_keys", "partition_columns", "partition_from_key")}
+        return {k: json.loads(found[k]) for k in ("primary_keys", "partition_columns", "partition_from_key", "cluster_by")}
 
     @staticmethod
     def _bad_keys(df: DataFrame, keys: Sequence[str]) -> bool:
@@ -257,6 +271,23 @@ def _any_partition(rows: Sequence, parts: Sequence[str]):
     return found
 
 
+def _in_ranges(rows: DataFrame, parts: Sequence[str], clustering: Sequence[str]) -> DataFrame:
+    """Rows dealt to files by ranges of partition and clustering columns, and sorted by them."""
+    order = [*parts, *clustering]
+    return rows.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
+def _batch_summary(batch: DataFrame, keys: Sequence[str], parts: Sequence[str], clustering: Sequence[str]) -> list:
+    """A row per touched partition: the most rows of a key, whether a key is missing, and the range of the first clustering column."""
+    gone = F.lit(False)
+    for k in keys:
+        gone = gone | F.col(k).isNull()
+    others = [c for c in parts if c not in keys]
+    per_key = batch.groupBy(*keys).agg(F.count("*").alias("_n"), *[F.min(c).alias(c) for c in others])
+    ends = [F.min(clustering[0]).alias("low"), F.max(clustering[0]).alias("high")] if clustering and clustering[0] in keys else []
+    return per_key.withColumn("_gone", gone).groupBy(*parts).agg(F.max("_n").alias("most"), F.max("_gone").alias("gone"), *ends).collect()
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: str) -> DataFrame:
     """The row with the highest ``order_by`` per key, found by a partial aggregate."""
     others = [c for c in df.columns if c not in keys]

@@ -5,12 +5,14 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scorefold.functions import kernels as K
 from scorefold.functions import rules
+from scorefold.operators import ranks
 from scorefold.operators.projection import add_long_names
+from scorefold.session import kept
 
 # ---------------------------------------------------------------- rule tables
 
@@ -80,43 +82,19 @@ def column_modes(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
 
 
 def column_medians(
-    df: DataFrame, columns: Sequence[str], max_values: int = 1_000_000, accuracy: int = 10_000
+    df: DataFrame, columns: Sequence[str], max_values: int = 1 << ranks.DIGIT_BITS, accuracy: int | None = None
 ) -> dict[str, float]:
-    """Exact median per column without sorting a column in one task.
+    """Exact median per column; NULL and NaN do not count, a column without values has no entry.
 
-    Each round narrows the columns to a value range around the middle rank and
-    counts what lies below it.  Once a range holds at most ``max_values``
-    distinct values, the wanted ranks are read off its value counts.
+    ``max_values`` bounds the counters per column that a round of
+    ``ranks.values_at_ranks`` keeps.  ``accuracy`` is accepted for older callers
+    and has no effect: the ranks are exact.
     """
-    slim = df.select(*[_present(c).alias(c) for c in columns])
-    first = slim.agg(
-        *[F.count(c).alias(f"n{i}") for i, c in enumerate(columns)],
-        *[F.approx_count_distinct(c).alias(f"d{i}") for i, c in enumerate(columns)],
-    ).first()
-    totals = {c: first[f"n{i}"] for i, c in enumerate(columns) if first[f"n{i}"]}
-    wide = [c for i, c in enumerate(columns) if first[f"d{i}"] > max_values]
-    # name -> (low, high, rows below low, rows inside)
-    ranges = {c: (-math.inf, math.inf, 0, n) for c, n in totals.items()}
-    while wide:
-        ranges_before = dict(ranges)
-        inside = [F.when(F.col(c).between(*ranges[c][:2]), F.col(c)) for c in wide]
-        probe = slim.agg(*[
-            F.percentile_approx(x, _middle_shares(totals[c], ranges[c], accuracy), accuracy).alias(f"q{i}")
-            for i, (c, x) in enumerate(zip(wide, inside))
-        ]).first()
-        bounds = {c: probe[f"q{i}"] for i, c in enumerate(wide)}
-        found = slim.agg(*[
-            x
-            for i, c in enumerate(wide)
-            for x in _range_counts(F.col(c), *bounds[c], f"{i}")
-        ]).first()
-        for i, c in enumerate(wide):
-            ranges[c] = (*bounds[c], found[f"below{i}"], found[f"inside{i}"])
-        wide = [
-            c for i, c in enumerate(wide)
-            if found[f"distinct{i}"] > max_values and ranges[c][3] < ranges_before[c][3]
-        ]
-    return _pick_medians(_long(slim, list(totals)), totals, ranges) if totals else {}
+    slim = kept(df.select(*[_present(c).alias(c) for c in columns]), "median_columns")
+    totals = slim.agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(columns)]).first()
+    wanted = {c: [(totals[i] - 1) // 2, totals[i] // 2] for i, c in enumerate(columns) if totals[i]}
+    found = ranks.values_at_ranks(slim, wanted, int(math.log2(max_values)))
+    return {c: (found[c, low] + found[c, high]) / 2 for c, (low, high) in wanted.items()}
 
 
 def _present(name: str) -> Column:
@@ -124,60 +102,12 @@ def _present(name: str) -> Column:
     return F.when(~F.isnan(x), x)
 
 
-def _middle_shares(total: int, found: tuple, accuracy: int) -> list[float]:
-    _, _, below, inside = found
-    middle = ((total - 1) / 2 - below) / inside
-    slack = 2.0 / accuracy
-    return [max(0.0, middle - slack), min(1.0, middle + slack)]
-
-
-def _range_counts(x: Column, low: float, high: float, tag: str) -> list[Column]:
-    within = F.when(x.between(low, high), x)
-    return [
-        F.count(F.when(x < low, x)).alias("below" + tag),
-        F.count(within).alias("inside" + tag),
-        F.approx_count_distinct(within).alias("distinct" + tag),
-    ]
-
-
 def _long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(name, value) rows of the present values; NaN counts as missing."""
     slim = df.select(*[_present(c).alias(c) for c in columns])
     return slim.unpivot([], list(columns), "name", "value").filter(F.col("value").isNotNull())
 
 
-def _range_table(spark, ranges: Mapping[str, tuple]) -> DataFrame:
-    rows = [(c, float(r[0]), float(r[1])) for c, r in ranges.items()]
-    return spark.createDataFrame(rows, "name string, low double, high double")
-
-
-def _inside(values: DataFrame, ranges: Mapping[str, tuple]) -> DataFrame:
-    bounds = _range_table(values.sparkSession, ranges)
-    return values.join(F.broadcast(bounds), "name").filter(
-        F.col("value").between(F.col("low"), F.col("high"))
-    ).select("name", "value")
-
-
-def _pick_medians(values: DataFrame, totals: Mapping[str, int], ranges: Mapping[str, tuple]) -> dict[str, float]:
-    below = F.create_map(*[x for c, r in ranges.items() for x in (F.lit(c), F.lit(r[2]))])
-    total = F.create_map(*[x for c in ranges for x in (F.lit(c), F.lit(totals[c]))])
-    upto = Window.partitionBy("name").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (
-        _inside(values, ranges)
-        .groupBy("name", "value").agg(F.count("*").alias("n"))
-        .withColumn("last", below[F.col("name")] + F.sum("n").over(upto) - 1)
-        .withColumn("first", F.col("last") - F.col("n") + 1)
-        .withColumn("n_all", total[F.col("name")])
-    )
-    lower = F.floor((F.col("n_all") - 1) / 2)
-    upper = F.floor(F.col("n_all") / 2)
-    picked = ranked.groupBy("name").agg(
-        F.max(F.when(lower.between(F.col("first"), F.col("last")), F.col("value"))).alias("a"),
-        F.max(F.when(upper.between(F.col("first"), F.col("last")), F.col("value"))).alias("b"),
-    )
-    return {r["name"]: (r["a"] + r["b"]) / 2 for r in picked.collect()}
-
-
 def fill_with(df: DataFrame, values: Mapping[str, float]) -> DataFrame:
     """NULL and NaN become the column's given value."""
     def filled(name: str, value: float) -> str:

@@ -97,6 +97,37 @@ def verdicts(joined: DataFrame, pairs: Pairs, tolerance: float = TOLERANCE, equa
     ])))
 
 
+GROUP = 16
+
+
+def column_mismatches(joined: DataFrame, pairs: Pairs, tolerance: float = TOLERANCE, equal_nan: bool = False) -> DataFrame:
+    """Rows (score, mismatches) for any number of shared columns, from one scan.
+
+    Columns are taken ``GROUP`` at a time: where the hashes of both sides agree
+    and no value is missing, the group has no mismatch and is not compared.  Only
+    the differing columns of the other groups become rows, which are counted per
+    task before the shuffle.
+    """
+    def values(names: Sequence[str]) -> list[Column]:
+        # Both zeros have one hash.
+        return [F.col(c).cast("double") + F.lit(0.0) for c in names]
+
+    groups = []
+    for i in range(0, len(pairs), GROUP):
+        own = pairs[i:i + GROUP]
+        a, b = values([x for x, _ in own]), values([y for _, y in own])
+        # NULL in one addend makes the sum NULL, NaN makes it NaN; opposite infinities too, which only costs a comparison.
+        sides = [sum(side[1:], side[0]) for side in (a, b)]
+        unlike = F.xxhash64(*a) != F.xxhash64(*b)
+        for total in sides:
+            unlike = unlike | missing(total)
+        rows = F.array(*[F.struct(F.lit(x).alias("score"), close(x, y, tolerance, equal_nan).alias("same")) for x, y in own])
+        groups.append(F.when(unlike, F.transform(F.filter(rows, lambda r: ~r["same"]), lambda r: r["score"])).otherwise(F.expr("cast(array() as array<string>)")))
+    found = joined.select(F.explode(F.concat(*groups)).alias("score")).groupBy("score").agg(F.count("*").alias("mismatches"))
+    every = joined.sparkSession.createDataFrame([(x,) for x, _ in pairs], "score string")
+    return every.join(found, "score", "left").select("score", F.coalesce("mismatches", F.lit(0)).alias("mismatches"))
+
+
 def rounded_equal(a: str, b: str, digits: int = 2) -> Column:
     """Equality after rounding; a missing value is unequal."""
     return F.coalesce(F.round(a, digits) == F.round(b, digits), F.lit(False))

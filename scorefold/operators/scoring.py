@@ -78,6 +78,73 @@ class LinearModel:
         })
 
 
+#: Rows times trees that are walked at once.
+WALKED = 1 << 20
+
+
+@dataclass(frozen=True)
+class FlatTrees:
+    """Trees as arrays over all their nodes: a leaf has feature -1 and stays where it is."""
+
+    names: list[str]
+    roots: np.ndarray
+    feature: np.ndarray
+    below: np.ndarray
+    yes: np.ndarray
+    no: np.ndarray
+    #: Whether a missing value follows ``yes``.
+    missing_yes: np.ndarray
+    value: np.ndarray
+    gain: np.ndarray
+    depth: int
+
+    @staticmethod
+    def of(trees: Sequence[dict]) -> FlatTrees:
+        names: dict[str, int] = {}
+        rows, roots, depth = [], [], 0
+        for tree in trees:
+            roots.append(len(rows))
+            level = [(tree, None, None)]
+            height = -1
+            while level:  # level by level: a node's row is known before its children's
+                height += 1
+                below = []
+                for node, parent, side in level:
+                    at = len(rows)
+                    if parent is not None:
+                        rows[parent][side] = at
+                    if "leaf" in node:
+                        rows.append([-1, 0.0, at, at, False, node["leaf"], 0.0])
+                    else:
+                        f = names.setdefault(node["feature"], len(names))
+                        rows.append([f, node["below"], 0, 0, node["missing"] == "yes", 0.0, node.get("gain", 0.0)])
+                        below += [(node["yes"], at, 2), (node["no"], at, 3)]
+                level = below
+            depth = max(depth, height)
+        columns = list(zip(*rows)) if rows else [()] * 7
+        kinds = (np.int64, float, np.int64, np.int64, bool, float, float)
+        return FlatTrees(list(names), np.array(roots, np.int64), *(np.array(c, k) for c, k in zip(columns, kinds)), depth)
+
+    def add_up(self, x: np.ndarray, base: float) -> np.ndarray:
+        """Base and the leaves of every row of ``x``, whose columns are ``names``, added tree by tree."""
+        out = np.empty(len(x))
+        step = max(1, WALKED // max(1, len(self.roots)))
+        for begin in range(0, len(x), step):
+            part = x[begin:begin + step]
+            rows = np.arange(len(part))[:, None]
+            at = np.tile(self.roots, (len(part), 1))
+            for _ in range(self.depth):
+                feature = self.feature[at]
+                v = part[rows, np.maximum(feature, 0)]
+                left = (v < self.below[at]) | (np.isnan(v) & self.missing_yes[at])
+                at = np.where(left, self.yes[at], self.no[at])
+            total = np.full(len(part), float(base))
+            for values in self.value[at].T:
+                total += values
+            out[begin:begin + step] = total
+        return out
+
+
 @dataclass(frozen=True)
 class TreeModel:
     """Sum of regression trees.
@@ -92,17 +159,7 @@ class TreeModel:
 
     @property
     def features(self) -> list[str]:
-        seen: dict[str, None] = {}
-
-        def visit(node: dict) -> None:
-            if "leaf" not in node:
-                seen.setdefault(node["feature"])
-                visit(node["yes"])
-                visit(node["no"])
-
-        for tree in self.trees:
-            visit(tree)
-        return list(seen)
+        return self.flat().names
 
     @property
     def as_column(self) -> bool:
@@ -123,41 +180,24 @@ class TreeModel:
 
         return _with_link(" + ".join([K.literal(float(self.base)), *map(branch, self.trees)]), self.link)
 
+    def flat(self) -> FlatTrees:
+        return FlatTrees.of(self.trees)
+
     def load(self) -> Callable[[pd.DataFrame], np.ndarray]:
+        flat = self.flat()
+
         def predict(batch: pd.DataFrame) -> np.ndarray:
-            x = {c: batch[c].astype("float64").to_numpy() for c in self.features}
-            total = np.full(len(batch), self.base)
-
-            def add(node: dict, rows: np.ndarray) -> None:
-                if "leaf" in node:
-                    total[rows] += node["leaf"]
-                    return
-                v = x[node["feature"]][rows]
-                yes = v < node["below"]
-                if node["missing"] == "yes":
-                    yes |= np.isnan(v)
-                add(node["yes"], rows[yes])
-                add(node["no"], rows[~yes])
-
-            for tree in self.trees:
-                add(tree, np.arange(len(batch)))
-            return _link_array(total, self.link)
+            x = batch[flat.names].astype("float64").to_numpy() if flat.names else np.empty((len(batch), 0))
+            return _link_array(flat.add_up(x, self.base), self.link)
 
         return predict
 
     def importance(self) -> dict[str, float]:
         """Gain per feature, summed over splits that record one."""
-        gains: dict[str, float] = {}
-
-        def visit(node: dict) -> None:
-            if "leaf" not in node:
-                gains[node["feature"]] = gains.get(node["feature"], 0.0) + node.get("gain", 0.0)
-                visit(node["yes"])
-                visit(node["no"])
-
-        for tree in self.trees:
-            visit(tree)
-        return gains
+        flat = self.flat()
+        split = flat.feature >= 0
+        gains = np.bincount(flat.feature[split], weights=flat.gain[split], minlength=len(flat.names))
+        return dict(zip(flat.names, gains.tolist()))
 
     def to_json(self) -> str:
         return json.dumps({"kind": "trees", "trees": self.trees, "base": self.base, "link": self.link})
@@ -199,6 +239,11 @@ class CustomModel:
         return json.dumps({"kind": "custom", "feature_names": self.features, "loader": self.loader, "settings": self.settings})
 
 
+def load_linear(**settings) -> Callable[[pd.DataFrame], np.ndarray]:
+    """Loader of a linear model for ``CustomModel``: its settings are those of ``LinearModel``."""
+    return LinearModel(**settings).load()
+
+
 @dataclass(frozen=True)
 class PreparedModel:
     """A model with the preparation of its inputs, ``package.module:function`` from frame to frame, run before it scores."""
@@ -388,6 +433,19 @@ def check_features(declared: Sequence[str], model_features: Sequence[str]) -> Fe
     )
 
 
+def feature_differences(declared: DataFrame, model) -> DataFrame:
+    """(name, status, declared_at, model_at): a list of names from elsewhere against the order of a stored model.
+
+    ``declared`` has ``name`` and ``position`` (from 0).  The status is missing
+    (the model wants it), extra, moved or same.
+    """
+    wanted = declared.sparkSession.createDataFrame([(n, i) for i, n in enumerate(model.features)], "name string, model_at int")
+    both = declared.select("name", F.col("position").cast("int").alias("declared_at")).join(F.broadcast(wanted), "name", "full")
+    status = (F.when(F.col("declared_at").isNull(), "missing").when(F.col("model_at").isNull(), "extra")
+              .when(F.col("declared_at") != F.col("model_at"), "moved").otherwise("same"))
+    return both.select("name", status.alias("status"), "declared_at", "model_at")
+
+
 def all_input_features(*lists: Sequence[str]) -> list[str]:
     """Sorted union of model feature lists and the housing inputs."""
     return sorted(set(rules.HOUSING_FEATURES).union(*lists))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from scorefold.functions import kernels as K
 from scorefold.functions import rules
+from scorefold.operators.checkpoints import Checkpoints
 from scorefold.operators.credit import add_credit_attributes, apply_tier
 from scorefold.operators.features import add_reusable_features
 from scorefold.operators.housing import estimate_housing
@@ -72,14 +73,17 @@ def base_run(df: DataFrame, inputs: CampaignInputs, state_table) -> DataFrame:
 
 
 def score_campaign(
-    df: DataFrame, inputs: CampaignInputs, columns: Sequence[str] | None = rules.SKINNY_COLUMNS
+    df: DataFrame, inputs: CampaignInputs, columns: Sequence[str] | None = rules.SKINNY_COLUMNS,
+    checkpoints: Checkpoints | None = None,
 ) -> DataFrame:
     """Score applicants for base and best-case income with one scan and no id join.
 
-    ``columns`` is the output list; None keeps everything.
+    ``columns`` is the output list; None keeps everything.  ``checkpoints``
+    count rows and keys as loaded, after the ZIP data and after all scores.
     """
+    mark = checkpoints.mark if checkpoints else lambda df, step: df
     state_table = StateBrackets.load(inputs.state_table)
-    df = shared_prefix(df, inputs).transform(add_best_case_income)
+    df = mark(shared_prefix(mark(df, "loaded"), inputs), "zip_data").transform(add_best_case_income)
     df = add_scenario(
         df,
         eligibility_steps(inputs, state_table, rules.BEST_CASE_INCOME, only_scenario=True),
@@ -88,7 +92,7 @@ def score_campaign(
         "lastreportedincome IS NOT NULL",
     )
     df = K.with_sql(df, {rules.BEST_CASE_INCOME: K.case([("lastreportedincome IS NOT NULL", rules.BEST_CASE_INCOME)])})
-    df = base_run(df, inputs, state_table)
+    df = mark(base_run(df, inputs, state_table), "scored")
     return df if columns is None else select_columns(df, columns)
 
 

@@ -6,20 +6,24 @@ scoring operators and are nobody's production models.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from scorefold.functions import rules
 from scorefold.operators import aggregates, features, impute, joins, projection, scenario, scoring, training
+from scorefold.operators.checkpoints import Checkpoints
 from scorefold.operators.credit import add_credit_attributes
-from scorefold.operators.scoring import LEGACY_SCORES, LinearModel, ModelTable, TreeModel, score
+from scorefold.operators.scoring import LEGACY_SCORES, CustomModel, LinearModel, ModelTable, PreparedModel, TreeModel, score
 from scorefold.operators.tax import StateBrackets, calculate_ndi
 from scorefold.plans.applicant_queries import (
-    HOUSING, ID, INCOME, _ATTRIBUTE_RAW, _BALANCES, _DATES, _FUNDING_RAW, _HOUSING_RAW, _NDI_RAW, _TAGS, _TRADE,
+    HOUSING, ID, INCOME, _ATTRIBUTE_RAW, _BALANCES, _CREDIT_RAW, _DATES, _LOAN_RAW, _FUNDING_RAW, _HOUSING_RAW, _NDI_RAW, _TAGS, _TRADE,
     _counter, _label_sql, _tier_sql, attributes_sql, external_zip_tables, funding_sql, housing_sql, ndi_source_sql,
     ndi_sql, recency_sql,
 )
 from scorefold.plans.campaign import CampaignInputs, score_campaign
 from scorefold.plans.registry import num, query, rnd, rnds, with_rounded
+from scorefold.session import kept, scratch_path
 from scorefold.sources import driver_tables as D
 from scorefold.sources.driver_tables import applicants, applicants_sql
 
@@ -232,6 +236,108 @@ def campaign_skinny(spark, sf_dir):
     return with_rounded(df, finer={"Tradeline_NDI": 6, "bestcase_Tradeline_NDI": 6})
 
 
+@query(
+    "DQ-13 AG-06",
+    f"WITH n AS (SELECT count(*) AS n, count(*) FILTER (WHERE {ID} IS NULL) AS gone FROM ({applicants_sql([ID])})) "
+    + " UNION ALL ".join(f"SELECT '{step}' AS step, n AS rows, gone AS null_keys, TRUE AS same_keys FROM n" for step in ("loaded", "zip_data", "scored")),
+)
+def campaign_checkpoints(spark, sf_dir):
+    """Rows and keys at three places of a campaign, counted by the job that writes its scores."""
+    seen = Checkpoints(ID)
+    df = score_campaign(campaign_applicants(spark, sf_dir), campaign_inputs(spark, sf_dir), rules.SCORE_COLUMNS, seen)
+    df.write.parquet(scratch_path(spark, "checked_campaign"))
+    found = seen.report(spark)
+    first = found.where("step = 'loaded'").select(F.col("key_digest").alias("loaded"))
+    digest = first.first()["loaded"]
+    return found.select("step", "rows", "null_keys", F.coalesce(F.col("key_digest") == F.lit(digest), F.lit(False)).alias("same_keys"))
+
+
+# ------------------------------------------------------- stored, prepared models
+
+_LONG = ["V71_AT36S_mo_since_most_recent_dq", "V71_AT104S_pct_all_trd_opned_pst_24mo_all_trd"]
+#: Months that are no number are 999 for the model, and its columns have their long names.
+_PREPARED = LinearModel({_LONG[0]: -0.0007, _LONG[1]: 0.011, "UnsecuredInstallmentLoanTrades": 0.05, "DaysSinceMostRecentUILInquiry": -2e-06}, -1.2, "logistic")
+_PREPARE = "scorefold.operators.impute:impute_credit_model"
+
+
+def _prepared_sql() -> str:
+    codes = "(-6, -5, -4, -3, -2, -1)"
+    months = ", ".join(f"CASE WHEN {c} IN {codes} THEN 999e0 ELSE {c} END AS \"{n}\"" if c in rules.CREDIT_MODEL_999 else f"{c} AS \"{n}\""
+                       for n, c in ((n, projection.bureau_code(n)) for n in _LONG))
+    loans = ", ".join(f"CASE WHEN {c} IN {codes} THEN {num(v)} ELSE {c} END AS \"{n}\"" for n, c, v in rules.CREDIT_MODEL_LOAN_COLUMNS)
+    source = f"SELECT {ID}, {months}, {loans} FROM ({applicants_sql([ID, *_CREDIT_RAW, *_LOAN_RAW])})"
+    score = rnd(linear_sql(_PREPARED), "prepared_score", 6), rnd(linear_sql(_PREPARED), "custom_score", 6)
+    return f"SELECT {ID}, {', '.join(score)} FROM ({source})"
+
+
+@query("UDF-03 UDF-02 ML-05 ML-12 DM-11", _prepared_sql())
+def prepared_credit_score(spark, sf_dir):
+    """A model table is written and read back; its models prepare their own inputs, one as columns and one as a user's loader."""
+    custom = CustomModel(_PREPARED.features, "scorefold.operators.scoring:load_linear", json.loads(_PREPARED.to_json()) | {"kind": None})
+    custom.settings.pop("kind")
+    path = scratch_path(spark, "models")
+    ModelTable.from_models(spark, [
+        ("credit", 1, "Production", PreparedModel(_PREPARED, _PREPARE)), ("credit_custom", 1, "Production", PreparedModel(custom, _PREPARE))]).write(path)
+    models = ModelTable.read(spark, path)
+    df = applicants(spark, sf_dir, [ID, *_CREDIT_RAW, *_LOAN_RAW])
+    df = score(df, models.resolve("models:/credit/1"), "prepared_score")
+    df = score(df, models.resolve("models:/credit_custom/Production"), "custom_score")
+    return with_rounded(df.select(ID, "prepared_score", "custom_score"), 6)
+
+
+_MODEL_LIST = "SELECT name, CAST(row_number() OVER (ORDER BY first) - 1 AS INTEGER) AS at FROM (SELECT {name} AS name, min(p_partkey) AS first FROM part WHERE {where} GROUP BY 1)"
+
+
+@query(
+    "ML-13 ML-12",
+    "SELECT name, CASE WHEN d.at IS NULL THEN 'missing' WHEN m.at IS NULL THEN 'extra' WHEN d.at <> m.at THEN 'moved' ELSE 'same' END AS status, "
+    "d.at AS declared_at, m.at AS model_at FROM "
+    f"({_MODEL_LIST.format(name='p_brand', where='p_size > 10')}) m FULL JOIN ({_MODEL_LIST.format(name='p_brand', where='p_size > 5 AND p_brand <> ' + chr(39) + 'Brand#3' + chr(39))}) d USING (name)",
+)
+def feature_list_check(spark, sf_dir):
+    """A feature list from a file against the order of a stored model: what is missing, extra or moved."""
+    parts = D.table(spark, sf_dir, "part")
+
+    def names(where: str) -> list[str]:
+        return [r["p_brand"] for r in parts.where(where).groupBy("p_brand").agg(F.min("p_partkey").alias("first")).orderBy("first").collect()]
+
+    path, listed = scratch_path(spark, "models"), scratch_path(spark, "feature_list")
+    ModelTable.from_models(spark, [("brands", 1, "Production", LinearModel({n: 1.0 for n in names("p_size > 10")}))]).write(path)
+    declared = list(enumerate(names("p_size > 5 AND p_brand <> 'Brand#3'")))
+    spark.createDataFrame(declared, "position int, name string").coalesce(1).write.csv(listed)
+    return scoring.feature_differences(spark.read.schema("position int, name string").csv(listed), ModelTable.read(spark, path).resolve("models:/brands/Production"))
+
+
+def _ensemble(trees: int = 100, depth: int = 5) -> TreeModel:
+    """An invented ensemble: thresholds and leaves follow from the numbers of tree and node."""
+    ranges = {"l_quantity": 50.0, "l_extendedprice": 100_000.0, "l_discount": 0.1, "l_tax": 0.08}
+    names = list(ranges)
+
+    def node(tree: int, at: int, level: int) -> dict:
+        if level == depth:
+            return {"leaf": ((tree * 31 + at * 17) % 101 - 50) / 64}
+        name = names[(tree + at) % len(names)]
+        below = ranges[name] * (((tree * 7 + at * 13) % 97) + 0.5) / 97.003
+        return {"feature": name, "below": below, "yes": node(tree, 2 * at, level + 1), "no": node(tree, 2 * at + 1, level + 1),
+                "missing": "yes" if (tree + at) % 3 else "no", "gain": float((tree + at) % 11)}
+
+    return TreeModel([node(t, 1, 0) for t in range(trees)], base=0.5)
+
+
+_ENSEMBLE = _ensemble()
+_ENSEMBLE_RAW = "l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, nullif(l_discount, 0.05) AS l_discount, l_tax"
+
+
+@query(
+    "ML-01 ML-07",
+    f"SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, {rnd(trees_sql(_ENSEMBLE), 'score', 6)} FROM (SELECT {_ENSEMBLE_RAW} FROM lineitem)",
+)
+def score_ensemble(spark, sf_dir):
+    """100 trees of depth 5 over line items, walked level by level in Arrow batches."""
+    lines = D.table(spark, sf_dir, "lineitem").selectExpr(*_ENSEMBLE_RAW.split(", ")[:6], "nullif(l_discount, 0.05) AS l_discount", "l_tax")
+    return with_rounded(score(lines, _ENSEMBLE, "score").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "score"), 6)
+
+
 _SCORES = ", ".join(f'"{c}"' for c in rules.SCORE_COLUMNS)
 
 
@@ -402,16 +508,19 @@ _TRAIN_FEATURES = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
 
 @query("ML-14 ML-15 ML-16")
 def boosted_tree_importance(spark, sf_dir):
-    """Feature importances of boosted trees that predict the line price."""
-    lines = D.table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity", "l_discount", "l_tax"
-    )
-    train, _ = training.split_rows(lines, ["l_orderkey", "l_linenumber"])
-    packaged = training.train_boosted_trees(train, _TRAIN_FEATURES, "l_extendedprice", rounds=3, max_depth=3)
+    """Feature importances of boosted trees that predict the line price, with the held-out error."""
+    lines = kept(D.table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity", "l_discount", "l_tax"), "training_lines")
+    key = ["l_orderkey", "l_linenumber"]
+    train, test = training.split_rows(lines, key)
+    packaged = training.train_boosted_trees(
+        training.with_validation(train, key), _TRAIN_FEATURES, "l_extendedprice", validation="_validation")
+    error = training.quality(packaged, train, test, "l_extendedprice").first()
     found = packaged.importances()
     counted = aggregates.describe(lines, _TRAIN_FEATURES)
     names = F.create_map(*[x for n, v in found.items() for x in (F.lit(n), F.lit(v))])
-    return counted.select("column", "count", names[F.col("column")].alias("importance"))
+    return counted.select("column", "count", names[F.col("column")].alias("importance"), F.lit(packaged.rounds()).alias("rounds"),
+                          F.lit(error["rmse"]).alias("held_out_rmse"), F.lit(error["mean_rmse"]).alias("mean_rmse"))
 
 
 _SHARE = "(CAST('0x' || substr(md5({}), 1, 8) AS BIGINT) % 10000)"

@@ -87,6 +87,52 @@ def test_merge_replaces_adds_and_is_idempotent(spark, from_key):
     assert spark.sql("SHOW TABLES IN scorefold_staging").filter("NOT isTemporary").count() == 0
 
 
+def files_of(s, name):
+    return {r["f"]: r["n"] for r in s.table(name).groupBy(F.col("_metadata.file_path").alias("f")).agg(F.count("*").alias("n")).collect()}
+
+
+@pytest.mark.parametrize("from_key", [True, False])
+def test_merge_rewrites_only_files_that_hold_its_keys(spark, from_key):
+    """A month of many files; a batch of late times touches the last of them, and new keys none."""
+    s, name = make(spark, [(0, 0, "a", 0.0)], partition_from_key=from_key, cluster_by=["ts", "zip"])
+    month = spark.range(20_000).selectExpr("cast(id % 50 AS INT) AS zip", "cast(id DIV 50 AS INT) + 1 AS ts", "'m' AS yyyy_mm", "cast(id AS DOUBLE) AS v")
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "20")
+    try:
+        s.write_table(name, month)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    old = files_of(s, name)
+    assert len(old) >= 15
+    late = month.where("ts > 395").selectExpr("zip", "ts", "yyyy_mm", "v + 0.5 AS v")
+    s.write_table(name, late)
+    new = files_of(s, name)
+    gone = set(old) - set(new)
+    assert gone and sum(old[f] for f in gone) < 0.15 * 20_000 and s.table(name).count() == 20_001
+    assert s.table(name).where("v != floor(v)").count() == late.count()
+    s.write_table(name, spark.createDataFrame([(7, 100_000, "m", 1.0)], ROW))
+    assert set(new) < set(files_of(s, name)) and s.table(name).count() == 20_002
+    assert spark.sql("SHOW TABLES IN scorefold_staging").filter("NOT isTemporary").count() == 0
+
+
+def test_an_interrupted_commit_is_finished_by_the_next_merge(spark, monkeypatch):
+    from scorefold.sources import commits
+    s, name = make(spark, [(1, 1, "a", 1.0), (1, 2, "a", 2.0)])
+    place = s.location(name)
+    with monkeypatch.context() as m:
+        m.setattr(commits, "_finish", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            s.write_table(name, spark.createDataFrame([(1, 2, "a", 20.0), (2, 1, "b", 3.0)], ROW))
+    spark.catalog.refreshTable(name)
+    assert rows(s.table(name)) == [(1, 1, "a", 1.0), (1, 2, "a", 2.0)]  # nothing is seen before the commit
+    assert commits.finish_commits(spark, place) == 1 and commits.finish_commits(spark, place) == 0
+    spark.sql(f"MSCK REPAIR TABLE {name} ADD PARTITIONS")
+    spark.catalog.refreshTable(name)
+    assert rows(s.table(name)) == [(1, 1, "a", 1.0), (1, 2, "a", 20.0), (2, 1, "b", 3.0)]
+
+
 def test_merge_moves_a_key_between_partitions(spark):
     s, name = make(spark, [(1, 1, "a", 1.0), (1, 2, "a", 2.0), (1, 3, "b", 3.0)])
     s.write_table(name, spark.createDataFrame([(1, 1, "b", 10.0)], ROW))
