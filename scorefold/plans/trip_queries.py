@@ -13,7 +13,7 @@ from scorefold.operators.scoring import LinearModel
 from scorefold.plans.registry import num, query, rnd, with_rounded
 from scorefold.session import kept, scratch_path
 from scorefold.sources import driver_tables as D
-from scorefold.streaming import feature_stream
+from scorefold.streaming import feature_stream, late_rows
 
 SPLIT = "2024-01-16"
 _MEAN, _TRIPS = fs.PICKUP_COLUMNS
@@ -304,3 +304,21 @@ def stream_dropoff_upsert(spark, sf_dir):
     store.create_table(name, ["zip", "ts"], spark.createDataFrame([], stream.schema), "yyyy_mm", partition_from_key=True, cluster_by=["ts", "zip"])
     feature_stream.upsert_stream(store, name, stream, scratch_path(spark, "stream")).awaitTermination()
     return store.table(name)
+
+
+@query("STR-04 STR-01 FS-06", pickup_sql())
+def stream_late_rows(spark, sf_dir):
+    """Trips in files that come out of order: windows and late parts together are the batch's windows."""
+    path = scratch_path(spark, "late_trips")
+    # Files are taken in the order of their times, one per micro-batch: the second half of the month comes first.
+    for condition in (_LATE, _EARLY):
+        D.trips(spark, sf_dir).where(condition).coalesce(1).write.mode("append").parquet(path)
+    schema = spark.read.parquet(path).schema
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+    store, name, parts = _store(spark), _name("stream_late"), scratch_path(spark, "late_parts")
+    store.create_table(name, ["zip", "ts"], spark.createDataFrame([], late_rows.TABLE), "yyyy_mm", partition_from_key=True, cluster_by=["ts", "zip"])
+    late_rows.upsert_with_late_rows(store, name, late_rows.pickup_parts(stream), parts, scratch_path(spark, "late_stream")).awaitTermination()
+    late = spark.read.schema(late_rows.PARTS).parquet(parts)
+    found = late_rows.complete_windows(store.table(name), late)
+    return _plain(found.selectExpr(
+        "zip", "ts", f"{K.month_partition('timestamp_seconds(ts)')} AS yyyy_mm", f"CAST(mean_fare AS FLOAT) AS {_MEAN}", f"CAST(trips AS INT) AS {_TRIPS}"))

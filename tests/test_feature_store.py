@@ -244,3 +244,22 @@ def test_stream_over_many_files_equals_batch(spark, sf_dir):
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
     with pytest.raises(ValueError):
         s.write_table(name, features)
+
+
+def test_windows_and_late_parts_of_a_stream_equal_the_batch(spark):
+    from scorefold.streaming import late_rows
+    path, parts = scratch_path(spark, "disordered"), scratch_path(spark, "late")
+    files = [[at(1, 2, 10, 0), at(1, 2, 10, 20), at(1, 2, 12, 1)], [at(1, 2, 11, 50), at(1, 2, 10, 40), at(1, 2, 9, 3)], [at(1, 1, 7, 7), at(1, 2, 12, 30)]]
+    for times in files:
+        trips(spark, times).coalesce(1).write.mode("append").parquet(path)
+    s, name = store(spark), T._name("late")
+    s.create_table(name, ["zip", "ts"], spark.createDataFrame([], late_rows.TABLE), "yyyy_mm", partition_from_key=True)
+    stream = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", 1).parquet(path)
+    late_rows.upsert_with_late_rows(s, name, late_rows.pickup_parts(stream), parts, scratch_path(spark, "late_stream")).awaitTermination()
+    late = spark.read.schema(late_rows.PARTS).parquet(parts)
+    # Watermark 11:01 after the first file: 9:03 is late for all windows, 10:40 for one of its four; 7:07 of the day before for all.
+    assert sorted(r["ts"] for r in late.collect()) == sorted(
+        [epoch(1, 2, 10, 45), epoch(1, 2, 11, 0), *(epoch(1, 2, 9, 15) + 900 * k for k in range(4)), *(epoch(1, 1, 7, 15) + 900 * k for k in range(4))])
+    got = {(r["zip"], r["ts"]): (r["mean_fare"], r["trips"]) for r in late_rows.complete_windows(s.table(name), late).collect()}
+    batch = fs.pickup_features(trips(spark, [t for f in files for t in f]))
+    assert got == {(r["zip"], r["ts"]): (r[fs.PICKUP_COLUMNS[0]], r[fs.PICKUP_COLUMNS[1]]) for r in batch.collect()}
