@@ -19,9 +19,10 @@ from scorefold.llm.words import WordHashes, batch_of, mixed, slices, utf8
 #: Entries of a hash container beyond which it bursts, and of all containers of a task beyond which subtrees are spilled.
 BURST = 16_384
 MAX_ENTRIES = 1_000_000
-#: Words that a task has numbers for before it starts anew, and words taken at a time.
-MAX_WORDS = 1 << 20
-BLOCK = 1 << 18
+#: Words that a task has numbers for before it starts anew, and words taken at a time, from texts of so many bytes.
+MAX_WORDS = 1 << 21
+BLOCK = 1 << 20
+SLICE = 8 << 20
 #: Three word ids share 63 bits.
 BITS = 21
 #: Parts that the phrases with one first word are dealt into.
@@ -85,7 +86,11 @@ class Node:
             self.firsts.insert(i + 1, middle)
             self.below[i:i + 1] = [low, high]
         elif self.depth < 2:
-            self.below[i] = Node(self.depth + 1, entries)
+            # The node is for this id alone; what lies beside it in the range keeps containers.
+            own, end = ids[0], self.firsts[i + 1] if i + 1 < len(self.firsts) else 1 << BITS
+            parts = [(self.firsts[i], {})] * (own > self.firsts[i]) + [(own, Node(self.depth + 1, entries))] + [(own + 1, {})] * (own + 1 < end)
+            self.firsts[i:i + 1] = [f for f, _ in parts]
+            self.below[i:i + 1] = [c for _, c in parts]
 
     def size(self) -> int:
         return sum(c.size() if isinstance(c, Node) else len(c) for c in self.below)
@@ -95,36 +100,68 @@ class Node:
             yield from child.items()
 
 
+class WordIds(dict):
+    """Numbers of words in the order they are met, with their XXH64; 0 and 1 are no words: nothing, and the end of a piece."""
+
+    def __init__(self):
+        super().__init__({b"": 0, b"\n": 1})
+        self.names, self.hashes, self.hashed = [b"", b"\n"], np.zeros(2, np.uint64), 2
+
+    def __missing__(self, word: bytes) -> int:
+        n = self[word] = len(self.names)
+        self.names.append(word)
+        return n
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+
+    def hash_of(self, ids: np.ndarray) -> np.ndarray:
+        if self.hashed < len(self.names):
+            new = self.names[self.hashed:]
+            self.hashes = np.concatenate([self.hashes, np.fromiter(map(xxhash.xxh64_intdigest, new), np.uint64, len(new))])
+            self.hashed = len(self.names)
+        return self.hashes[ids]
+
+
 class Trie:
-    """Phrase counts of one task: a word-id trie per language, with the words behind the ids."""
+    """Phrase counts of one task: a word-id trie per language, and how often each word occurs at its root."""
 
     def __init__(self):
-        self.ids: dict[bytes, int] = {b"": 0, b"\n": 1}
-        self.names: list[bytes] = [b"", b"\n"]
+        self.ids = WordIds()
+        self.words: dict[str, np.ndarray] = {}
         self.roots: dict[str, Node] = {}
         self.entries = 0
 
-    def numbers(self, words: list[bytes]) -> np.ndarray:
-        ids, names = self.ids, self.names
-        for w in set(words) - ids.keys():
-            ids[w] = len(names)
-            names.append(w)
-        return np.fromiter(map(ids.__getitem__, words), np.int64, len(words))
+    def add_words(self, lang: str, ids: np.ndarray) -> None:
+        counts = np.bincount(ids)
+        old = self.words.get(lang, np.empty(0, np.int64))
+        if len(old) > len(counts):
+            old[:len(counts)] += counts
+        else:
+            counts[:len(old)] += old
+            self.words[lang] = counts
 
     def add(self, lang: str, keys: np.ndarray) -> None:
         keys, counts = np.unique(keys, return_counts=True)
         if len(keys):
             self.entries += self.roots.setdefault(lang, Node(0)).add(keys, counts)
 
-    def run(self, lang: str, subtree) -> pa.RecordBatch:
-        """A subtree as a run sorted by phrase."""
-        names, mask = self.names, (1 << BITS) - 1
-        phrases = [b" ".join(filter(None, (names[key >> 2 * BITS], names[key >> BITS & mask], names[key & mask]))) for key, _ in subtree.items()]
-        out = batch_of(RUN, [lang] * len(phrases), [p.decode("utf-8", "replace") for p in phrases], pa.array([n for _, n in subtree.items()], pa.int64()))
-        return out.take(pc.sort_indices(out.column("phrase")))
+    def run(self, lang: str, subtree, names: pa.Array) -> pa.RecordBatch:
+        """A subtree as a run sorted by the words' ids, so that phrases with one beginning stand together."""
+        n = subtree.size() if isinstance(subtree, Node) else len(subtree)
+        keys = np.fromiter((k for k, _ in subtree.items()), np.int64, n)
+        counts = np.fromiter((v for _, v in subtree.items()), np.int64, n)
+        order = np.argsort(keys)
+        keys = keys[order]
+        parts = [names.take(pa.array(keys >> BITS * (2 - i) & ((1 << BITS) - 1))) for i in range(3 if n and keys[0] & ((1 << BITS) - 1) else 2)]
+        return batch_of(RUN, pa.array([lang]).take(pa.array(np.zeros(n, np.int64))), pc.binary_join_element_wise(*parts, " "), counts[order])
+
+    def name_array(self) -> pa.Array:
+        return pa.array([w.decode("utf-8", "replace") for w in self.ids.names])
 
     def spilled(self, keep: int) -> Iterator[pa.RecordBatch]:
         """The largest subtrees of all roots leave until at most ``keep`` entries stay."""
+        names = self.name_array()
         found = sorted(((c.size() if isinstance(c, Node) else len(c), lang, node.firsts[i]) for lang, node in self.roots.items()
                         for i, c in enumerate(node.below)), reverse=True)
         for size, lang, first in found:
@@ -133,12 +170,16 @@ class Trie:
             node = self.roots[lang]
             i = node.firsts.index(first)
             if size:
-                yield self.run(lang, node.below[i])
+                yield self.run(lang, node.below[i], names)
             node.below[i] = {}
             self.entries -= size
 
     def all(self) -> Iterator[pa.RecordBatch]:
         yield from self.spilled(0)
+        names = self.name_array()
+        for lang, counts in self.words.items():
+            at = np.flatnonzero(counts)
+            yield batch_of(RUN, pa.array([lang]).take(pa.array(np.zeros(len(at), np.int64))), names.take(pa.array(at)), counts[at])
         self.__init__()
 
 
@@ -147,7 +188,7 @@ class Trie:
 
 def by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes]]]:
     """(language, words of many texts); a line feed stands where a piece ends, and empty words are left in."""
-    for batch, texts in slices(batches, "text"):
+    for batch, texts in slices(batches, "text", SLICE):
         groups = {}
         for lang, text in zip(batch.column("lang").to_pylist(), texts):
             groups.setdefault(lang, []).append(text)
@@ -155,14 +196,14 @@ def by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[b
             yield lang, b"\n".join(own).lower().translate(MARKS).replace(b"\n", b" \n ").split(b" ")
 
 
-def blocks(trie: Trie, words: list[bytes]) -> Iterator[tuple[np.ndarray | None, list[bytes], int]]:
-    """(ids, words, phrases that start here) of words taken some at a time, with the two words after them; None: spill first."""
+def blocks(trie: Trie, words: list[bytes]) -> Iterator[tuple[np.ndarray | None, int]]:
+    """(ids, phrases that start here) of words taken some at a time, with the two words after them; None: spill first."""
     words = list(filter(None, words))
     for begin in range(0, len(words), BLOCK):
         part = words[begin:begin + BLOCK + 2]
-        if len(trie.names) + len(part) > MAX_WORDS:
-            yield None, part, 0
-        yield trie.numbers(part), part, min(BLOCK, len(words) - begin)
+        if len(trie.ids.names) + len(part) > MAX_WORDS:
+            yield None, 0
+        yield trie.ids.of(part), min(BLOCK, len(words) - begin)
 
 
 def words_and_pairs(docs: DataFrame) -> DataFrame:
@@ -170,16 +211,16 @@ def words_and_pairs(docs: DataFrame) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie, totals = Trie(), {}
         for lang, words in by_language(batches):
-            for ids, _, n in blocks(trie, words):
+            for ids, n in blocks(trie, words):
                 if ids is None:
                     yield from trie.all()
                     continue
-                word = ids > 1
-                totals[lang] = totals.get(lang, 0) + int(word[:n].sum())
-                after = np.append(ids[1:], 1)[:n]
-                first = ids[:n] << 2 * BITS
-                trie.add(lang, first[word[:n]])
-                trie.add(lang, (first + (after << BITS))[word[:n] & (after > 1)])
+                first, after = ids[:n], np.append(ids[1:], 1)[:n]
+                word = first > 1
+                totals[lang] = totals.get(lang, 0) + int(word.sum())
+                trie.add_words(lang, first[word])
+                word &= after > 1
+                trie.add(lang, (first[word] << 2 * BITS) + (after[word] << BITS))
                 if trie.entries > MAX_ENTRIES:
                     yield from trie.spilled(MAX_ENTRIES // 2)
         yield from trie.all()
@@ -194,15 +235,16 @@ def triples(docs: DataFrame, bits: int, filtered: np.ndarray) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(filtered)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie, hashes, bitmap = Trie(), WordHashes(), shared.value
+        trie, bitmap = Trie(), shared.value
         for lang, words in by_language(batches):
-            for ids, part, n in blocks(trie, words):
+            for ids, n in blocks(trie, words):
                 if ids is None:
                     yield from trie.all()
                     continue
-                keys = pair_keys(lang, hashes.of(part[:-1]), hashes.of(part[1:]))
                 pair = (ids[:-1] > 1) & (ids[1:] > 1)
-                pair[pair] = in_filter(keys[pair], bits, bitmap)
+                at = np.flatnonzero(pair)
+                hashes = trie.ids.hash_of(ids)
+                pair[at] = in_filter(pair_keys(lang, hashes[at], hashes[at + 1]), bits, bitmap)
                 at = np.flatnonzero(pair[:-1] & pair[1:])
                 at = at[at < n]
                 trie.add(lang, (ids[at] << 2 * BITS) + (ids[at + 1] << BITS) + ids[at + 2])
