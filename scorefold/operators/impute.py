@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from scorefold.functions import kernels as K
@@ -90,9 +90,12 @@ def column_medians(
     ``ranks.values_at_ranks`` keeps.  ``accuracy`` is accepted for older callers
     and has no effect: the ranks are exact.
     """
-    slim = kept(df.select(*[_present(c).alias(c) for c in columns]), "median_columns")
-    totals = slim.agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(columns)]).first()
-    wanted = {c: [(totals[i] - 1) // 2, totals[i] // 2] for i, c in enumerate(columns) if totals[i]}
+    # The job that writes the columns once counts their values as well.
+    counted = Observation()
+    slim = df.select(*[_present(c).alias(c) for c in columns])
+    slim = kept(slim.observe(counted, *[F.count(K.quoted(c)).alias(f"n{i}") for i, c in enumerate(columns)]), "median_columns")
+    totals = counted.get
+    wanted = {c: [(n - 1) // 2, n // 2] for c, n in ((c, totals[f"n{i}"]) for i, c in enumerate(columns)) if n}
     found = ranks.values_at_ranks(slim, wanted, int(math.log2(max_values)))
     return {c: (found[c, low] + found[c, high]) / 2 for c, (low, high) in wanted.items()}
 

@@ -76,12 +76,12 @@ def values_at_ranks(df: DataFrame, wanted: Mapping[str, Sequence[int]], bits: in
         ranks = {}
         for (c, _), (p, r) in state.items():
             ranks.setdefault((c, p), set()).add(r)
-        asked = df.sparkSession.createDataFrame([(c, str(p), sorted(r)) for (c, p), r in ranks.items()], "name string, prefix string, ranks array<bigint>")
+        asked = F.create_map(*[x for (c, p), r in ranks.items() for x in (F.lit(f"{p} {c}"), F.array(*map(F.lit, sorted(r))))])
         # From the first digit on: the digits and values before a rank.
         step = ("aggregate(digits, named_struct('at', -1, 'before', 0L, 'sum', 0L), (s, d) -> if(s.at >= 0, s, if(s.sum + d.n > r, "
                 "named_struct('at', d.digit, 'before', s.sum, 'sum', s.sum + d.n), named_struct('at', -1, 'before', 0L, 'sum', s.sum + d.n))))")
-        picked = digits.join(F.broadcast(asked.withColumn("prefix", F.col("prefix").cast("decimal(20,0)"))), ["name", "prefix"]).selectExpr(
-            "name", "prefix", f"inline(transform(ranks, r -> named_struct('rank', r, 'found', {step})))")
+        picked = digits.withColumn("ranks", asked[F.concat_ws(" ", F.col("prefix").cast("string"), "name")]).selectExpr(
+            "name", "prefix", f"inline(transform(ranks, r -> named_struct('rank', CAST(r AS BIGINT), 'found', {step})))")
         found = {(x["name"], int(x["prefix"]), x["rank"]): (x["found"]["at"], x["found"]["before"]) for x in picked.collect()}
         state = {k: ((p << width) | found[k[0], p, r][0], r - found[k[0], p, r][1]) for k, (p, r) in state.items()}
         done += width
