@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scorefold.llm.components import written
@@ -267,8 +267,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, text: str, max_texts: in
     return taken, written(some.select(F.col("t").cast("binary").alias("text"), "y", "fold"), "toxicity_sample")
 
 
-def gathered_counts(sample: DataFrame) -> Counts:
-    """``pair_counts`` of (text, y, fold), added up in tasks and by key; as many rows as pairs, classes and folds come to the driver."""
+def counted_pairs(sample: DataFrame) -> DataFrame:
+    """(pairs, before, words, fold, y, n, texts) of (text, y, fold): counted in tasks, added up by key and written."""
     names = ["pairs", "before", "words", "groups", "n", "texts"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -277,12 +277,58 @@ def gathered_counts(sample: DataFrame) -> Counts:
             c = pair_counts(coded(hashes, texts), 2 * batch.column("fold").to_numpy() + batch.column("y").to_numpy())
             yield batch_of(names, c.pairs.view(np.int64), c.before.view(np.int64), c.words.view(np.int64), c.groups, c.n, c.texts)
 
-    rows = sample.mapInArrow(work, "pairs long, before long, words long, groups tinyint, n long, texts long").groupBy(
-        "pairs", "before", "words", "groups").agg(F.sum("n").cast("int").alias("n"), F.sum("texts").cast("int").alias("texts")).toArrow()
-    columns = [rows[k].to_numpy() for k in names]
+    rows = sample.mapInArrow(work, "pairs long, before long, words long, groups tinyint, n long, texts long")
+    return written(rows.groupBy("pairs", "before", "words", F.shiftright(F.col("groups").cast("int"), 1).alias("fold"), (F.col("groups") % 2).cast("int").alias("y")).agg(
+        F.sum("n").alias("n"), F.sum("texts").alias("texts")), "toxicity_pairs")
+
+
+def gathered_counts(sample: DataFrame) -> Counts:
+    """``counted_pairs`` of a small sample, on the driver."""
+    rows = counted_pairs(sample).withColumn("groups", (2 * F.col("fold") + F.col("y")).cast("tinyint")).toArrow()
+    columns = [rows[k].to_numpy() for k in ("pairs", "before", "words", "groups", "n", "texts")]
     return in_order(Counts(*(x.view(np.uint64) for x in columns[:3]), *columns[3:]))
 
 
+def by_class(column: str) -> list[Column]:
+    return [F.sum(F.when(F.col("y") == k, F.col(column)).otherwise(0)).alias(f"{column}{k}") for k in (0, 1)]
+
+
+def model_from(counts: DataFrame, without: int = -1) -> Model:
+    """The model of ``model_of``, selected in Spark: the driver gathers the words, the contexts and the pairs that the model keeps."""
+    pairs = written(counts.where(F.col("fold") != without).groupBy("pairs", "before", "words").agg(*by_class("n"), *by_class("texts")), "class_pairs")
+    columns = lambda df, *names: [df[k].to_numpy() for k in names]
+    word_rows = pairs.groupBy("words").agg(F.count("*").alias("follows"), F.sum("texts0").alias("f0"), F.sum("texts1").alias("f1"))
+    word_rows = written(word_rows, "class_words")
+    words, follows, f0, f1 = columns(word_rows.toArrow(), "words", "follows", "f0", "f1")
+    order = np.argsort(words.view(np.uint64))
+    words, follows, follow = words.view(np.uint64)[order], follows[order].astype(float), np.stack([f0, f1])[:, order].astype(float)
+    totals = follow.sum(axis=1)
+    usual = totals / max(1.0, totals.sum())
+    common = (follows >= WORD_CUTOFF) | stands_out(follow, usual[:, None])
+
+    number = int(follows.sum())
+    share = [(F.col(f"f{k}") + float(usual[k])) / (F.col("f0") + F.col("f1") + 1.0) for k in (0, 1)]
+    texts = F.col("texts0") + F.col("texts1")
+    gain = sum(F.col(f"texts{k}") * F.log(F.greatest(F.col(f"texts{k}"), F.lit(1)) / F.greatest(texts * share[k], F.lit(1e-12))) for k in (0, 1))
+    frequent = (F.col("n0") + F.col("n1") >= CUTOFF) | (2 * gain > 2 * float(np.log(max(2, number))))
+    kept = columns(pairs.join(word_rows, "words").where(frequent).select("pairs", "before", "n0", "n1").toArrow(), "pairs", "before", "n0", "n1")
+    seen = columns(pairs.groupBy("before").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toArrow(), "before", "n0", "n1")
+
+    bigrams, contexts, lower, free = [], [], [], []
+    for k in (0, 1):
+        own = kept[2 + k] > 0
+        n = kept[2 + k][own].astype(float)
+        bigrams.append(summed(kept[0][own].view(np.uint64), n))
+        some = seen[1 + k] > 0
+        before = summed(seen[0][some].view(np.uint64), seen[1 + k][some].astype(float))
+        given = np.bincount(np.searchsorted(before.keys, kept[1][own].view(np.uint64)), weights=n - DISCOUNT, minlength=len(before.keys))
+        contexts.append((before, Table(before.keys, before.values - given)))
+        some = common & (follow[k] > 0)
+        lower.append(Table(words[some], follow[k][some]))
+        free.append(totals[k] - (lower[k].values - DISCOUNT).sum())
+    return Model(tuple(bigrams), tuple(contexts), tuple(lower), tuple(totals.tolist()), tuple(free), Table(words, follows), follows.sum(), np.zeros(FEATURES + 1))
+
+
 def sample_features(sample: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray]:
     """Features and class of each text of the sample, computed in tasks."""
     shared, names = sample.sparkSession.sparkContext.broadcast(model), [f"x{i}" for i in range(FEATURES)]
@@ -333,7 +379,7 @@ def trained(docs: DataFrame, labels: DataFrame, text: str = "text", max_texts: i
     Calibrated like ``train``, with counts and features from tasks.  Without labelled texts no document is toxic.
     """
     _, sample = labelled_sample(docs, labels, text, max_texts, max_words)
-    counts = gathered_counts(sample)
-    parts = [sample_features(sample.where(F.col("fold") == f), model_of(counts, f)) for f in range(FOLDS)]
+    counts = counted_pairs(sample)
+    parts = [sample_features(sample.where(F.col("fold") == f), model_from(counts, f)) for f in range(FOLDS)]
     x, y = (np.concatenate(part) for part in zip(*parts))
-    return calibrated(model_of(counts), x, y)
+    return calibrated(model_from(counts), x, y)

@@ -109,3 +109,52 @@ def test_an_expression_of_ordinary_words_is_found():
     model = toxicity.train(texts[:450], y[:450].astype(int))
     p = model.scores(WordHashes(), texts[450:])
     assert ((p >= 0.5) == y[450:]).mean() > 0.97
+
+
+def test_the_model_selected_in_tables_equals_that_of_the_driver(spark):
+    rows, y = corpus(300)
+    labels = spark.createDataFrame([(i, int(v)) for (i, _), v in zip(rows, y)], "doc_id long, toxic int")
+    _, sample = toxicity.labelled_sample(frame(spark, rows).repartition(3), labels, "text", 300, 10**6)
+    counts, table = toxicity.gathered_counts(sample), toxicity.counted_pairs(sample)
+    coded = toxicity.coded(WordHashes(), [t.encode() for _, t in rows])
+    for fold in (-1, 1):
+        want, got = toxicity.model_of(counts, fold), toxicity.model_from(table, fold)
+        assert len(want.bigrams[1].keys) == len(got.bigrams[1].keys) and len(want.words[0].keys) == len(got.words[0].keys)
+        for c in (0, 1):
+            args = coded.keys, coded.pairs, coded.before, c
+            assert np.allclose(want.logs(*args), got.logs(*args), rtol=0, atol=1e-9)
+
+
+def test_logs_equal_a_plain_kneser_ney(spark):
+    """Interpolated Kneser-Ney by dictionaries, with the pairs and words that the model keeps."""
+    rows, y = corpus(40, seed=6)
+    hashes, texts = WordHashes(), [t.encode() for _, t in rows]
+    model = toxicity.fitted(toxicity.coded(hashes, texts), y)
+    d, pairs, follows, shared = toxicity.DISCOUNT, ({}, {}), ({}, {}), set()
+    for t, c in zip(texts, y):
+        w = toxicity.model_words(t)
+        own = list(zip([None, *w], w))
+        for p in own:
+            pairs[c][p] = pairs[c].get(p, 0) + 1
+            shared.add(p)
+        for p in set(own):
+            follows[c][p[1]] = follows[c].get(p[1], 0) + 1
+    continuation = {}
+    for _, w in shared:
+        continuation[w] = continuation.get(w, 0) + 1
+    key = lambda w: hashes.of([w])[0] if w is not None else np.uint64(0)
+    kept_pair = lambda p, c: toxicity.mixed(np.array([key(p[0])]), np.array([key(p[1])]))[0] in model.bigrams[c].keys
+    for c in (0, 1):
+        total = sum(follows[c].values())
+        kept_words = {w for w in follows[c] if key(w) in model.words[c].keys}
+        free = total - sum(follows[c][w] - d for w in kept_words)
+        for t in texts[:6]:
+            w = toxicity.model_words(t)
+            for p in zip([None, *w], w):
+                base = (continuation.get(p[1], 0) + 1) / (len(shared) + len(continuation) + 1)
+                low = ((follows[c][p[1]] - d if p[1] in kept_words else 0) + free * base) / total
+                context = {q: n for q, n in pairs[c].items() if q[0] == p[0]}
+                seen, own = sum(context.values()), {q: n - d for q, n in context.items() if kept_pair(q, c)}
+                want = (own.get(p, 0) + (seen - sum(own.values())) * low) / seen if seen else low
+                before, word = np.array([key(p[0])]), np.array([key(p[1])])
+                assert abs(model.logs(word, toxicity.mixed(before, word), before, c)[0] - np.log(want)) < 1e-9
