@@ -49,7 +49,10 @@ class Parent:
 
 
 def subtree(nodes: list[bytes], arity: int, levels: int | None) -> list[tuple[list[bytes], list[Parent]]]:
-    """(nodes, their parents) level by level: ``levels`` of them, or until one node remains."""
+    """(nodes, their parents) level by level: ``levels`` of them, or until one node remains.
+
+    A chunk of a tree that goes on above it is built to a fixed height; the only chunk of a tree to its root.
+    """
     out = []
     while len(nodes) > 1 if levels is None else len(out) < levels:
         parents = [Parent(nodes[i:i + arity]) for i in range(0, len(nodes), arity)]
@@ -62,12 +65,6 @@ def chunk_levels(arity: int) -> int:
     return max(1, sum(arity ** k <= CHUNK for k in range(1, CHUNK.bit_length())))
 
 
-def levels_of(total: int, arity: int) -> int | None:
-    """Levels that a chunk of a tree of ``total`` nodes is built to; the only chunk is built to its root."""
-    levels = chunk_levels(arity)
-    return levels if total > arity ** levels else None
-
-
 def siblings(tree: list[tuple[list[bytes], list[Parent]]], at: int, arity: int):
     """(parent, slot, nodes left of the slot, nodes right of it) on the way up from node ``at``."""
     for nodes, parents in tree:
@@ -117,13 +114,14 @@ def ranked(rows: DataFrame, order: list[str], name: str) -> DataFrame:
 
 def higher(nodes: DataFrame, arity: int, name: str) -> DataFrame:
     """The nodes a chunk's height up, or the root of a tree that ends before; a root stays."""
-    size = arity ** chunk_levels(arity)
+    levels = chunk_levels(arity)
+    size = arity ** levels
 
     def build(table: pa.Table) -> pa.Table:
         table = table.sort_by("rank")
         total = table["total"][0].as_py()
         own = [d.encode() for d in table["digest"].to_pylist()]
-        tree = subtree(own, arity, levels_of(total, arity))
+        tree = subtree(own, arity, levels if total > size else None)
         top = tree[-1][1][0].digest if tree else own[0]
         return pa.table({"key": table["key"][:1], "rank": [table["rank"][0].as_py() // size],
                          "total": [-(-total // size)], "digest": [top.decode()]})
@@ -142,11 +140,12 @@ def tiers(nodes: DataFrame, arity: int, name: str) -> list[DataFrame]:
 
 def lower(nodes: DataFrame, above: DataFrame, arity: int, name: str) -> DataFrame:
     """Each node with its path to the very root: the siblings inside its chunk, then the chunk's own path."""
-    size = arity ** chunk_levels(arity)
+    levels = chunk_levels(arity)
+    size = arity ** levels
 
     def paths(own: pa.Table, up: pa.Table) -> pa.Table:
         own = own.sort_by("rank")
-        tree = subtree([d.encode() for d in own["digest"].to_pylist()], arity, levels_of(own["total"][0].as_py(), arity))
+        tree = subtree([d.encode() for d in own["digest"].to_pylist()], arity, levels if own["total"][0].as_py() > size else None)
         rest = up["path"].to_pylist()[0]
         path = [[*({"left": b"".join(left), "right": b"".join(right)} for _, _, left, right in siblings(tree, i, arity)), *rest]
                 for i in range(len(own))]
@@ -165,12 +164,13 @@ def cogrouped(nodes: DataFrame, above: DataFrame, size: int):
 
 def folded(leaves: DataFrame, above: DataFrame, arity: int) -> DataFrame:
     """Per leaf: (doc_id, leaf, subroot, root, proof_sha256, folded_root, verified)."""
-    size = arity ** chunk_levels(arity)
+    levels = chunk_levels(arity)
+    size = arity ** levels
 
     def fold(own: pa.Table, up: pa.Table) -> pa.Table:
         own = own.sort_by("rank")
         leaf = own["digest"].to_pylist()
-        tree = subtree([d.encode() for d in leaf], arity, levels_of(own["total"][0].as_py(), arity))
+        tree = subtree([d.encode() for d in leaf], arity, levels if own["total"][0].as_py() > size else None)
         above_path, root, subroot = up["path"].to_pylist()[0], up["root"][0].as_py(), up["subroot"][0].as_py()
         # The parents above this chunk: their states before the chunk's slot, resumed by every leaf of the chunk.
         resumed = [(sha256(p["left"]), p["right"]) for p in above_path]
