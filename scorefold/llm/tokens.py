@@ -10,8 +10,9 @@ from functools import lru_cache
 
 import numpy as np
 
-#: A worker remembers twice as many words at most, those of late and those before.
-REMEMBERED = 300_000
+#: Words that a worker remembers as they are written, and twice as many lower-case forms without marks: those of late and those before.
+REMEMBERED_WORDS = 250_000
+REMEMBERED = 400_000
 #: ASCII marks that end a word and form one unit of the letters-digits-others pattern.
 MARKS = b".,!#%&*$|"
 OTHERS = r"[^\s\p{L}\p{N}]+"
@@ -77,8 +78,9 @@ class WordEncoder(TextEncoder):
 
     def __init__(self, path: str):
         super().__init__(path)
-        #: Words of late, and those before them; what is in neither is encoded anew.
+        #: Ids of words, put together from forms; forms of late, and those before them.  What is in neither is encoded anew.
         self.known: dict[bytes, bytes] = {}
+        self.forms: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
         one = [m for m in "¬¶§" if len(self.tokenizer.encode(m, add_special_tokens=False).ids) == 1]
         self.mark = one[0] if one else None
@@ -88,14 +90,15 @@ class WordEncoder(TextEncoder):
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         if suffix:
             self.ends[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
+        self.has_ends = bool(self.ends.any())
 
     def line(self, text: str) -> np.ndarray:
         return np.asarray(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
     def encode_words(self, words: list[bytes]) -> dict[bytes, bytes]:
         texts = {w: w.decode("utf-8", "replace") for w in words}
-        letters = [w for w in words if self.ends.any() and texts[w].isalpha()]
-        others = [w for w in words if not (self.ends.any() and texts[w].isalpha())]
+        letters = [w for w in words if texts[w].isalpha()] if self.has_ends else []
+        others = [w for w in words if not texts[w].isalpha()] if self.has_ends else words
         apart = [w for w in others if not self.mark or self.mark in texts[w] or "<|" in texts[w]]
         out = dict(zip(apart, self.plain([texts[w] for w in apart])))
         others = [w for w in others if w not in out]
@@ -118,28 +121,28 @@ class WordEncoder(TextEncoder):
         return out
 
     def learn(self, words: set[bytes]) -> None:
-        if len(self.known) > REMEMBERED:
-            self.known, self.older = {}, self.known
-        known, older = self.known, self.older
-        new = words - known.keys()
-        again = new & older.keys()
-        known.update((w, older[w]) for w in again)
-        split, ask = {}, set()
-        for w in new - again:
+        """A word is its form in lower case and its last marks: far fewer forms than words are given to the library."""
+        if len(self.known) > REMEMBERED_WORDS:
+            self.known = {}
+        if len(self.forms) > REMEMBERED:
+            self.forms, self.older = {}, self.forms
+        forms, older = self.forms, self.older
+        parts = []
+        for w in words - self.known.keys():
             base = w.rstrip(MARKS)
             if base and base[-1:].isalpha() and b"<|" not in w:
-                low = base.lower()  # ASCII letters; the rest is left to the library
-                split[w] = low, w[len(base):]
-                ask.add(low)
-                if len(base) < len(w):
-                    ask.add(w[len(base):])
+                parts.append((w, base.lower(), w[len(base):]))  # ASCII letters; the rest is left to the library
             else:
-                ask.add(w)
-        ask -= known.keys()
+                parts.append((w, w, b""))
+        ask = {p[1] for p in parts}
+        ask.update(p[2] for p in parts)
+        ask.discard(b"")
+        ask -= forms.keys()
         again = ask & older.keys()
-        known.update((w, older[w]) for w in again)
-        known.update(self.encode_words(list(ask - again)))
-        known.update({w: known[a] + (known[b] if b else b"") for w, (a, b) in split.items()})
+        forms.update((w, older[w]) for w in again)
+        forms.update(self.encode_words(list(ask - again)))
+        forms[b""] = b""
+        self.known.update([(w, forms[a] + forms[b]) for w, a, b in parts])
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         split = [t.split() for t in texts]
