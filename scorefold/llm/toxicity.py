@@ -25,6 +25,8 @@ WORD_CUTOFF = 8
 #: A log ratio that chance alone rarely gives a word; features of a text.
 STRONG = 2.0
 FEATURES = 3
+#: Rows whose texts are filtered at once.
+ROWS = 500
 #: Marks cut from the ends of words before lower-casing A-Z; a word of marks alone stays.
 EDGES = b".,;:!?\"'()[]{}#*$%&|<>"
 
@@ -365,10 +367,12 @@ def without_toxic(docs: DataFrame, model: Model, threshold: float = 0.5, text: s
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for batch in batches:
-            plain = pa.array([(t or "").encode() for t in batch.column(text).to_pylist()], pa.binary())
-            scores = [shared.value.scores(hashes, texts) for _, texts in slices(iter([batch_of(["text"], plain)]), "text")]
-            yield batch.filter(pa.array(np.concatenate([*scores, np.empty(0)]) < threshold))
+        for whole in batches:
+            for i in range(0, whole.num_rows, ROWS):  # some rows at a time: one copy of their texts
+                batch = whole.slice(i, ROWS)
+                plain = batch.column(text).cast(pa.binary()).fill_null(b"")
+                scores = [shared.value.scores(hashes, texts) for _, texts in slices(iter([batch_of(["text"], plain)]), "text")]
+                yield batch.filter(pa.array(np.concatenate([*scores, np.empty(0)]) < threshold))
 
     return docs.mapInArrow(work, docs.schema)
 
