@@ -11,8 +11,8 @@ from functools import lru_cache
 import numpy as np
 
 #: Words that a worker remembers as they are written, and twice as many lower-case forms without marks: those of late and those before.
-REMEMBERED_WORDS = 250_000
-REMEMBERED = 400_000
+REMEMBERED_WORDS = 150_000
+REMEMBERED = 250_000
 #: ASCII marks that end a word and form one unit of the letters-digits-others pattern.
 MARKS = b".,!#%&*$|"
 OTHERS = r"[^\s\p{L}\p{N}]+"
