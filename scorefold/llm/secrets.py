@@ -15,15 +15,18 @@ from pyspark.sql import functions as F
 
 from scorefold.llm.components import written
 
-#: Sixteen or more characters of keys, hashes and base64, with a digit among them.
-CHARACTERS = r"A-Za-z0-9+/=_\-"
-CANDIDATE = rf"(?<![{CHARACTERS}])(?=[A-Za-z+/=_\-]*+[0-9])[{CHARACTERS}]{{16,}}+"
-BEFORE, AFTER = 48, 32
-
 #: Words that name a secret, and words of examples.
 SECRET_WORDS = r"(secret|token|passw|pwd|api.?key|access.?key|auth|bearer|credential|private)"
 EXAMPLE_WORDS = r"(example|sample|dummy|test|placeholder|fake|changeme|your)"
 
+#: Sixteen or more characters of keys, hashes and base64, with a digit among them.
+CHARACTERS = r"A-Za-z0-9+/=_\-"
+KEY = rf"(?<![{CHARACTERS}])(?=[A-Za-z+/=_\-]*+[0-9])[{CHARACTERS}]{{16,}}+"
+#: Six or more characters of any kind, in quotes, that a name of a secret is given.
+NAMED = rf"(?<=['\"])(?<=(?i:{SECRET_WORDS[1:-1]})[\w.\-]{{0,16}}\s{{0,2}}[=:]\s{{0,2}}['\"])[^\s'\"]{{6,128}}(?=['\"])"
+CANDIDATE = f"{NAMED}|{KEY}"
+BEFORE, AFTER = 48, 32
+
 #: Labelled findings that the forest is fitted on at most, by a hash of the finding.
 MAX_FINDINGS = 20_000
 #: Frequent words of letters that make up the dictionary.
@@ -36,24 +39,25 @@ FEATURES = [
 
 
 def candidates(docs: DataFrame, text: str = "text", path: str = "source") -> DataFrame:
-    """(doc_id, start, value, before, after, path): every candidate of every whole text, with its neighbours.
+    """(doc_id, th, start, value, before, after, path): every candidate of every whole text, with its neighbours.
 
-    ``start`` counts characters from 0; a finding comes once, however often its row.
+    ``th`` is a hash of the text, which tells texts without an id apart; ``start``
+    counts characters from 0; a finding comes once, however often its row.
     NULL and empty texts and texts without a candidate give no rows.
     """
     place = F.coalesce(F.col(path).cast("string"), F.lit("")) if path in docs.columns else F.lit("")
     found = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"), place.alias("path"))
         .where(F.col("text").rlike(CANDIDATE))
-        .select("doc_id", "path", F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)).alias("values"), F.split("text", CANDIDATE, -1).alias("between")))
+        .select("doc_id", F.xxhash64("text").alias("th"), "path", F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)).alias("values"), F.split("text", CANDIDATE, -1).alias("between")))
     # Lengths before each candidate, summed up once per text.
     steps = F.expr("""aggregate(values, named_struct('at', CAST(0 AS BIGINT), 'i', 0, 'out', CAST(array() AS array<bigint>)),
         (s, v) -> named_struct('at', s.at + length(between[s.i]) + length(v), 'i', s.i + 1, 'out', array_append(s.out, s.at + length(between[s.i]))), s -> s.out)""")
     rows = F.expr(f"""transform(values, (v, i) -> named_struct('value', v, 'start', starts[i],
         'before', right(between[i], {BEFORE}), 'after', left(between[i + 1], {AFTER})))""")
     return (
-        found.withColumn("starts", steps).select("doc_id", "path", F.explode_outer(rows).alias("c"))
-        .select("doc_id", "c.start", "c.value", "c.before", "c.after", "path").where("value IS NOT NULL").distinct())
+        found.withColumn("starts", steps).select("doc_id", "th", "path", F.explode_outer(rows).alias("c"))
+        .select("doc_id", "th", "c.start", "c.value", "c.before", "c.after", "path").where("value IS NOT NULL").distinct())
 
 
 def dictionary(docs: DataFrame, text: str = "text", words: int = DICTIONARY_WORDS) -> list[str]:
@@ -154,10 +158,10 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, text: str = "text",
 
 def redacted(docs: DataFrame, text: str = "text", path: str = "source", mark: str = "[SECRET]") -> DataFrame:
     """The documents, with all columns, in which found secrets are replaced by ``mark``; no document goes."""
-    hits = written(scan(docs, None, text, path).where("is_secret").groupBy(F.col("doc_id").alias("hit_id")).agg(
+    hits = written(scan(docs, None, text, path).where("is_secret").groupBy(F.col("doc_id").alias("hit_id"), F.col("th").alias("hit_th")).agg(
         F.collect_set("value").alias("hit_values")), "secrets")
     # Longer values first, so that one inside another leaves no rest.
     clean = F.aggregate(F.array_sort("hit_values", lambda a, b: F.length(b) - F.length(a)), F.col("hit_text"),
                         lambda t, v: F.replace(t, v, F.lit(mark)))
-    joined = docs.withColumn("hit_text", F.col(text)).join(hits, docs["doc_id"].cast("long").eqNullSafe(F.col("hit_id")), "left")
+    joined = docs.withColumn("hit_text", F.col(text)).join(hits, docs["doc_id"].cast("long").eqNullSafe(F.col("hit_id")) & (F.xxhash64(F.col("hit_text")) == F.col("hit_th")), "left")
     return joined.withColumn(text, F.when(F.col("hit_values").isNull(), F.col("hit_text")).otherwise(clean)).select(*docs.columns)

@@ -118,6 +118,23 @@ def test_forest_removes_false_findings(spark):
     assert sum(again[i] == (i % 4 == 2) for i, _ in rows[100:]) >= 90
 
 
+def test_short_and_digit_free_values_of_named_secrets_are_candidates(spark):
+    values = ["hunter2!x", "correct-horse", "Ünïcode#pw", "abcdefghijklmnopqrstuvwx"]
+    rows = [(i, f'text password = "{v}" and api_key: \'{v}\' but "{v}" alone, pwd="abc"') for i, v in enumerate(values)]
+    got = sorted((r["doc_id"], r["value"]) for r in secrets.candidates(frame(spark, rows)).collect())
+    assert got == sorted((i, v) for i, v in enumerate(values) for _ in range(2))
+    more = findings() + [(1000 + i, f'login password = "{v}" now') for i, v in enumerate(values)]
+    clean = {r["doc_id"]: r["text"] for r in secrets.redacted(frame(spark, more)).where("doc_id >= 1000").collect()}
+    assert all(t == 'login password = "[SECRET]" now' for t in clean.values()) and len(clean) == 4
+
+
+def test_texts_without_an_id_are_redacted_by_their_own_findings(spark):
+    a, b = "ab12" * 8, "cd34" * 8
+    docs = frame(spark, findings(40) + [(None, f'token = "{a}" {b}'), (None, f'token = "{b}"')])
+    got = sorted(r["text"] for r in secrets.redacted(docs).where("doc_id IS NULL").collect())
+    assert got == ['token = "[SECRET]"', f'token = "[SECRET]" {b}']
+
+
 def test_the_dictionary_counts_all_texts(spark):
     ids = [r["id"] for r in spark.range(2_100).orderBy(F.xxhash64("id")).collect()]
     rows = [(i, "alpha beta") for i in ids[:2_000]] + [(i, "Omega " * 100) for i in ids[2_000:]] + [(None, "delta " * 5_000), (1, None)]
