@@ -79,16 +79,18 @@ def find_leaks(docs: DataFrame, items: DataFrame, text: str = "text", similarity
     behind it).  A window that begins elsewhere can be moved there one shingle at
     a time without losing more shared shingles than it gains; where a shared
     shingle is repeated in the document, so that this doesn't hold, windows begin
-    at all shared shingles.  SimHash fingerprints of windows and items meet in
-    ``radius + 1`` blocks; candidates within the radius are kept if the weighted
+    at all shared shingles.  SimHash fingerprints of windows and of the items they
+    share a shingle with meet in ``radius + 1`` blocks, so a window never meets
+    items it has nothing in common with; candidates within the radius are kept if the weighted
     Jaccard similarity of the five-word shingles is ``similarity`` or more.  Ties
     go to the first start.
 
     NULL and empty texts hold nothing.  Equal rows give one result; rows of one
     id with different texts are told apart by ``th``, a hash of the text.
     """
-    item = item_table(items, text)
-    shingles = item.select("item_id", "n_words", F.explode("item_shingles").alias("h")).distinct()
+    # Written once: splits and fingerprints of the items are read again by both joins.
+    item = written(item_table(items, text), "items")
+    shingles = item.select("item_id", "n_words", F.explode_outer("item_shingles").alias("h")).distinct()
     few = shingles.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     small = F.broadcast if few else (lambda df: df)
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
@@ -99,8 +101,8 @@ def find_leaks(docs: DataFrame, items: DataFrame, text: str = "text", similarity
     runs = hits.groupBy("doc_id", "th", "item_id", "n_words").agg(
         F.sort_array(F.collect_list("p")).alias("ps"), (F.countDistinct("h") == F.count("h")).alias("single"))
     begins = F.filter("ps", lambda p, i: ~F.col("single") | (i == 0) | (F.element_at("ps", F.greatest(i, F.lit(1))) != p - 1))
-    found = written(runs.select("doc_id", "th", "n_words", F.explode(begins).alias("p")).groupBy(
-        F.col("doc_id").alias("id"), F.col("th").alias("t")).agg(F.collect_set(F.struct("n_words", "p")).alias("begins")), "leak_begins")
+    found = written(runs.select("doc_id", "th", "item_id", "n_words", F.explode(begins).alias("p")).groupBy(
+        F.col("doc_id").alias("id"), F.col("th").alias("t")).agg(F.collect_set(F.struct("item_id", "n_words", "p")).alias("begins")), "leak_begins")
     # The few documents with a shared shingle are read again; nothing of the others is shuffled but their text.
     again = keyed.join(found, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("th") == F.col("t"))).drop("id", "t")
     windows = (
@@ -109,14 +111,14 @@ def find_leaks(docs: DataFrame, items: DataFrame, text: str = "text", similarity
     span = F.greatest(F.lit(1), F.col("x.n_words") - (SHINGLE - 1))
     last = F.greatest(F.lit(0), F.size("s") - span)
     windows = (
-        windows.select("doc_id", "th", F.col("x.n_words").alias("n_words"), F.least(F.col("x.p"), last).alias("start"), span.alias("span"), "s")
-        .select("doc_id", "th", "n_words", "start", F.slice("s", F.col("start") + 1, F.col("span")).alias("window"))
-        .dropDuplicates(["doc_id", "th", "n_words", "start"])
+        windows.select("doc_id", "th", "x.item_id", F.col("x.n_words").alias("n_words"), F.least(F.col("x.p"), last).alias("start"), span.alias("span"), "s")
+        .select("doc_id", "th", "item_id", "n_words", "start", F.slice("s", F.col("start") + 1, F.col("span")).alias("window"))
+        .dropDuplicates(["doc_id", "th", "item_id", "start"])
         .withColumn("fp", fingerprint("window")))
     left = windows.select("*", blocks("fp", radius))
-    right = item.select("*", blocks("item_fp", radius))
+    right = item.drop("n_words").select("*", blocks("item_fp", radius))
     close = (
-        left.join(right, ["n_words", "block", "bits"])
+        left.join(right, ["item_id", "block", "bits"])
         .where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= radius)
         .dropDuplicates(["doc_id", "th", "start", "item_id"])
         .withColumn("similarity", weighted_similarity("window", "item_shingles")).where(F.col("similarity") >= similarity))
