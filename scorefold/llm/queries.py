@@ -11,7 +11,7 @@ from scorefold.llm import (
     attention_lm, collocations, decontaminate, manifest, packing, pii, revisits, rule_ledger, secrets, simhash, substrings, token_counts,
     toxicity,
 )
-from scorefold.session import scratch_path
+from scorefold.session import shared_root
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -39,8 +39,9 @@ def op1_packing(spark, sf_dir):
 
 @query
 def op2_token_counts(spark, sf_dir):
+    # A place of its own, so that a later run finds what this one counted.
     counts = token_counts.token_counts(
-        table(spark, sf_dir, "documents"), scratch_path(spark, "token_cache"), tokenizer_file("word_bpe_49k.json"))
+        table(spark, sf_dir, "documents"), f"{shared_root(spark)}/token_cache", tokenizer_file("word_bpe_49k.json"))
     return counts.withColumn("over_limit", F.col("n_tokens") > 2048)
 
 
