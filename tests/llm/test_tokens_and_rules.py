@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from scorefold.llm import packing, rule_ledger, token_counts
+from scorefold.llm import packing, rule_ledger, token_counts, tokens
 from scorefold.llm.tokens import encoder
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -32,6 +32,28 @@ def test_word_ids_equal_the_library(text):
     assert np.frombuffer(encoder(WORDS).encode([text.encode()])[0], "<u4").tolist() == plain_ids(text)
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=st.sampled_from("aJHT'é.,|<\u030c\u0331\u0301ÉßİſΣͅѐ \n"), max_size=30))
+def test_letters_and_marks_joined_to_them_equal_the_library(text):
+    assert np.frombuffer(encoder(WORDS).encode([text.encode()])[0], "<u4").tolist() == plain_ids(text)
+
+
+def test_a_capital_with_a_mark_that_only_the_small_letter_joins():
+    assert np.frombuffer(encoder(WORDS).encode(["J\u030ca".encode()])[0], "<u4").tolist() == plain_ids("J\u030ca")
+
+
+def test_few_words_are_remembered(monkeypatch):
+    monkeypatch.setattr(tokens, "REMEMBERED", 50)
+    one = tokens.WordEncoder(WORDS)
+    texts = [" ".join(f"{chr(97 + i % 26)}{chr(97 + j % 26)}{'q' * (i // 26)}, Word." for i in range(60)) for j in range(20)]
+    assert [np.frombuffer(x, "<u4").tolist() for x in one.encode([t.encode() for t in texts])] == [plain_ids(t) for t in texts]
+    assert len(one.known) <= 50 and len(one.known.older) <= 50
+    # A word in capitals, or with marks behind it, is not remembered anew.
+    one = tokens.WordEncoder(WORDS)
+    one.encode([b"some Some SOME some, some. Some!"])
+    assert set(one.known) == {b"some", b",", b".", b"!"}
+
+
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "piece_bpe_32k.model"])
 def test_other_tokenizers_equal_the_library(spark, tmp_path, name):
     path = public_tokenizers.path(name)
