@@ -2,7 +2,7 @@
 
 A built-in windowed aggregate drops, without a trace, the part of a row that
 falls into windows which the watermark has closed.  Here a stateful operator
-per ZIP keeps the open windows, and hands on the parts for closed windows as
+over groups of ZIPs keeps the open windows, and hands on the parts for closed windows as
 rows of their own; windows and late parts together are what a batch would count.
 """
 
@@ -22,49 +22,57 @@ from scorefold.session import staged
 from scorefold.streaming.feature_stream import with_event_time
 
 STEP, WIDTH = 900, 3600
+#: Groups that the ZIPs are dealt to; a call per group and micro-batch, whatever the number of ZIPs.
+BUCKETS = 1024
 PARTS = "zip int, ts int, late boolean, fares double, fare_trips long, trips long"
-STATE = "ends array<int>, fares array<double>, fare_trips array<long>, trips array<long>"
+STATE = "zips array<int>, ends array<int>, fares array<double>, fare_trips array<long>, trips array<long>"
+WINDOWS = ["zip", "ts", "fares", "fare_trips", "trips"]
 #: The feature table keeps sums, so that late parts can be added.
 TABLE = "zip int, ts int, yyyy_mm string, fares double, fare_trips long, trips long"
 
 
-def window_parts(seconds: np.ndarray, fares: np.ndarray) -> pd.DataFrame:
-    """(ts, fares, fare_trips, trips) by the ends of the hour-long windows, every quarter, that hold the trips."""
-    first = seconds // STEP * STEP + STEP
-    ends = (first[:, None] + np.arange(0, WIDTH, STEP)).reshape(-1)
-    fares = np.repeat(fares, WIDTH // STEP)
+def window_parts(zips: np.ndarray, seconds: np.ndarray, fares: np.ndarray) -> pd.DataFrame:
+    """(zip, ts, fares, fare_trips, trips) by the ends of the hour-long windows, every quarter, that hold the trips."""
     here = ~np.isnan(fares)
-    rows = pd.DataFrame({"ts": ends, "fares": np.where(here, fares, 0.0), "fare_trips": here.astype(np.int64), "trips": 1})
-    return rows.groupby("ts", as_index=False).sum()
+    rows = pd.DataFrame({"zip": zips, "ts": seconds // STEP * STEP, "fares": np.where(here, fares, 0.0), "fare_trips": here.astype(np.int64), "trips": 1})
+    quarters = rows.groupby(["zip", "ts"], as_index=False).sum()
+    return added([quarters.assign(ts=quarters["ts"] + STEP + later) for later in range(0, WIDTH, STEP)])
+
+
+def added(parts: list[pd.DataFrame]) -> pd.DataFrame:
+    return pd.concat(parts).groupby(["zip", "ts"], as_index=False).sum()
 
 
 def _advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Adds the trips of one ZIP to its open windows; late parts leave as they are, changed windows as they stand."""
+    """Adds the trips of a group of ZIPs to their open windows; late parts leave as they are, changed windows as they stand."""
     closed_until = state.getCurrentWatermarkMs() // 1000
-    new = pd.concat([window_parts(b["seconds"].to_numpy(), b["fare"].to_numpy(dtype=float, na_value=np.nan)) for b in batches])
-    new = new.groupby("ts", as_index=False).sum()
+    new = added([window_parts(b["zip"].to_numpy(), b["seconds"].to_numpy(), b["fare"].to_numpy(dtype=float, na_value=np.nan)) for b in batches])
     late = new["ts"] <= closed_until
     parts = new[late].assign(late=True)
-    old = pd.DataFrame(dict(zip(["ts", "fares", "fare_trips", "trips"], state.get))) if state.exists else new[:0]
-    windows = pd.concat([old, new[~late]]).groupby("ts", as_index=False).sum()
-    changed = windows[windows["ts"].isin(new["ts"])].assign(late=False)
+    old = pd.DataFrame(dict(zip(WINDOWS, state.get))) if state.exists else new[:0]
+    windows = added([old.assign(changes=0), new[~late].assign(changes=1)])
+    changed = windows[windows["changes"] > 0].assign(late=False)
     # A closed window gets nothing any more: the feature table has it.
     kept = windows[windows["ts"] > closed_until]
-    state.update(tuple(kept[c].tolist() for c in ("ts", "fares", "fare_trips", "trips")))
-    yield pd.concat([parts, changed]).assign(zip=key[0])[["zip", "ts", "late", "fares", "fare_trips", "trips"]]
+    state.update(tuple(kept[c].tolist() for c in WINDOWS))
+    yield pd.concat([parts, changed])[["zip", "ts", "late", "fares", "fare_trips", "trips"]]
 
 
 def pickup_parts(
-    df: DataFrame, ts: str = "tpep_pickup_datetime", zip_column: str = "pickup_zip", fare: str = "fare_amount", lateness: str = "1 hour"
+    df: DataFrame, ts: str = "tpep_pickup_datetime", zip_column: str = "pickup_zip", fare: str = "fare_amount", lateness: str = "1 hour",
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """(zip, ts, late, fares, fare_trips, trips) over a stream of trips: open windows whenever they change, and late parts.
 
-    The state of a ZIP is its open windows alone: as many quarters as the
-    lateness and an hour have.  Rows without a time or a ZIP are left out.
+    The state is the open windows alone: per ZIP as many quarters as the
+    lateness and an hour have.  ZIPs are dealt to ``buckets`` groups, which a
+    task handles one at a time; the number belongs to the checkpoint, like the
+    shuffle partitions.  Rows without a time or a ZIP are left out.
     """
     rows = with_event_time(df, ts, lateness).where(F.col(ts).isNotNull() & F.col(zip_column).isNotNull()).select(
         ts, F.col(zip_column).cast("int").alias("zip"), F.unix_seconds(ts).alias("seconds"), F.col(fare).cast("double").alias("fare"))
-    return rows.groupBy("zip").applyInPandasWithState(_advance, PARTS, STATE, "update", GroupStateTimeout.NoTimeout)
+    dealt = rows.withColumn("bucket", F.pmod(F.hash("zip"), F.lit(buckets)))
+    return dealt.groupBy("bucket").applyInPandasWithState(_advance, PARTS, STATE, "update", GroupStateTimeout.NoTimeout)
 
 
 def upsert_with_late_rows(store: FeatureStore, name: str, parts: DataFrame, late_path: str, checkpoint: str) -> StreamingQuery:

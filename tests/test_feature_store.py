@@ -263,3 +263,35 @@ def test_windows_and_late_parts_of_a_stream_equal_the_batch(spark):
     got = {(r["zip"], r["ts"]): (r["mean_fare"], r["trips"]) for r in late_rows.complete_windows(s.table(name), late).collect()}
     batch = fs.pickup_features(trips(spark, [t for f in files for t in f]))
     assert got == {(r["zip"], r["ts"]): (r[fs.PICKUP_COLUMNS[0]], r[fs.PICKUP_COLUMNS[1]]) for r in batch.collect()}
+
+
+def test_zips_of_one_group_keep_their_own_windows():
+    import numpy as np
+    import pandas as pd
+
+    from scorefold.streaming import late_rows
+
+    class State:
+        exists, get, watermark = False, None, 0
+
+        def getCurrentWatermarkMs(self):
+            return self.watermark * 1000
+
+        def update(self, value):
+            self.exists, self.get = True, value
+
+    def advance(rows):
+        batch = pd.DataFrame(rows, columns=["zip", "seconds", "fare"])
+        found = pd.concat(late_rows._advance((0,), iter([batch[:1], batch[1:]]), state))
+        return {(r.zip, r.ts, r.late): (r.fares, r.fare_trips, r.trips) for r in found.itertuples()}
+
+    state = State()
+    ends = [900, 1800, 2700, 3600]
+    first = advance([(1, 5, 2.0), (2, 7, np.nan), (1, 899, 3.0)])
+    assert first == {**{(1, t, False): (5.0, 2, 2) for t in ends}, **{(2, t, False): (0.0, 0, 1) for t in ends}}
+    state.watermark = 1800
+    # Two of the four windows are closed; those of the other ZIP that do not change are not handed on again.
+    second = advance([(1, 6, 1.0), (3, 5000, 4.0)])
+    assert second == {(1, 900, True): (1.0, 1, 1), (1, 1800, True): (1.0, 1, 1), (1, 2700, False): (6.0, 3, 3), (1, 3600, False): (6.0, 3, 3),
+                      **{(3, t, False): (4.0, 1, 1) for t in (5400, 6300, 7200, 8100)}}
+    assert sorted(set(zip(*state.get[:2]))) == [(z, t) for z in (1, 2) for t in (2700, 3600)] + [(3, t) for t in (5400, 6300, 7200, 8100)]
