@@ -7,11 +7,13 @@ over its input; nothing but its small result ever leaves the executors.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scorefold.operators.aggregates import describe
+from scorefold.session import kept
 
 Pairs = Sequence[tuple[str, str]]
 TOLERANCE = 1e-8
@@ -56,6 +58,72 @@ def suffix_pairs(names: Pairs, suffixes: tuple[str, str] = ("_DB", "_R")) -> lis
     return [(a + suffixes[0], b + suffixes[1]) if a == b else (a, b) for a, b in names]
 
 
+# ------------------------------------------------------------- rows that agree
+
+#: Bits a differing key gets in the table that both runs are held against, and bits of the whole table at most (128 MB).
+BITS_PER_KEY, MAX_BITS = 8, 1 << 30
+#: Bits of one bitmap as Spark builds it, and of the parts that a row is held against.
+BITMAP, PART = 1 << 15, 1 << 11
+
+
+def _values(columns: Sequence[str]) -> list[Column]:
+    # Both zeros have one hash.
+    return [F.col(c).cast("double") + F.lit(0.0) for c in columns]
+
+
+def _any_missing(values: Sequence[Column]) -> Column:
+    """NULL in one addend makes the sum NULL, NaN makes it NaN; opposite infinities too, which only costs a comparison."""
+    return missing(sum(values[1:], values[0]))
+
+
+def without_agreeing(current: DataFrame, legacy: DataFrame, key: str | Sequence[str], names: Pairs) -> tuple[DataFrame, DataFrame]:
+    """Both runs without most of the rows that agree in every column and miss no value; no other row is lost.
+
+    For runs with many columns that are to be joined (inner) for what differs:
+    of every row a hash of its key and one of its values are shuffled first, and
+    then only rows of keys with different hashes.  These keys are marked in a
+    bounded table of bits by their hash; a key that shares a bit with another
+    stays, which costs its shuffle and changes nothing.  Keys may repeat; runs
+    whose keys differ in type are left as they are.
+    """
+    key = key_list(key)
+    types = [dict(run.dtypes) for run in (current, legacy)]
+    if any(types[0][k] != types[1][k] or "collate" in types[0][k] for k in key):
+        return current, legacy
+    place = F.xxhash64(*key)
+
+    def hashed(run: DataFrame, columns: Sequence[str]) -> DataFrame:
+        values = _values(columns)
+        known = reduce(Column.__and__, [F.col(k).isNotNull() for k in key])
+        return run.where(known).select(place.alias("place"), F.when(~_any_missing(values), F.xxhash64(*values)).alias("hash"))
+
+    both = hashed(current, [a for a, _ in names]).unionAll(hashed(legacy, [b for _, b in names]))
+    found = both.repartition("place").groupBy("place").agg(F.min("hash").alias("low"), F.max("hash").alias("high"), F.count_if(F.isnull("hash")).alias("missing"))
+    differing = kept(found.where((F.col("missing") > 0) | (F.col("low") != F.col("high"))).select("place"), "differing")
+    bits = BITMAP
+    while bits < min(MAX_BITS, BITS_PER_KEY * differing.count()):
+        bits *= 2
+    bit = F.col("place").bitwiseAND(F.lit(bits - 1))
+    maps = (
+        differing.select(F.shiftright(bit, BITMAP.bit_length() - 1).alias("block"), bit.bitwiseAND(F.lit(BITMAP - 1)).alias("bit"))
+        .repartition("block").groupBy("block").agg(F.bitmap_construct_agg("bit").alias("map"))
+    )
+    i = F.col("i")
+    parts = kept(
+        maps.select("block", "map", F.explode(F.sequence(F.lit(0), F.lit(BITMAP // PART - 1))).alias("i"))
+        .select((F.col("block") * (BITMAP // PART) + i).alias("__part"), F.substring("map", i * (PART // 8) + 1, F.lit(PART // 8)).alias("__map")),
+        "differing_bits")
+
+    def marked(run: DataFrame) -> DataFrame:
+        own = run.withColumn("__bit", place.bitwiseAND(F.lit(bits - 1)))
+        at = F.col("__bit").bitwiseAND(F.lit(PART - 1))
+        byte = F.conv(F.hex(F.substring("__map", F.shiftright(at, 3) + 1, F.lit(1))), 16, 10).cast("long")
+        held = own.join(F.broadcast(parts), F.shiftright("__bit", PART.bit_length() - 1) == F.col("__part"))
+        return held.where(F.getbit(byte, at.bitwiseAND(F.lit(7))) == 1).select(*run.columns)
+
+    return marked(current), marked(legacy)
+
+
 # ------------------------------------------------------------------ mismatches
 
 
@@ -108,19 +176,11 @@ def column_mismatches(joined: DataFrame, pairs: Pairs, tolerance: float = TOLERA
     the differing columns of the other groups become rows, which are counted per
     task before the shuffle.
     """
-    def values(names: Sequence[str]) -> list[Column]:
-        # Both zeros have one hash.
-        return [F.col(c).cast("double") + F.lit(0.0) for c in names]
-
     groups = []
     for i in range(0, len(pairs), GROUP):
         own = pairs[i:i + GROUP]
-        a, b = values([x for x, _ in own]), values([y for _, y in own])
-        # NULL in one addend makes the sum NULL, NaN makes it NaN; opposite infinities too, which only costs a comparison.
-        sides = [sum(side[1:], side[0]) for side in (a, b)]
-        unlike = F.xxhash64(*a) != F.xxhash64(*b)
-        for total in sides:
-            unlike = unlike | missing(total)
+        a, b = _values([x for x, _ in own]), _values([y for _, y in own])
+        unlike = (F.xxhash64(*a) != F.xxhash64(*b)) | _any_missing(a) | _any_missing(b)
         rows = F.array(*[F.struct(F.lit(x).alias("score"), close(x, y, tolerance, equal_nan).alias("same")) for x, y in own])
         groups.append(F.when(unlike, F.transform(F.filter(rows, lambda r: ~r["same"]), lambda r: r["score"])).otherwise(F.expr("cast(array() as array<string>)")))
     found = joined.select(F.explode(F.concat(*groups)).alias("score")).groupBy("score").agg(F.count("*").alias("mismatches"))

@@ -127,8 +127,9 @@ _WIDE_SQL = (
 )
 def recon_all_columns(spark, sf_dir):
     """Mismatches of every column two wide runs share."""
-    joined = reconcile.join_runs(_wide_run(spark, sf_dir, True), _wide_run(spark, sf_dir, False), KEY)
-    return reconcile.column_mismatches(joined, reconcile.suffix_pairs([(c, c) for c in _WIDE_COLUMNS]))
+    names = [(c, c) for c in _WIDE_COLUMNS]
+    current, legacy = reconcile.without_agreeing(_wide_run(spark, sf_dir, True), _wide_run(spark, sf_dir, False), KEY, names)
+    return reconcile.column_mismatches(reconcile.join_runs(current, legacy, KEY), reconcile.suffix_pairs(names))
 
 
 @query(

@@ -95,3 +95,52 @@ def test_correlation_is_pairwise_complete(spark):
     want = data.corr()
     for r in aggregates.correlations(df, ["a", "b", "c"]).collect():
         assert r["correlation"] == pytest.approx(want.loc[r["a"], r["b"]])
+
+
+@pytest.mark.parametrize("kind", ["long", "double", "string"])
+def test_rows_that_agree_are_left_out_and_no_other(spark, kind):
+    """Repeated, missing and one-sided keys, missing and infinite values; few differing rows, none, and all."""
+    def run(seed, change):
+        r = np.random.default_rng(seed)
+        rows = []
+        for i in [*range(400), *range(0, 40, 3), None, None]:
+            x = [float(i or 0) * k for k in range(1, 6)]
+            if r.random() < change:
+                x[int(r.integers(5))] += 1.0
+            if i is not None and i % 50 == 7:
+                x[2] = [None, NAN, INF, -INF][i // 50 % 4]
+            if i == 0:
+                x = [-0.0 if seed == 1 else 0.0] * 5
+            key = None if i is None else {"long": i, "string": str(i), "double": (-0.0 if i == 0 and seed == 1 else NAN if i == 399 else float(i))}[kind]
+            rows.append((key, (i or 0) % 3, *x))
+        if seed == 2:
+            rows = rows[20:] + [({"long": 9999, "string": "x", "double": 0.5}[kind], 0, *[1.0] * 5)]
+        return rows
+
+    schema = f"id {kind}, part int, " + ", ".join(f"c{k} double" for k in range(5))
+    names = [(f"c{k}", f"c{k}") for k in range(5)]
+    pairs = reconcile.suffix_pairs(names)
+    for change in (0.0, 0.1, 1.0):
+        a, b = spark.createDataFrame(run(1, change), schema), spark.createDataFrame(run(2, 0.0), schema)
+        want = reconcile.column_mismatches(reconcile.join_runs(a, b, ["id", "part"]), pairs).collect()
+        c, d = reconcile.without_agreeing(a, b, ["id", "part"], names)
+        assert c.columns == a.columns and d.dtypes == b.dtypes
+        assert sorted(reconcile.column_mismatches(reconcile.join_runs(c, d, ["id", "part"]), pairs).collect()) == sorted(want)
+        if change < 1:
+            assert 0 < c.count() < a.count() / 2 and d.count() < b.count() / 2
+    # Nothing differs: nothing is left.  Keys of other types: all is left.
+    same = a.where("part = 1 AND c2 IS NOT NULL AND NOT isnan(c2)").dropDuplicates(["id"])
+    assert [x.count() for x in reconcile.without_agreeing(same, same, ["id", "part"], names)] == [0, 0]
+    other = b.withColumn("part", F.col("part").cast("long"))
+    assert reconcile.without_agreeing(a, other, ["id", "part"], names) == (a, other)
+
+
+def test_few_bits_keep_more_rows_and_lose_none(spark, monkeypatch):
+    monkeypatch.setattr(reconcile, "MAX_BITS", 1)
+    a = spark.range(60_000).selectExpr("id", "CAST(id AS DOUBLE) AS x", "CAST(id % 7 AS DOUBLE) AS y")
+    b = a.selectExpr("id", "IF(id % 4 = 1, x + 1, x) AS x", "y")
+    c, d = reconcile.without_agreeing(a, b, "id", [("x", "x"), ("y", "y")])
+    left = {r["id"] for r in c.select("id").collect()}
+    assert left == {r["id"] for r in d.select("id").collect()} and left >= set(range(1, 60_000, 4)) and 15_000 < len(left) < 40_000
+    joined = reconcile.join_runs(c, d, "id")
+    assert sorted(reconcile.column_mismatches(joined, reconcile.suffix_pairs([("x", "x"), ("y", "y")])).collect()) == [("x_DB", 15_000), ("y_DB", 0)]
